@@ -224,3 +224,151 @@ ORACLE: dict[str, str] = {
     ),
     "distinct_months": _q("SELECT DISTINCT claim_month FROM trends"),
 }
+
+
+# ---- windows and forecasts ----------------------------------------------------
+
+_FEATURES = """
+SELECT claim_month, policy_type, claim_count,
+  LAG(claim_count, 1) OVER (PARTITION BY policy_type ORDER BY claim_month) AS prev_claim_count,
+  LAG(claim_count, 2) OVER (PARTITION BY policy_type ORDER BY claim_month) AS prev2_claim_count,
+  AVG(claim_count) OVER (PARTITION BY policy_type ORDER BY claim_month
+                         ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS rolling_avg_3m
+FROM trends
+"""
+
+_MONTHLY_TOTAL = f"""
+SELECT claim_month, CAST(SUM(claim_count) AS BIGINT) AS claim_count,
+  CAST(ROW_NUMBER() OVER (ORDER BY claim_month) - 1 AS INTEGER) AS t
+FROM ({_FEATURES}) f GROUP BY claim_month
+"""
+
+ORACLE.update({
+    "trend_lags": _q(
+        f"SELECT claim_month, policy_type, claim_count, prev_claim_count, prev2_claim_count FROM ({_FEATURES}) f"
+    ),
+    "rolling_avg_3m": _q(f"SELECT claim_month, policy_type, claim_count, rolling_avg_3m FROM ({_FEATURES}) f"),
+    "rolling_forecast": _q(
+        "SELECT policy_type, claim_month, claim_count, rolling_avg_3m AS forecast_next_month_claim_count"
+        f" FROM ({_FEATURES}) f"
+        " QUALIFY ROW_NUMBER() OVER (PARTITION BY policy_type ORDER BY claim_month DESC) = 1"
+    ),
+    "monthly_total": _q(_MONTHLY_TOTAL),
+    "linear_trend_forecast": _q(
+        "SELECT COUNT(*) AS n_months,"
+        " ROUND(REGR_SLOPE(CAST(claim_count AS DOUBLE), CAST(t AS DOUBLE)), 6) AS slope,"
+        " ROUND(REGR_INTERCEPT(CAST(claim_count AS DOUBLE), CAST(t AS DOUBLE)), 6) AS intercept,"
+        " CAST(MAX(t) + 1 AS INTEGER) AS next_t,"
+        " ROUND(REGR_SLOPE(CAST(claim_count AS DOUBLE), CAST(t AS DOUBLE)) * (MAX(t) + 1)"
+        "   + REGR_INTERCEPT(CAST(claim_count AS DOUBLE), CAST(t AS DOUBLE)), 6) AS forecast_next_month"
+        f" FROM ({_MONTHLY_TOTAL}) m"
+    ),
+})
+
+
+# ---- sampling -----------------------------------------------------------------
+
+def unit_hash_sql(key: str, salt: str) -> str:
+    return (
+        f"(CAST(('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{salt}'), 1, 8)) AS UBIGINT)"
+        " / 4294967296.0E0)"
+    )
+
+
+_SAMPLE = f"SELECT * FROM enriched WHERE {unit_hash_sql('claim_id', 'sample42')} < 0.1"
+
+ORACLE.update({
+    "hash_sample": _q(_SAMPLE),
+    "hash_split": _q(
+        "SELECT claim_id, customer_id, policy_type, claim_amount,"
+        f" CASE WHEN {unit_hash_sql('claim_id', 'split42')} < 0.8 THEN 'train' ELSE 'test' END AS split"
+        f" FROM ({_SAMPLE}) s"
+    ),
+})
+
+
+# ---- data quality ---------------------------------------------------------------
+
+def _check_rows(source: str, target: str, checks: list[tuple]) -> str:
+    """checks: (name, kind, column, arg) with kind in notnull, between, inset,
+    unique, ratio, rowcount."""
+    parts = []
+    for name, kind, col, arg in checks:
+        if kind == "notnull":
+            parts.append(f"SELECT '{name}' AS check_name, COUNT(*) AS element_count,"
+                         f" COUNT(*) FILTER (WHERE {col} IS NULL) AS unexpected_count,"
+                         f" NULL::BOOLEAN AS ok FROM {source}")
+        elif kind in ("between", "inset"):
+            parts.append(f"SELECT '{name}', COUNT(*), COUNT(*) FILTER (WHERE {col} IS NOT NULL AND NOT ({arg})),"
+                         f" NULL::BOOLEAN FROM {source}")
+        elif kind == "unique":
+            parts.append(f"SELECT '{name}', (SELECT COUNT(*) FROM {source}),"
+                         f" COALESCE((SELECT SUM(c) FROM (SELECT COUNT(*) AS c FROM {source} WHERE {col} IS NOT NULL"
+                         f" GROUP BY {col} HAVING COUNT(*) > 1) d), 0), NULL::BOOLEAN")
+        elif kind == "ratio":
+            parts.append(f"SELECT '{name}', NULL::BIGINT, NULL::BIGINT,"
+                         f" COALESCE(COUNT(DISTINCT {col}) / NULLIF(COUNT({col}), 0) {arg}, false) FROM {source}")
+        elif kind == "rowcount":
+            parts.append(f"SELECT '{name}', NULL::BIGINT, NULL::BIGINT, COUNT(*) {arg} FROM {source}")
+    union = " UNION ALL ".join(parts)
+    return (
+        f"SELECT '{target}' AS target_table, check_name,"
+        " CASE WHEN success THEN 1.0E0"
+        " WHEN element_count > 0 AND unexpected_count IS NOT NULL"
+        " THEN GREATEST(0.0E0, 1.0E0 - unexpected_count / element_count) ELSE 0.0E0 END AS dq_score,"
+        " success, CAST(element_count AS BIGINT) AS element_count, CAST(unexpected_count AS BIGINT) AS unexpected_count"
+        " FROM (SELECT *, COALESCE(ok, unexpected_count = 0) AS success FROM (" + union + ") u) r"
+    )
+
+
+_STATES = "('CA', 'TX', 'FL', 'NY', 'PA', 'IL', 'OH', 'GA', 'NC', 'MI')"
+
+_ENRICHED_CHECKS = [
+    ("claim_id not null", "notnull", "claim_id", None),
+    ("customer_id not null", "notnull", "customer_id", None),
+    ("claim_amount positive", "between", "claim_amount", "claim_amount > 0"),
+    ("fraud_risk_score in [0,1]", "between", "fraud_risk_score", "fraud_risk_score BETWEEN 0 AND 1"),
+    ("state valid", "inset", "state", f"state IN {_STATES}"),
+    ("fraud_risk_band valid", "inset", "fraud_risk_band", "fraud_risk_band IN ('LOW', 'MEDIUM', 'HIGH')"),
+    ("claim_id mostly unique", "ratio", "claim_id", ">= 0.999"),
+]
+
+_CUSTOMER_CHECKS = [
+    ("customer_id not null", "notnull", "customer_id", None),
+    ("customer_id unique", "unique", "customer_id", None),
+    ("age in range", "between", "age", "age BETWEEN 18 AND 100"),
+    ("state valid", "inset", "state", f"state IN {_STATES}"),
+    ("fraud_risk_score in [0,1]", "between", "fraud_risk_score", "fraud_risk_score BETWEEN 0 AND 1"),
+    ("row count ~100k", "rowcount", None, "BETWEEN 95000 AND 105000"),
+]
+
+_LINEITEM_CHECKS = [
+    ("l_orderkey not null", "notnull", "l_orderkey", None),
+    ("l_orderkey unique", "unique", "l_orderkey", None),
+    ("l_orderkey mostly unique", "ratio", "l_orderkey", ">= 0.999"),
+    ("row count", "rowcount", None, ">= 1"),
+]
+
+
+def _sample_rows(source: str, checks: list[tuple], k: int = 5) -> str:
+    parts = []
+    for name, kind, col, arg in checks:
+        if kind == "notnull":
+            bad = f"SELECT DISTINCT {col} AS v FROM {source} WHERE {col} IS NULL"
+        elif kind in ("between", "inset"):
+            bad = f"SELECT DISTINCT {col} AS v FROM {source} WHERE {col} IS NOT NULL AND NOT ({arg})"
+        elif kind == "unique":
+            bad = f"SELECT {col} AS v FROM {source} WHERE {col} IS NOT NULL GROUP BY {col} HAVING COUNT(*) > 1"
+        else:
+            continue
+        parts.append(f"(SELECT '{name}' AS check_name, CAST(v AS VARCHAR) AS unexpected_value"
+                     f" FROM ({bad}) b ORDER BY v NULLS FIRST LIMIT {k})")
+    return " UNION ALL ".join(parts)
+
+
+ORACLE.update({
+    "dq_enriched": _q(_check_rows("enriched", "silver_claims_enriched", _ENRICHED_CHECKS)),
+    "dq_customers": _q(_check_rows("customers", "customers", _CUSTOMER_CHECKS)),
+    "dq_unique_lineitem": _q(_check_rows("lineitem", "lineitem", _LINEITEM_CHECKS)),
+    "dq_unexpected_sample": _q(_sample_rows("customers", _CUSTOMER_CHECKS)),
+})

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.functions.calendar import month_ordinal
-from riskweave.operators import gold, reports
+from riskweave.operators import gold, quality, reports, sampling, timeseries
 from riskweave.plans.layers import Layers
+from riskweave.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -173,6 +174,90 @@ def _distinct_months(spark, sf_dir):
     return Layers(spark, sf_dir).trends.select("claim_month").distinct().orderBy("claim_month")
 
 
+# ---- windows and forecasts ------------------------------------------------
+
+def _features(spark, sf_dir):
+    return timeseries.trend_features(Layers(spark, sf_dir).trends)
+
+
+@query("trend_lags")
+def _trend_lags(spark, sf_dir):
+    return _features(spark, sf_dir).select(
+        "claim_month", "policy_type", "claim_count", "prev_claim_count", "prev2_claim_count"
+    )
+
+
+@query("rolling_avg_3m")
+def _rolling_avg_3m(spark, sf_dir):
+    return _features(spark, sf_dir).select("claim_month", "policy_type", "claim_count", "rolling_avg_3m")
+
+
+@query("rolling_forecast")
+def _rolling_forecast(spark, sf_dir):
+    return timeseries.rolling_forecast(_features(spark, sf_dir))
+
+
+@query("monthly_total")
+def _monthly_total(spark, sf_dir):
+    return timeseries.monthly_total(_features(spark, sf_dir))
+
+
+@query("linear_trend_forecast")
+def _linear_trend_forecast(spark, sf_dir):
+    return timeseries.linear_trend_forecast(timeseries.monthly_total(_features(spark, sf_dir)))
+
+
+# ---- sampling -------------------------------------------------------------
+
+@query("hash_sample")
+def _hash_sample(spark, sf_dir):
+    return sampling.hash_sample(Layers(spark, sf_dir).enriched, "claim_id", 0.1, seed=42)
+
+
+@query("hash_split")
+def _hash_split(spark, sf_dir):
+    sample = sampling.hash_sample(Layers(spark, sf_dir).enriched, "claim_id", 0.1, seed=42)
+    return sample.select(
+        "claim_id", "customer_id", "policy_type", "claim_amount",
+        sampling.split_label("claim_id", (0.8, 0.2), ("train", "test"), seed=42).alias("split"),
+    )
+
+
+# ---- data quality ---------------------------------------------------------
+
+def _dq(df, suite):
+    return quality.evaluate(df, suite).drop("check_order")
+
+
+@query("dq_enriched")
+def _dq_enriched(spark, sf_dir):
+    return _dq(Layers(spark, sf_dir).enriched, quality.enriched_suite())
+
+
+@query("dq_customers")
+def _dq_customers(spark, sf_dir):
+    return _dq(Layers(spark, sf_dir).customers, quality.customers_suite())
+
+
+@query("dq_unique_lineitem")
+def _dq_unique_lineitem(spark, sf_dir):
+    suite = quality.Suite(
+        "lineitem",
+        [
+            quality.NotNull("l_orderkey not null", "l_orderkey"),
+            quality.Unique("l_orderkey unique", "l_orderkey"),
+            quality.UniqueProportion("l_orderkey mostly unique", "l_orderkey", min_value=0.999),
+            quality.RowCount("row count", min_value=1),
+        ],
+    )
+    return _dq(fixtures.table(spark, sf_dir, "lineitem"), suite)
+
+
+@query("dq_unexpected_sample")
+def _dq_unexpected_sample(spark, sf_dir):
+    return quality.unexpected_sample(Layers(spark, sf_dir).customers, quality.customers_suite(), 5)
+
+
 def all_queries() -> dict[str, Query]:
     return dict(REGISTRY)
 
