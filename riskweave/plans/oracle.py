@@ -372,3 +372,34 @@ ORACLE.update({
     "dq_unique_lineitem": _q(_check_rows("lineitem", "lineitem", _LINEITEM_CHECKS)),
     "dq_unexpected_sample": _q(_sample_rows("customers", _CUSTOMER_CHECKS)),
 })
+
+
+# ---- sources, sinks, the whole batch, history ------------------------------------
+
+_DQ_BOTH = (
+    "SELECT 'run-enriched' AS execution_id, TIMESTAMP '2025-01-01 06:00:00' AS execution_time, * FROM ("
+    + _check_rows("enriched", "silver_claims_enriched", _ENRICHED_CHECKS)
+    + ") a UNION ALL SELECT 'run-customers', TIMESTAMP '2025-01-01 06:05:00', * FROM ("
+    + _check_rows("customers", "customers", _CUSTOMER_CHECKS)
+    + ") b"
+)
+
+ORACLE.update({
+    "bronze_customers_csv": _q("SELECT * FROM customers"),
+    "medallion_run": ORACLE["layer_counts"],
+    "silver_claims_stream": ORACLE["silver_claims"],
+    "enriched_stream": ORACLE["claims_enriched"],
+    "dq_history": _q(
+        "SELECT execution_id, execution_time, target_table, check_name, dq_score, success, element_count,"
+        f" unexpected_count FROM ({_DQ_BOTH}) h"
+    ),
+    "dq_run_summary": _q(
+        "SELECT target_table, execution_id, COUNT(*) AS checks, MIN(execution_time) AS ran_at"
+        f" FROM ({_DQ_BOTH}) h GROUP BY target_table, execution_id"
+    ),
+    "dq_gate": _q(
+        "SELECT target_table, CASE WHEN COUNT(*) FILTER (WHERE NOT success) = 0 THEN 'PASSED' ELSE 'FAILED' END"
+        " AS gate, COUNT(*) FILTER (WHERE NOT success) AS failed_checks"
+        f" FROM ({_DQ_BOTH}) h GROUP BY target_table"
+    ),
+})

@@ -7,15 +7,21 @@ left out so results are reproducible.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.functions.calendar import month_ordinal
-from riskweave.operators import gold, quality, reports, sampling, timeseries
+from riskweave.operators import gold, ml, quality, reports, sampling, timeseries
+from riskweave.plans import medallion
 from riskweave.plans.layers import Layers
-from riskweave.sources import fixtures
+from riskweave.session import scratch_dir
+from riskweave.sources import files, fixtures
+from riskweave.streaming import incremental
+
+CUSTOMERS_CSV_SCHEMA = "customer_id BIGINT, age INT, state STRING, fraud_risk_score DOUBLE"
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -258,6 +264,155 @@ def _dq_unexpected_sample(spark, sf_dir):
     return quality.unexpected_sample(Layers(spark, sf_dir).customers, quality.customers_suite(), 5)
 
 
+# ---- machine learning (no SQL oracle: rows-only checks) --------------------
+
+_MODELS: dict = {}
+
+
+def _cached(kind, spark, sf_dir, build):
+    k = (kind, spark.sparkContext.applicationId, sf_dir)
+    if k not in _MODELS:
+        _MODELS[k] = build()
+    return _MODELS[k]
+
+
+def _classifiers(spark, sf_dir):
+    return _cached("clf", spark, sf_dir, lambda: ml.train_classifiers(Layers(spark, sf_dir).enriched))
+
+
+def _forecast(spark, sf_dir):
+    return _cached("gbt", spark, sf_dir, lambda: ml.train_forecast(Layers(spark, sf_dir).trends))
+
+
+@query("ml_claim_predictions")
+def _ml_claim_predictions(spark, sf_dir):
+    return ml.claim_predictions(_classifiers(spark, sf_dir), Layers(spark, sf_dir).enriched)
+
+
+@query("confusion_matrix")
+def _confusion_matrix(spark, sf_dir):
+    preds = _ml_claim_predictions(spark, sf_dir).where(F.col("split") == "test")
+    return ml.confusion(preds, "actual_policy_type", "predicted_policy_type", 8)
+
+
+@query("denial_confusion")
+def _denial_confusion(spark, sf_dir):
+    preds = _ml_claim_predictions(spark, sf_dir).where(F.col("split") == "test")
+    return ml.confusion(preds, "actual_denied", "predicted_denied")
+
+
+@query("ml_metrics")
+def _ml_metrics(spark, sf_dir):
+    m = _classifiers(spark, sf_dir)
+    rows = [(k, float(v)) for k, v in m.metrics.items()] + [("train_rows", float(m.train_rows))]
+    return spark.createDataFrame(rows, "metric string, value double")
+
+
+@query("ml_monthly_forecast")
+def _ml_monthly_forecast(spark, sf_dir):
+    return ml.forecast_rows(_forecast(spark, sf_dir))
+
+
+@query("forecast_summary")
+def _forecast_summary(spark, sf_dir):
+    return ml.forecast_summary(_ml_monthly_forecast(spark, sf_dir))
+
+
+@query("forecast_metrics")
+def _forecast_metrics(spark, sf_dir):
+    fm = _forecast(spark, sf_dir)
+    rows = [(label, float(v["rmse"]), float(v["mae"])) for label, v in fm.metrics.items()]
+    return spark.createDataFrame(rows, "metric string, rmse double, mae double")
+
+
+# ---- sources, sinks and the whole batch -------------------------------------
+
+FIXED_TIME = dt.datetime(2025, 1, 1, 6, 0, 0)
+
+
+@query("bronze_customers_csv")
+def _bronze_customers_csv(spark, sf_dir):
+    """Customers staged as CSV in the shared scratch folder, read back with
+    an explicit schema (the bronze CSV load)."""
+    path = scratch_dir(spark, "bronze-csv")
+    (
+        Layers(spark, sf_dir).customers.write.option("header", True)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .mode("overwrite").csv(path)
+    )
+    return files.read_csv(spark, path, schema=CUSTOMERS_CSV_SCHEMA)
+
+
+@query("medallion_run")
+def _medallion_run(spark, sf_dir):
+    """Run every layer into the shared scratch folder (gate before gold) and
+    report the stored tables' row counts."""
+    lay = Layers(spark, sf_dir)
+    base = scratch_dir(spark, "medallion")
+    medallion.run_medallion(spark, lay.customers, lay.claims, base_path=base, execution_time=FIXED_TIME)
+    store = medallion.Store(spark, base_path=base)
+    return reports.layer_counts({t: store.read(t) for t in medallion.BRONZE + medallion.SILVER + medallion.GOLD})
+
+
+@query("silver_claims_stream")
+def _silver_claims_stream(spark, sf_dir):
+    base = scratch_dir(spark, "stream-silver")
+    orders = incremental.file_stream(spark, f"{sf_dir}/orders.parquet", max_files_per_trigger=1)
+    incremental.run_to_completion(incremental.silver_claims_stream(orders), f"{base}/out", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out")
+
+
+@query("enriched_stream")
+def _enriched_stream(spark, sf_dir):
+    base = scratch_dir(spark, "stream-enriched")
+    orders = incremental.file_stream(spark, f"{sf_dir}/orders.parquet", max_files_per_trigger=1)
+    customers = Layers(spark, sf_dir).customers_base
+    incremental.run_to_completion(incremental.enriched_stream(orders, customers), f"{base}/out", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out")
+
+
+def _history(spark, sf_dir):
+    """Both suites run through the gate (no raise) into a scratch history."""
+    lay = Layers(spark, sf_dir)
+    path = scratch_dir(spark, "dq-history")
+    quality.run_gate(lay.enriched, quality.enriched_suite(), history_path=path,
+                     execution_id="run-enriched", execution_time=FIXED_TIME, raise_on_failure=False)
+    quality.run_gate(lay.customers, quality.customers_suite(), history_path=path,
+                     execution_id="run-customers", execution_time=FIXED_TIME + dt.timedelta(minutes=5),
+                     raise_on_failure=False)
+    return quality.read_history(spark, history_path=path)
+
+
+@query("dq_history")
+def _dq_history(spark, sf_dir):
+    return _history(spark, sf_dir)
+
+
+@query("dq_run_summary")
+def _dq_run_summary(spark, sf_dir):
+    return quality.run_summary(_history(spark, sf_dir))
+
+
+@query("dq_gate")
+def _dq_gate(spark, sf_dir):
+    """Gate outcome per suite: PASSED, or FAILED with the failed check count
+    (the failing suite's rows are stored before the gate raises)."""
+    lay = Layers(spark, sf_dir)
+    path = scratch_dir(spark, "dq-gate")
+    out = []
+    for df, suite in ((lay.enriched, quality.enriched_suite()), (lay.customers, quality.customers_suite())):
+        try:
+            quality.run_gate(df, suite, history_path=path, execution_time=FIXED_TIME)
+            out.append((suite.target_table, "PASSED", 0))
+        except quality.EmptySourceError:
+            out.append((suite.target_table, "EMPTY", 0))
+        except quality.DataQualityError:
+            failed = quality.read_history(spark, history_path=path).where(
+                (F.col("target_table") == suite.target_table) & ~F.col("success")).count()
+            out.append((suite.target_table, "FAILED", failed))
+    return spark.createDataFrame(out, "target_table string, gate string, failed_checks bigint")
+
+
 def all_queries() -> dict[str, Query]:
     return dict(REGISTRY)
 

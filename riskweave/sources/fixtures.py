@@ -45,7 +45,11 @@ def _lookup(key: Column, mapping: dict, default) -> Column:
 
 def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw ``customers``: customer_id, age, state, fraud_risk_score."""
-    c = table(spark, sf_dir, "customer")
+    return customers_from(table(spark, sf_dir, "customer"))
+
+
+def customers_from(c: DataFrame) -> DataFrame:
+    """Raw customers from a ``customer`` DataFrame (batch or stream)."""
     key = F.col("c_custkey")
     st = _lookup(
         F.col("c_nationkey") % 10,
@@ -73,7 +77,11 @@ def claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``claim_date`` is TIMESTAMP_NTZ (wall-clock time, like the source).
     """
-    o = table(spark, sf_dir, "orders")
+    return claims_from(table(spark, sf_dir, "orders"))
+
+
+def claims_from(o: DataFrame) -> DataFrame:
+    """Raw claims from an ``orders`` DataFrame (batch or stream)."""
     key = F.col("o_orderkey")
     shifted = F.col("o_orderdate").cast("timestamp_ntz") + F.make_interval(years=F.lit(23))
     claim_date = F.when(key % 3 == 0, shifted + F.make_interval(hours=F.lit(10))).otherwise(shifted)
