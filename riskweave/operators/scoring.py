@@ -55,7 +55,10 @@ def percentile_table(df: DataFrame, col: str, out: str, buckets: int | None = No
     splits = [float("-inf")] + bounds + [float("inf")]
 
     counts = values.groupBy(x).agg(F.count(F.lit(1)).alias("_c"))
-    bucketed = Bucketizer(splits=splits, inputCol=x, outputCol="_b", handleInvalid="keep").transform(counts)
+    if bounds:
+        bucketed = Bucketizer(splits=splits, inputCol=x, outputCol="_b", handleInvalid="keep").transform(counts)
+    else:
+        bucketed = counts.withColumn("_b", F.lit(0.0))
 
     # One row per bucket (a proven bound: len(splits) rows), so the global
     # window below is tiny and the broadcast is safe.

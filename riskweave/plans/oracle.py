@@ -403,3 +403,28 @@ ORACLE.update({
         f" FROM ({_DQ_BOTH}) h GROUP BY target_table"
     ),
 })
+
+
+# ---- narrow function keys ----------------------------------------------------------
+
+_RAW_CALENDAR = (
+    f"SELECT claim_id, claim_date, {holiday_sql('claim_date')} AS is_us_federal_holiday FROM claims"
+)
+_RAW_MONTHS = f"SELECT claim_id, claim_date, {months_sql('claim_date')} AS months_to_book_end FROM claims"
+
+ORACLE.update({
+    "risk_band": _q("SELECT customer_id, fraud_risk_score, fraud_risk_band FROM customers_base"),
+    "risk_zscore": _q("SELECT customer_id, fraud_risk_score, fraud_risk_zscore FROM silver_customers"),
+    "risk_percentile": _q("SELECT customer_id, fraud_risk_score, fraud_risk_percentile FROM silver_customers"),
+    "is_holiday": _q(_RAW_CALENDAR),
+    "months_to_book_end": _q(_RAW_MONTHS),
+    "sql_function_use": _q(
+        f"SELECT claim_id, claim_date, {holiday_sql('claim_date')} AS is_us_federal_holiday,"
+        f" {months_sql('claim_date')} AS months_to_book_end FROM claims"
+    ),
+    "forecast_split": _q(
+        "SELECT claim_month, policy_type, claim_count,"
+        " CASE WHEN DENSE_RANK() OVER (ORDER BY claim_month DESC) <= 3 THEN 'holdout' ELSE 'train' END AS split"
+        " FROM trends"
+    ),
+})

@@ -8,13 +8,15 @@ left out so results are reproducible.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskweave.functions import calendar
 from riskweave.functions.calendar import month_ordinal
-from riskweave.operators import gold, ml, quality, reports, sampling, timeseries
+from riskweave.operators import gold, ml, quality, reports, sampling, scoring, timeseries
 from riskweave.plans import medallion
 from riskweave.plans.layers import Layers
 from riskweave.session import scratch_dir
@@ -83,6 +85,47 @@ def _band_avg_percentile(spark, sf_dir):
     return reports.band_avg_percentile(Layers(spark, sf_dir).silver_customers)
 
 
+@query("risk_band")
+def _risk_band(spark, sf_dir):
+    return Layers(spark, sf_dir).customers_base.select("customer_id", "fraud_risk_score", "fraud_risk_band")
+
+
+@query("risk_zscore")
+def _risk_zscore(spark, sf_dir):
+    base = Layers(spark, sf_dir).customers_base.select("customer_id", "fraud_risk_score")
+    return scoring.with_zscore(base, "fraud_risk_score", "fraud_risk_zscore", digits=6)
+
+
+@query("risk_percentile")
+def _risk_percentile(spark, sf_dir):
+    base = Layers(spark, sf_dir).customers_base.select("customer_id", "fraud_risk_score")
+    return scoring.with_percentile(base, "fraud_risk_score", "fraud_risk_percentile")
+
+
+@query("is_holiday")
+def _is_holiday(spark, sf_dir):
+    return Layers(spark, sf_dir).claims.select(
+        "claim_id", "claim_date", calendar.is_us_federal_holiday("claim_date").alias("is_us_federal_holiday"))
+
+
+@query("months_to_book_end")
+def _months_to_book_end(spark, sf_dir):
+    return Layers(spark, sf_dir).claims.select(
+        "claim_id", "claim_date", calendar.months_to_book_end("claim_date").alias("months_to_book_end"))
+
+
+@query("sql_function_use")
+def _sql_function_use(spark, sf_dir):
+    """The calendar functions called from SQL (registered SQL functions)."""
+    calendar.register_sql_functions(spark)
+    view = f"raw_claims_{uuid.uuid4().hex[:8]}"
+    Layers(spark, sf_dir).claims.createOrReplaceTempView(view)
+    return spark.sql(
+        f"SELECT claim_id, claim_date, is_us_federal_holiday(claim_date) AS is_us_federal_holiday,"
+        f" months_to_book_end(claim_date) AS months_to_book_end FROM {view}"
+    )
+
+
 # ---- gold ---------------------------------------------------------------
 
 @query("kpi_by_state")
@@ -175,6 +218,17 @@ def _trend_month_ordinal(spark, sf_dir):
     return t.select("claim_month", "policy_type", "claim_count", month_ordinal("claim_month").alias("month_ordinal"))
 
 
+@query("forecast_split")
+def _forecast_split(spark, sf_dir):
+    """Trend rows labelled holdout (last 3 distinct months) or train."""
+    t = Layers(spark, sf_dir).trends
+    months = F.broadcast(ml.holdout_months(t, 3).withColumn("_h", F.lit(True)))
+    return t.join(months, "claim_month", "left").select(
+        "claim_month", "policy_type", "claim_count",
+        F.when(F.col("_h"), F.lit("holdout")).otherwise(F.lit("train")).alias("split"),
+    )
+
+
 @query("distinct_months")
 def _distinct_months(spark, sf_dir):
     return Layers(spark, sf_dir).trends.select("claim_month").distinct().orderBy("claim_month")
