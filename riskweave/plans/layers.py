@@ -17,7 +17,26 @@ from riskweave.sources import fixtures
 
 
 class Layers:
-    def __init__(self, spark: SparkSession, sf_dir: str, score_digits: int | None = 6):
+    """Lazily built layer DataFrames of one input folder.
+
+    ``Layers(spark, sf_dir)`` returns the same instance for the same session
+    and folder, so a session defines its layers once (like registering
+    views) and every query plans on top of them; the few driver-side
+    statistics of the table-wide scores are computed once per session.
+    """
+
+    _instances: dict = {}
+
+    def __new__(cls, spark: SparkSession, sf_dir: str, score_digits: int | None = 6):
+        key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), score_digits)
+        inst = cls._instances.get(key)
+        if inst is None:
+            inst = super().__new__(cls)
+            inst._init(spark, sf_dir, score_digits)
+            cls._instances[key] = inst
+        return inst
+
+    def _init(self, spark: SparkSession, sf_dir: str, score_digits: int | None) -> None:
         self.spark = spark
         self.sf_dir = sf_dir
         self.score_digits = score_digits
