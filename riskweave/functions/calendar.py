@@ -102,9 +102,9 @@ def months_to_book_end(c: str, book_end: str = DEFAULT_BOOK_END) -> Column:
 
 
 def month_start(c: str | Column) -> Column:
-    """First instant of the month as TIMESTAMP_NTZ (wall clock)."""
+    """First instant of the month (TIMESTAMP, in the session time zone)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.date_trunc("MONTH", col).cast("timestamp_ntz")
+    return F.date_trunc("MONTH", col)
 
 
 def month_ordinal(c: str | Column, base_year: int = DEFAULT_BASE_YEAR) -> Column:

@@ -75,7 +75,8 @@ def claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw ``claims``: claim_id, policy_id, customer_id, claim_date,
     claim_amount, claim_status, policy_type, claim_type.
 
-    ``claim_date`` is TIMESTAMP_NTZ (wall-clock time, like the source).
+    ``claim_date`` is TIMESTAMP: the source's wall-clock time read in the
+    session time zone (UTC in ``build_session``).
     """
     return claims_from(table(spark, sf_dir, "orders"))
 
@@ -83,7 +84,7 @@ def claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def claims_from(o: DataFrame) -> DataFrame:
     """Raw claims from an ``orders`` DataFrame (batch or stream)."""
     key = F.col("o_orderkey")
-    shifted = F.col("o_orderdate").cast("timestamp_ntz") + F.make_interval(years=F.lit(23))
+    shifted = F.col("o_orderdate").cast("timestamp") + F.make_interval(years=F.lit(23))
     claim_date = F.when(key % 3 == 0, shifted + F.make_interval(hours=F.lit(10))).otherwise(shifted)
     status = (
         F.when(key % 20 == 19, F.lit("Cancelled"))
