@@ -5,7 +5,8 @@ set) and the row count are answered by ONE aggregate over the table (one
 scan, per-task partial counts); each uniqueness column takes one grouped
 pass (value -> count, pre-aggregated map-side, so a value repeated a
 billion times is one row per task before the shuffle).  The per-check
-numbers are turned into result rows inside Spark (``stack``), so the
+numbers are turned into result rows inside Spark (explode of an array of
+per-check structs), so the
 results are a DataFrame like any other; only the gate brings the few
 result rows to the driver to decide pass/fail.
 
@@ -48,7 +49,12 @@ RESULT_COLUMNS = [f.name for f in DQ_RESULTS_SCHEMA.fields]
 
 
 class DataQualityError(RuntimeError):
-    """Raised by the gate when a check fails (after results are stored)."""
+    """Raised by the gate when a check fails (after results are stored).
+    ``failed`` lists the failed check names."""
+
+    def __init__(self, message: str, failed: list | None = None):
+        super().__init__(message)
+        self.failed = list(failed or [])
 
 
 class EmptySourceError(DataQualityError):
@@ -107,10 +113,17 @@ class Unique(Check):
 
 @dataclass(frozen=True)
 class UniqueProportion(Check):
-    """distinct / non-null count within [min_value, max_value]."""
+    """distinct / non-null count within [min_value, max_value].
+
+    Exact by default (one grouped pass).  ``approx=True`` uses a
+    HyperLogLog++ sketch (relative sd ``rsd``) inside the single row-level
+    aggregate: no shuffle of values at all, for very large key columns.
+    """
 
     min_value: float | None = None
     max_value: float | None = None
+    approx: bool = False
+    rsd: float = 0.01
 
 
 @dataclass(frozen=True)
@@ -158,20 +171,21 @@ def customers_suite(target_table: str = "customers", min_rows: int = 95_000, max
 
 # ---- runner ----------------------------------------------------------------
 
-def _lit_or_null(v, typ: str) -> str:
-    return "CAST(NULL AS %s)" % typ if v is None else repr(float(v))
-
-
 def _row_level(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
     """One aggregate for all row-level checks and row counts -> one row per check."""
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in checks:
         if c.bad() is not None:
             aggs.append(F.count_if(c.bad()).alias(f"_u{i}"))
+        if isinstance(c, UniqueProportion):
+            aggs.append(F.approx_count_distinct(c.column, c.rsd).alias(f"_d{i}"))
+            aggs.append(F.count(c.column).alias(f"_nn{i}"))
     one = df.agg(*aggs)
     parts = []
     for i, c in checks:
-        if isinstance(c, RowCount):
+        if isinstance(c, UniqueProportion):
+            parts.append(_proportion_row(i, c, F.col(f"_d{i}"), F.col(f"_nn{i}")))
+        elif isinstance(c, RowCount):
             ok = F.lit(True)
             if c.min_value is not None:
                 ok = ok & (F.col("_n") >= c.min_value)
@@ -213,22 +227,24 @@ def _uniqueness(df: DataFrame, column: str, checks: list[tuple[int, Check]]) ->
                 )
             )
         else:
-            ratio = F.col("_distinct") / F.col("_nonnull")
-            ok = F.col("_nonnull") > 0
-            if c.min_value is not None:
-                ok = ok & (ratio >= c.min_value)
-            if c.max_value is not None:
-                ok = ok & (ratio <= c.max_value)
-            parts.append(
-                F.struct(
-                    F.lit(i).alias("i"), F.lit(c.name).alias("check_name"), F.coalesce(ok, F.lit(False)).alias("success"),
-                    F.lit(None).cast("bigint").alias("element_count"),
-                    F.lit(None).cast("bigint").alias("unexpected_count"),
-                )
-            )
+            parts.append(_proportion_row(i, c, F.col("_distinct"), F.col("_nonnull")))
     return stats.select(F.explode(F.array(*parts)).alias("r")).select("r.*")
 
 
+def _proportion_row(i: int, c: UniqueProportion, distinct: F.Column, nonnull: F.Column) -> F.Column:
+    ratio = distinct / nonnull
+    ok = nonnull > 0
+    if c.min_value is not None:
+        ok = ok & (ratio >= c.min_value)
+    if c.max_value is not None:
+        ok = ok & (ratio <= c.max_value)
+    return F.struct(
+        F.lit(i).alias("i"), F.lit(c.name).alias("check_name"), F.coalesce(ok, F.lit(False)).alias("success"),
+        F.lit(None).cast("bigint").alias("element_count"),
+        F.lit(None).cast("bigint").alias("unexpected_count"),
+    )
+
+
 def dq_score(success: Column, element: Column, unexpected: Column) -> Column:
     partial = F.greatest(F.lit(0.0), F.lit(1.0) - unexpected / element)
     return (
@@ -243,11 +259,15 @@ def evaluate(df: DataFrame, suite: Suite) -> DataFrame:
     element_count, unexpected_count (lazy; one row per check, suite order
     in column ``check_order``)."""
     indexed = list(enumerate(suite.checks))
-    row_level = [(i, c) for i, c in indexed if not isinstance(c, (Unique, UniqueProportion))]
+
+    def grouped(c: Check) -> bool:
+        return isinstance(c, Unique) or (isinstance(c, UniqueProportion) and not c.approx)
+
+    row_level = [(i, c) for i, c in indexed if not grouped(c)]
     parts = [_row_level(df, row_level)] if row_level else []
     by_col: dict[str, list] = {}
     for i, c in indexed:
-        if isinstance(c, (Unique, UniqueProportion)):
+        if grouped(c):
             by_col.setdefault(c.column, []).append((i, c))
     parts += [_uniqueness(df, col, cs) for col, cs in by_col.items()]
     rows = reduce(DataFrame.unionByName, parts)
@@ -327,7 +347,7 @@ def run_gate(
     persist_results(result_frame(spark, rows, execution_id, execution_time), history_table, history_path)
     failed = [r["check_name"] for r in rows if not r["success"]]
     if failed and raise_on_failure:
-        raise DataQualityError(f"{len(failed)} check(s) failed on {suite.target_table}: {failed}")
+        raise DataQualityError(f"{len(failed)} check(s) failed on {suite.target_table}: {failed}", failed)
     return rows
 
 

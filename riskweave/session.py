@@ -51,6 +51,31 @@ def build_session(
     return spark
 
 
+def cluster_conf(
+    shuffle_bytes: int,
+    total_cores: int,
+    target_partition_bytes: int = 256 * 1024 * 1024,
+    broadcast_bytes: int = 64 * 1024 * 1024,
+) -> dict[str, str]:
+    """Settings for a cluster run, sized from the largest expected shuffle.
+
+    Start with enough shuffle partitions that each holds about
+    ``target_partition_bytes`` (AQE coalesces small ones down, and splits
+    skewed ones of a join), read files in splits of the same size, and cap
+    automatic broadcasts at ``broadcast_bytes`` of estimated size.
+    """
+    partitions = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+    }
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

@@ -100,3 +100,12 @@ def append_table(
         )
     else:
         df.write.mode("append").format(fmt).save(path)
+
+
+def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
+    """Table names of a database (the current one when not given)."""
+    return [t.name for t in spark.catalog.listTables(database)]
+
+
+def list_databases(spark: SparkSession) -> list[str]:
+    return [d.name for d in spark.catalog.listDatabases()]

@@ -208,3 +208,53 @@ def test_gold_kpi_columns(spark):
     kpi = gold.kpi_by_state(Layers(spark, SF_SMALL).enriched, built_at=F.lit(dt.datetime(2025, 1, 1)))
     assert kpi.columns == ["state", "policy_type", "claim_count", "total_claim_amount", "avg_claim_amount",
                            "avg_fraud_risk_score", "high_risk_customer_claims", "denied_claims", "gold_built_at"]
+
+
+def test_approx_unique_ratio_needs_no_grouped_pass(spark, capsys):
+    li = spark.read.parquet(f"{SF_CHECK}/lineitem.parquet")
+    suite = quality.Suite("lineitem", [quality.UniqueProportion("ratio", "l_orderkey", min_value=0.999, approx=True)])
+    res = quality.evaluate(li, suite)
+    res.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange") <= 1  # only the final merge of the one aggregate
+    assert not res.first().success
+
+
+def test_results_independent_of_shuffle_partitions(spark):
+    from riskweave.plans.registry import all_queries
+
+    keys = ["kpi_by_state", "silver_customers", "dq_enriched", "monthly_total", "executive_by_state"]
+    seen = {}
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("1", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            Layers._instances.clear()
+            for k in keys:
+                rows = sorted(map(repr, all_queries()[k](spark, SF_SMALL).collect()))
+                seen.setdefault(k, []).append(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        Layers._instances.clear()
+    for k, (a, b) in seen.items():
+        assert a == b, k
+
+
+def test_csv_inferred_and_explicit_schema(spark):
+    from riskweave.sources import files
+
+    path = scratch_dir(spark, "csv")
+    Layers(spark, SF_SMALL).customers.write.option("header", True).option("ignoreLeadingWhiteSpace", False) \
+        .option("ignoreTrailingWhiteSpace", False).csv(path)
+    inferred = files.read_csv(spark, path, infer_schema=True)
+    assert dict(inferred.dtypes)["fraud_risk_score"] == "double" and inferred.count() == 150
+    explicit = files.read_csv(spark, path, schema="customer_id BIGINT, age INT, state STRING, fraud_risk_score DOUBLE")
+    assert explicit.where(F.col("state").startswith("  ")).count() > 0  # untidy text survives the round trip
+
+
+def test_cluster_conf_sizes_partitions():
+    from riskweave.session import cluster_conf
+
+    conf = cluster_conf(shuffle_bytes=20 * 1024**4, total_cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 81920
+    assert cluster_conf(1024, 16)["spark.sql.shuffle.partitions"] == "32"
