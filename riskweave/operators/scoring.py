@@ -54,15 +54,16 @@ def percentile_table(df: DataFrame, col: str, out: str, buckets: int | None = No
     bounds = sorted({b for b in bounds if b == b and b not in (float("inf"), float("-inf"))})
     splits = [float("-inf")] + bounds + [float("inf")]
 
-    counts = values.groupBy(x).agg(F.count(F.lit(1)).alias("_c"))
-    if bounds:
-        bucketed = Bucketizer(splits=splits, inputCol=x, outputCol="_b", handleInvalid="keep").transform(counts)
-    else:
-        bucketed = counts.withColumn("_b", F.lit(0.0))
-
-    # One row per bucket (a proven bound: len(splits) rows), so the global
-    # window below is tiny and the broadcast is safe.
-    per_bucket = bucketed.groupBy("_b").agg(F.sum("_c").alias("_bc"))
+    def bucketize(frame: DataFrame) -> DataFrame:
+        if not bounds:
+            return frame.withColumn("_b", F.lit(0.0))
+        return Bucketizer(splits=splits, inputCol=x, outputCol="_b", handleInvalid="keep").transform(frame)
+
+    # Rows per bucket straight from the values: a map-side partial count, so
+    # at most len(splits) rows per task reach the shuffle.  The result has
+    # one row per bucket (a proven bound), so the global window over it is
+    # tiny and broadcasting it is safe.
+    per_bucket = bucketize(values).groupBy("_b").agg(F.count(F.lit(1)).alias("_bc"))
     ordered = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
         "_b",
@@ -70,6 +71,8 @@ def percentile_table(df: DataFrame, col: str, out: str, buckets: int | None = No
         F.sum("_bc").over(Window.partitionBy()).alias("_n"),
     )
 
+    # (value, count): a hot value is one row from here on.
+    bucketed = bucketize(values.groupBy(x).agg(F.count(F.lit(1)).alias("_c")))
     in_bucket = Window.partitionBy("_b").orderBy(x).rowsBetween(Window.unboundedPreceding, 0)
     ranked = bucketed.join(F.broadcast(offsets), "_b").withColumn("_le", F.sum("_c").over(in_bucket))
     # average rank of the tie group = first rank + (ties - 1) / 2
