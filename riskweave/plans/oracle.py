@@ -295,21 +295,21 @@ def _check_rows(source: str, target: str, checks: list[tuple]) -> str:
     parts = []
     for name, kind, col, arg in checks:
         if kind == "notnull":
-            parts.append(f"SELECT '{name}' AS check_name, COUNT(*) AS element_count,"
-                         f" COUNT(*) FILTER (WHERE {col} IS NULL) AS unexpected_count,"
-                         f" NULL::BOOLEAN AS ok FROM {source}")
+            elem, unexp, ok = "COUNT(*)", f"COUNT(*) FILTER (WHERE {col} IS NULL)", "NULL::BOOLEAN"
         elif kind in ("between", "inset"):
-            parts.append(f"SELECT '{name}', COUNT(*), COUNT(*) FILTER (WHERE {col} IS NOT NULL AND NOT ({arg})),"
-                         f" NULL::BOOLEAN FROM {source}")
+            elem, unexp, ok = "COUNT(*)", f"COUNT(*) FILTER (WHERE {col} IS NOT NULL AND NOT ({arg}))", "NULL::BOOLEAN"
         elif kind == "unique":
-            parts.append(f"SELECT '{name}', (SELECT COUNT(*) FROM {source}),"
-                         f" COALESCE((SELECT SUM(c) FROM (SELECT COUNT(*) AS c FROM {source} WHERE {col} IS NOT NULL"
-                         f" GROUP BY {col} HAVING COUNT(*) > 1) d), 0), NULL::BOOLEAN")
+            elem = "COUNT(*)"
+            unexp = (f"COALESCE((SELECT SUM(c) FROM (SELECT COUNT(*) AS c FROM {source} WHERE {col} IS NOT NULL"
+                     f" GROUP BY {col} HAVING COUNT(*) > 1) d), 0)")
+            ok = "NULL::BOOLEAN"
         elif kind == "ratio":
-            parts.append(f"SELECT '{name}', NULL::BIGINT, NULL::BIGINT,"
-                         f" COALESCE(COUNT(DISTINCT {col}) / NULLIF(COUNT({col}), 0) {arg}, false) FROM {source}")
-        elif kind == "rowcount":
-            parts.append(f"SELECT '{name}', NULL::BIGINT, NULL::BIGINT, COUNT(*) {arg} FROM {source}")
+            elem, unexp = "NULL::BIGINT", "NULL::BIGINT"
+            ok = f"COALESCE(COUNT(DISTINCT {col}) / NULLIF(COUNT({col}), 0) {arg}, false)"
+        else:  # rowcount
+            elem, unexp, ok = "NULL::BIGINT", "NULL::BIGINT", f"COUNT(*) {arg}"
+        parts.append(f"SELECT '{name}' AS check_name, {elem} AS element_count, {unexp} AS unexpected_count,"
+                     f" {ok} AS ok FROM {source}")
     union = " UNION ALL ".join(parts)
     return (
         f"SELECT '{target}' AS target_table, check_name,"
@@ -428,3 +428,27 @@ ORACLE.update({
         " FROM trends"
     ),
 })
+
+
+# ---- the survey's key names ----------------------------------------------------------
+
+ORACLE.update({
+    "bronze_customers": ORACLE["bronze_customers_csv"],
+    "watchlist": ORACLE["high_risk_watchlist"],
+    "load_audit_by_policy": _q(
+        "SELECT policy_type, COUNT(*) AS cnt FROM claims GROUP BY policy_type"
+        " UNION ALL SELECT NULL, COUNT(*) FROM claims"
+    ),
+    "holiday_claims_sample": _q(
+        "SELECT claim_id, claim_date, is_us_federal_holiday, months_to_book_end, claim_amount"
+        " FROM silver_claims WHERE is_us_federal_holiday ORDER BY claim_date, claim_id LIMIT 5"
+    ),
+    "dq_unique": _q(_check_rows("customers", "customers", [c for c in _CUSTOMER_CHECKS if c[1] == "unique"])),
+    "dq_unique_ratio": _q(_check_rows("enriched", "silver_claims_enriched",
+                                      [c for c in _ENRICHED_CHECKS if c[1] == "ratio"])),
+    "dq_row_count": _q(_check_rows("customers", "customers", [c for c in _CUSTOMER_CHECKS if c[1] == "rowcount"])),
+    "dq_suite": _q(
+        "SELECT * FROM (" + _check_rows("enriched", "silver_claims_enriched", _ENRICHED_CHECKS)
+        + ") a UNION ALL SELECT * FROM (" + _check_rows("customers", "customers", _CUSTOMER_CHECKS) + ") b"
+    ),
+})

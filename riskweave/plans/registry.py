@@ -465,6 +465,62 @@ def _dq_gate(spark, sf_dir):
     return spark.createDataFrame(out, "target_table string, gate string, failed_checks bigint")
 
 
+# ---- the survey's key names for the same operators ---------------------------
+
+@query("bronze_customers")
+def _bronze_customers(spark, sf_dir):
+    return _bronze_customers_csv(spark, sf_dir)
+
+
+@query("watchlist")
+def _watchlist_alias(spark, sf_dir):
+    return Layers(spark, sf_dir).watchlist
+
+
+@query("load_audit_by_policy")
+def _load_audit_by_policy(spark, sf_dir):
+    """Bronze claims load audit: rows per policy type and the total (NULL
+    policy_type row), as one grouping-sets aggregate."""
+    claims = Layers(spark, sf_dir).claims
+    return claims.rollup("policy_type").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@query("holiday_claims_sample")
+def _holiday_claims_sample(spark, sf_dir):
+    """A five-row peek at holiday claims (earliest first, a top-k)."""
+    return reports.holiday_claims(Layers(spark, sf_dir).silver_claims).orderBy("claim_date", "claim_id").limit(5)
+
+
+@query("dq_unique")
+def _dq_unique(spark, sf_dir):
+    suite = quality.Suite("customers", [quality.Unique("customer_id unique", "customer_id")])
+    return _dq(Layers(spark, sf_dir).customers, suite)
+
+
+@query("dq_unique_ratio")
+def _dq_unique_ratio(spark, sf_dir):
+    suite = quality.Suite("silver_claims_enriched",
+                          [quality.UniqueProportion("claim_id mostly unique", "claim_id", min_value=0.999)])
+    return _dq(Layers(spark, sf_dir).enriched, suite)
+
+
+@query("dq_row_count")
+def _dq_row_count(spark, sf_dir):
+    suite = quality.Suite("customers", [quality.RowCount("row count ~100k", min_value=95_000, max_value=105_000)])
+    return _dq(Layers(spark, sf_dir).customers, suite)
+
+
+@query("dq_suite")
+def _dq_suite(spark, sf_dir):
+    """Both suites' result rows (7 + 6)."""
+    return _dq_enriched(spark, sf_dir).unionByName(_dq_customers(spark, sf_dir))
+
+
+@query("forecast_union")
+def _forecast_union(spark, sf_dir):
+    return _ml_monthly_forecast(spark, sf_dir)
+
+
 def all_queries() -> dict[str, Query]:
     return dict(REGISTRY)
 
