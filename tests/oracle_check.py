@@ -32,19 +32,22 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def norm(v, digits: int = 9):
+DIGITS = None if os.environ.get("ORACLE_EXACT") else 9
+
+
+def norm(v, digits: int | None = 9):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, digits)
+        return v if digits is None else round(v, digits)
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, (dt.date,)):
         return v.isoformat()
     if hasattr(v, "__float__") and not isinstance(v, (int, bool)):
-        return round(float(v), digits)
+        return float(v) if digits is None else round(float(v), digits)
     return v
 
 
@@ -54,7 +57,7 @@ def canon(cols, rows, digits=9):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
 
 
-def compare(spark, con, sf_dir, key, fn, sql, digits=9):
+def compare(spark, con, sf_dir, key, fn, sql, digits=DIGITS):
     t0 = time.time()
     df = fn(spark, sf_dir)
     s_cols = df.columns
