@@ -109,3 +109,15 @@ def test_stream_resumes_from_checkpoint(spark):
     first = spark.read.parquet(f"{base}/out").count()
     incremental.run_to_completion(incremental.silver_claims_stream(orders), f"{base}/out", f"{base}/ck")
     assert spark.read.parquet(f"{base}/out").count() == first == Layers(spark, SF_SMALL).silver_claims.count()
+
+
+def test_plans_have_no_python_or_cross_joins(spark):
+    import sys
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+    from plan_audit import ML, SIDE_EFFECTS, plan_text, summarise
+
+    for name, fn in E.queries().items():
+        if name in SIDE_EFFECTS or name in ML:
+            continue
+        s = summarise(plan_text(fn(spark, SF_SMALL)))
+        assert s["python"] == 0 and s["cartesian"] == 0, name
