@@ -87,6 +87,16 @@ class ClassifierModels:
     metrics: dict
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-repartition on ``key`` when ``df`` has fewer partitions than the
+    cluster has cores, so a CPU-heavy model stage gets a task per core.
+    On large inputs (many splits) this is a no-op: no extra shuffle."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
+
+
 def labelled_sample(data: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:
     """Add ``split``: train / test inside the hash sample, ``unsampled`` elsewhere."""
     in_sample = unit_hash(key, f"sample{seed}") < fraction
@@ -106,7 +116,7 @@ def train_classifiers(
     min_rows: int = 1000,
 ) -> ClassifierModels:
     data = labelled_sample(classifier_frame(enriched), key, fraction, seed)
-    sample = data.where(F.col("split") != "unsampled").persist()
+    sample = spread(data.where(F.col("split") != "unsampled"), key).persist()
     try:
         n = sample.count()
         if n < min_rows:
@@ -187,7 +197,7 @@ def claim_predictions(models: ClassifierModels, enriched: DataFrame, key: str =
                       fraction: float = 0.1, seed: int = 42) -> DataFrame:
     """``gold_ml_claim_predictions`` for every modelled claim, with the row's
     ``split`` (train / test / unsampled) so evaluation can use test rows."""
-    return score(models, labelled_sample(classifier_frame(enriched), key, fraction, seed))
+    return score(models, spread(labelled_sample(classifier_frame(enriched), key, fraction, seed), key))
 
 
 def confusion(predictions: DataFrame, actual: str, predicted: str, k: int | None = None) -> DataFrame:
