@@ -13,57 +13,23 @@ from __future__ import annotations
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.operators import cleanse, enrich, gold, quality
-from riskweave.sources.files import create_database, read_table, write_table
+from riskweave.plans import jobs
+from riskweave.plans.store import BRONZE, GOLD, HISTORY, SILVER, Store
 
-BRONZE = ("customers", "claims")
-SILVER = ("silver_customers", "silver_claims", "silver_claims_enriched")
-GOLD = ("gold_claims_kpi_by_state", "gold_monthly_claim_trends", "gold_high_risk_watchlist")
-HISTORY = "data_quality_check"
+__all__ = ["BRONZE", "GOLD", "HISTORY", "SILVER", "Store", "register_views", "run_medallion"]
 
 
-@dataclass
-class Store:
-    """Where layer tables live: a catalog database or a base folder."""
-
-    spark: SparkSession
-    database: str | None = None
-    base_path: str | None = None
-    fmt: str = "parquet"
-    written: dict = field(default_factory=dict)
-
-    def __post_init__(self):
-        if not self.database and not self.base_path:
-            raise ValueError("give a database or a base path")
-        if self.database:
-            create_database(self.spark, self.database)
-
-    def name(self, table: str) -> str | None:
-        return f"{self.database}.{table}" if self.database else None
-
-    def path(self, table: str) -> str | None:
-        return None if self.database else f"{self.base_path.rstrip('/')}/{table}"
-
-    def write(self, df: DataFrame, table: str) -> None:
-        write_table(df, name=self.name(table), path=self.path(table), fmt=self.fmt)
-        self.written[table] = self.name(table) or self.path(table)
-
-    def read(self, table: str) -> DataFrame:
-        return read_table(self.spark, self.name(table), self.path(table), self.fmt)
-
-
-def _parallel(jobs: list, parallel: bool) -> None:
-    if not parallel or len(jobs) < 2:
-        for j in jobs:
-            j()
+def _parallel(tasks: list, parallel: bool) -> None:
+    if not parallel or len(tasks) < 2:
+        for t in tasks:
+            t()
         return
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        for f in [pool.submit(j) for j in jobs]:
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        for f in [pool.submit(t) for t in tasks]:
             f.result()
 
 
@@ -87,47 +53,14 @@ def run_medallion(
     clock = F.current_timestamp() if clock is None else clock
 
     _parallel([lambda: store.write(customers, "customers"), lambda: store.write(claims, "claims")], parallel)
-
-    _parallel(
-        [
-            lambda: store.write(cleanse.silver_customers(store.read("customers"), processed_at=clock),
-                                "silver_customers"),
-            lambda: store.write(cleanse.silver_claims(store.read("claims"), processed_at=clock), "silver_claims"),
-        ],
-        parallel,
-    )
-    store.write(
-        enrich.enrich_claims(store.read("silver_claims"), store.read("silver_customers"), processed_at=clock,
-                             hot_key_fraction=hot_key_fraction),
-        "silver_claims_enriched",
-    )
-
+    _parallel([lambda: jobs.silver_customers(store, clock), lambda: jobs.silver_claims(store, clock)], parallel)
+    jobs.claims_enriched(store, clock, hot_key_fraction=hot_key_fraction)
     if gate:
-        quality.run_gate(
-            store.read("silver_claims_enriched"),
-            quality.enriched_suite(store.name("silver_claims_enriched") or "silver_claims_enriched"),
-            history_table=store.name(HISTORY),
-            history_path=store.path(HISTORY),
-            execution_id=execution_id,
-            execution_time=execution_time,
-        )
-        store.written[HISTORY] = store.name(HISTORY) or store.path(HISTORY)
-
-    enriched = store.read("silver_claims_enriched")
-    _parallel(
-        [
-            lambda: store.write(gold.kpi_by_state(enriched, built_at=clock), "gold_claims_kpi_by_state"),
-            lambda: store.write(gold.monthly_trends(enriched, built_at=clock), "gold_monthly_claim_trends"),
-            lambda: store.write(gold.high_risk_watchlist(enriched), "gold_high_risk_watchlist"),
-        ],
-        parallel,
-    )
+        jobs.dq_enriched(store, execution_id=execution_id, execution_time=execution_time)
+    _parallel([lambda: jobs.gold_kpi(store, clock), lambda: jobs.gold_trends_and_watchlist(store, clock)], parallel)
     return dict(store.written)
 
 
 def register_views(spark: SparkSession, store: Store) -> None:
     """The two reporting views, as session views over the stored gold tables."""
-    gold.executive_by_state(store.read("gold_claims_kpi_by_state")).createOrReplaceTempView(
-        "vw_executive_claims_by_state")
-    gold.watchlist_report(store.read("gold_high_risk_watchlist")).createOrReplaceTempView(
-        "vw_high_risk_claims_report")
+    jobs.views(store)

@@ -121,3 +121,46 @@ def test_plans_have_no_python_or_cross_joins(spark):
             continue
         s = summarise(plan_text(fn(spark, SF_SMALL)))
         assert s["python"] == 0 and s["cartesian"] == 0, name
+
+
+def test_jobs_one_by_one(spark):
+    from riskweave.plans import jobs
+    from riskweave.plans.store import Store
+    from riskweave.sources import fixtures
+
+    base = scratch_dir(spark, "jobs")
+    lay = Layers(spark, SF_SMALL)
+    csv_in, pq_in = f"{base}/in/customers_csv", f"{base}/in/claims_parquet"
+    lay.customers.write.option("header", True).option("ignoreLeadingWhiteSpace", False) \
+        .option("ignoreTrailingWhiteSpace", False).csv(csv_in)
+    fixtures.claims_raw(spark, SF_SMALL).write.parquet(pq_in)
+
+    store = Store(spark, base_path=f"{base}/tables")
+    assert jobs.load_customers(store, csv_in).count() == 150
+    assert jobs.load_claims(store, pq_in).count() == 1500
+    assert jobs.silver_customers(store).count() == 127
+    jobs.silver_claims(store)
+    assert jobs.claims_enriched(store).count() == 1195
+    rows = jobs.dq_enriched(store, execution_time=dt.datetime(2025, 1, 1))
+    assert len(rows) == 7 and all(r["success"] for r in rows)
+    from riskweave.operators.quality import DataQualityError
+    with pytest.raises(DataQualityError):
+        jobs.dq_customers(store)  # untidy raw customers fail several checks
+    kpi = jobs.gold_kpi(store)
+    trends, watch = jobs.gold_trends_and_watchlist(store)
+    assert (trends.count(), watch.count()) == (374, 107) and "gold_built_at" in kpi.columns
+    metrics = jobs.classify(store, fraction=0.9, num_trees=5, max_depth=4, min_rows=100)
+    assert set(metrics) >= {"policy_accuracy", "denial_auc"}
+    fmetrics = jobs.forecast(store, max_iter=3, max_depth=2)
+    assert set(fmetrics) == {"claim_count", "total_claim_amount"}
+    jobs.views(store)
+    assert spark.table("vw_high_risk_claims_report").count() == 107
+    assert store.read("data_quality_check").count() == 7 + 6
+
+
+def test_jobs_cli_gate_exit_code(spark):
+    from riskweave.plans import jobs
+
+    base = scratch_dir(spark, "jobs-cli")
+    Layers(spark, SF_SMALL).customers.write.parquet(f"{base}/customers")
+    assert jobs.main(["dq-customers", "--base-path", base]) == 1
