@@ -223,7 +223,9 @@ def test_approx_unique_ratio_needs_no_grouped_pass(spark, capsys):
 def test_results_independent_of_shuffle_partitions(spark):
     from riskweave.plans.registry import all_queries
 
-    keys = ["kpi_by_state", "silver_customers", "dq_enriched", "monthly_total", "executive_by_state"]
+    keys = ["kpi_by_state", "silver_customers", "dq_enriched", "monthly_total", "executive_by_state",
+            "claims_enriched", "monthly_trends", "watchlist", "risk_percentile", "rolling_avg_3m",
+            "linear_trend_forecast", "dq_customers", "hash_sample", "dq_unexpected_sample", "top_states_by_amount"]
     seen = {}
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
