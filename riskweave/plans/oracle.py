@@ -452,3 +452,8 @@ ORACLE.update({
         + ") a UNION ALL SELECT * FROM (" + _check_rows("customers", "customers", _CUSTOMER_CHECKS) + ") b"
     ),
 })
+
+ORACLE["dq_history_recent"] = _q(
+    "SELECT execution_id, execution_time, check_name, dq_score, success"
+    f" FROM ({_DQ_BOTH}) h WHERE target_table = 'customers' ORDER BY execution_time DESC, check_name LIMIT 12"
+)

@@ -367,6 +367,12 @@ def _ml_monthly_forecast(spark, sf_dir):
     return ml.forecast_rows(_forecast(spark, sf_dir))
 
 
+@query("forecast_holdout")
+def _forecast_holdout(spark, sf_dir):
+    return _ml_monthly_forecast(spark, sf_dir).where(F.col("forecast_type") == "holdout").orderBy(
+        "claim_month", "policy_type", "metric")
+
+
 @query("forecast_summary")
 def _forecast_summary(spark, sf_dir):
     return ml.forecast_summary(_ml_monthly_forecast(spark, sf_dir))
@@ -447,6 +453,14 @@ def _dq_run_summary(spark, sf_dir):
     return quality.run_summary(_history(spark, sf_dir))
 
 
+@query("dq_history_recent")
+def _dq_history_recent(spark, sf_dir):
+    """The newest 12 stored check rows of one target table (newest first)."""
+    hist = _history(spark, sf_dir).where(F.col("target_table") == "customers")
+    return hist.select("execution_id", "execution_time", "check_name", "dq_score", "success").orderBy(
+        F.col("execution_time").desc(), "check_name").limit(12)
+
+
 @query("dq_gate")
 def _dq_gate(spark, sf_dir):
     """Gate outcome per suite: PASSED, or FAILED with the failed check count

@@ -18,6 +18,7 @@ from riskweave.streaming import incremental
 # ML keys train forests (seconds each) and need a 1,000-row sample; they are
 # covered by the ML tests below with small parameters.
 SLOW_OR_ML = {"ml_claim_predictions", "confusion_matrix", "denial_confusion", "ml_metrics", "forecast_union",
+              "forecast_holdout",
               "ml_monthly_forecast", "forecast_summary", "forecast_metrics"}
 
 
