@@ -18,36 +18,30 @@ DEFAULT_BASE_YEAR = 2022
 
 
 def _fixed_date_holiday(d: str) -> str:
-    """US federal holidays on a fixed calendar date (before observance).
+    """US federal holidays on a fixed calendar date (before observance),
+    as month * 100 + day.
 
-    Fixed values: 1 Jan, 19 Jun (from 2021), 4 Jul, 11 Nov, 25 Dec.
+    Fixed values: 1 Jan, 4 Jul, 11 Nov, 25 Dec; 19 Jun from 2021.
     """
-    return (
-        f"((month({d}) = 1 AND dayofmonth({d}) = 1)"
-        f" OR (month({d}) = 6 AND dayofmonth({d}) = 19 AND year({d}) >= 2021)"
-        f" OR (month({d}) = 7 AND dayofmonth({d}) = 4)"
-        f" OR (month({d}) = 11 AND dayofmonth({d}) = 11)"
-        f" OR (month({d}) = 12 AND dayofmonth({d}) = 25))"
-    )
+    md = f"(month({d}) * 100 + dayofmonth({d}))"
+    return f"({md} IN (101, 704, 1111, 1225) OR ({md} = 619 AND year({d}) >= 2021))"
 
 
 def _weekday_rule_holiday(d: str) -> str:
     """US federal holidays defined as the n-th (or last) weekday of a month.
 
-    Fixed values (dayofweek: 1 = Sunday, 2 = Monday, 5 = Thursday):
-    3rd Monday of January (from 1986), 3rd Monday of February, last Monday
-    of May, 1st Monday of September, 2nd Monday of October, 4th Thursday of
+    Fixed values (dayofweek: 1 = Sunday, 2 = Monday, 5 = Thursday; the
+    Monday rules as month * 10 + n): 3rd Monday of January (13, from 1986),
+    3rd Monday of February (23), 1st Monday of September (91), 2nd Monday
+    of October (102), last Monday of May (day >= 25), 4th Thursday of
     November.
     """
-    nth = f"ceil(dayofmonth({d}) / 7)"
-    mon = f"dayofweek({d}) = 2"
+    nth = f"((dayofmonth({d}) + 6) div 7)"
     return (
-        f"((month({d}) = 1 AND {mon} AND {nth} = 3 AND year({d}) >= 1986)"
-        f" OR (month({d}) = 2 AND {mon} AND {nth} = 3)"
-        f" OR (month({d}) = 5 AND {mon} AND dayofmonth({d}) >= 25)"
-        f" OR (month({d}) = 9 AND {mon} AND {nth} = 1)"
-        f" OR (month({d}) = 10 AND {mon} AND {nth} = 2)"
-        f" OR (month({d}) = 11 AND dayofweek({d}) = 5 AND {nth} = 4))"
+        f"((dayofweek({d}) = 2 AND ((month({d}) * 10 + {nth} IN (13, 23, 91, 102)"
+        f" AND (month({d}) <> 1 OR year({d}) >= 1986))"
+        f" OR (month({d}) = 5 AND dayofmonth({d}) >= 25)))"
+        f" OR (dayofweek({d}) = 5 AND month({d}) = 11 AND {nth} = 4))"
     )
 
 
@@ -55,15 +49,16 @@ def is_us_federal_holiday_sql(arg: str) -> str:
     """SQL text: true when the date of ``arg`` is a US federal holiday, its
     actual date or its observed date (a Saturday holiday is observed the
     Friday before, a Sunday holiday the Monday after; so 31 Dec counts when
-    1 Jan is a Saturday).  NULL in, NULL out.  Rules hold from 1986 on."""
+    1 Jan is a Saturday).  NULL in, NULL out.  Rules hold from 1986 on.
+
+    Kept compact on purpose: a small expression keeps the generated code of
+    a wide projection under the JIT's method-size limit."""
     d = f"to_date({arg})"
-    nxt = f"date_add({d}, 1)"
-    prv = f"date_sub({d}, 1)"
     return (
         f"CASE WHEN {arg} IS NULL THEN CAST(NULL AS BOOLEAN) ELSE ("
         f"{_fixed_date_holiday(d)} OR {_weekday_rule_holiday(d)}"
-        f" OR (dayofweek({d}) = 6 AND {_fixed_date_holiday(nxt)})"
-        f" OR (dayofweek({d}) = 2 AND {_fixed_date_holiday(prv)})) END"
+        f" OR (dayofweek({d}) = 6 AND {_fixed_date_holiday(f'date_add({d}, 1)')})"
+        f" OR (dayofweek({d}) = 2 AND {_fixed_date_holiday(f'date_sub({d}, 1)')})) END"
     )
 
 
