@@ -29,6 +29,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
+_MODELS: dict = {}
+
+
+def _cached(kind, spark, sf_dir, build):
+    """Once-per-session state (trained models, a written history)."""
+    k = (kind, spark.sparkContext.applicationId, id(spark), sf_dir)
+    if k not in _MODELS:
+        _MODELS[k] = build()
+    return _MODELS[k]
+
+
 def query(name: str):
     def deco(fn):
         REGISTRY[name] = fn
@@ -320,16 +331,6 @@ def _dq_unexpected_sample(spark, sf_dir):
 
 # ---- machine learning (no SQL oracle: rows-only checks) --------------------
 
-_MODELS: dict = {}
-
-
-def _cached(kind, spark, sf_dir, build):
-    k = (kind, spark.sparkContext.applicationId, sf_dir)
-    if k not in _MODELS:
-        _MODELS[k] = build()
-    return _MODELS[k]
-
-
 def _classifiers(spark, sf_dir):
     return _cached("clf", spark, sf_dir, lambda: ml.train_classifiers(Layers(spark, sf_dir).enriched))
 
@@ -432,15 +433,21 @@ def _enriched_stream(spark, sf_dir):
 
 
 def _history(spark, sf_dir):
-    """Both suites run through the gate (no raise) into a scratch history."""
-    lay = Layers(spark, sf_dir)
-    path = scratch_dir(spark, "dq-history")
-    quality.run_gate(lay.enriched, quality.enriched_suite(), history_path=path,
-                     execution_id="run-enriched", execution_time=FIXED_TIME, raise_on_failure=False)
-    quality.run_gate(lay.customers, quality.customers_suite(), history_path=path,
-                     execution_id="run-customers", execution_time=FIXED_TIME + dt.timedelta(minutes=5),
-                     raise_on_failure=False)
-    return quality.read_history(spark, history_path=path)
+    """The stored history after both suites ran through the gate (no raise).
+    Like a history table, it is written once per session and input folder;
+    the history queries read it."""
+
+    def build():
+        lay = Layers(spark, sf_dir)
+        path = scratch_dir(spark, "dq-history")
+        quality.run_gate(lay.enriched, quality.enriched_suite(), history_path=path,
+                         execution_id="run-enriched", execution_time=FIXED_TIME, raise_on_failure=False)
+        quality.run_gate(lay.customers, quality.customers_suite(), history_path=path,
+                         execution_id="run-customers", execution_time=FIXED_TIME + dt.timedelta(minutes=5),
+                         raise_on_failure=False)
+        return path
+
+    return quality.read_history(spark, history_path=_cached("dq-history", spark, sf_dir, build))
 
 
 @query("dq_history")
