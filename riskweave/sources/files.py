@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -41,6 +42,11 @@ def create_database(spark: SparkSession, database: str, location: str | None = N
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{loc}")
 
 
+# Table formats whose catalogs implement the V2 create-or-replace/append API
+# (their jars must be on the classpath); file formats use saveAsTable.
+V2_FORMATS = ("iceberg", "delta")
+
+
 def write_table(
     df: DataFrame,
     name: str | None = None,
@@ -55,6 +61,12 @@ def write_table(
     a catalog table.  Writing the layer is also what cuts lineage between
     layers: the next layer reads the stored files, not the plan above them.
     """
+    if name and not path and fmt in V2_FORMATS and mode == "overwrite":
+        v2 = df.writeTo(name).using(fmt)
+        if partition_by:
+            v2 = v2.partitionedBy(*[F.col(c) for c in partition_by])
+        v2.createOrReplace()
+        return
     w = df.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -82,6 +94,12 @@ def append_table(
     spark = df.sparkSession
     if name and not path:
         if spark.catalog.tableExists(name):
+            if fmt in V2_FORMATS:
+                if partition_by:
+                    df.writeTo(name).overwritePartitions()
+                else:
+                    df.writeTo(name).append()
+                return
             if partition_by:
                 cols = spark.table(name).columns
                 df.select(*cols).write.mode("overwrite").insertInto(name)
