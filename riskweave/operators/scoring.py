@@ -21,10 +21,15 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+MAX_BUCKETS = 4096
+
 
 def zscore_stats(df: DataFrame, col: str) -> tuple[float | None, float | None]:
-    """(mean, population sd) of the non-null values of ``col``."""
-    row = df.agg(F.avg(col).alias("m"), F.stddev_pop(col).alias("s")).first()
+    """(mean, population sd) of the values of ``col``; NULL and NaN are
+    omitted (a NaN row keeps a NaN z-score)."""
+    x = F.col(col).cast("double")
+    clean = F.when(~F.isnan(x), x)
+    row = df.agg(F.avg(clean).alias("m"), F.stddev_pop(clean).alias("s")).first()
     return row["m"], row["s"]
 
 
@@ -44,7 +49,9 @@ def percentile_table(df: DataFrame, col: str, out: str, buckets: int | None = No
     """(value, percentile) for every distinct non-null value of ``col``."""
     spark = df.sparkSession
     if buckets is None:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        # one bucket per shuffle partition, capped so the quantile sketch and
+        # the split array stay small on a cluster with huge partition counts
+        buckets = min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     buckets = max(1, buckets)
     x = "_pv"
     values = df.select(F.col(col).cast("double").alias(x)).where(F.col(x).isNotNull())

@@ -291,3 +291,12 @@ def test_aqe_splits_a_hot_customer_in_the_enrichment_join(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert got == want
     assert "SortMergeJoin(skew=true)" in buf.getvalue()
+
+
+def test_nan_scores(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (2.0,), (None,)], "x double")
+    z = {(r.x if r.x == r.x else "nan"): r.z for r in scoring.with_zscore(df, "x", "z").collect()}
+    assert z[1.0] == pytest.approx(-1.0) and z[2.0] == pytest.approx(1.0) and z["nan"] != z["nan"]
+    p = {(r.x if r.x == r.x else "nan"): r.p for r in scoring.with_percentile(df, "x", "p", buckets=2).collect()}
+    assert p[1.0] == pytest.approx(100 / 3) and p[2.0] == pytest.approx(200 / 3) and p["nan"] == 100.0
+    assert p[None] is None
