@@ -91,8 +91,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-repartition on ``key`` when ``df`` has fewer partitions than the
     cluster has cores, so a CPU-heavy model stage gets a task per core.
     On large inputs (many splits) this is a no-op: no extra shuffle."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001 - sessions without RDD access: leave as is
         return df
     return df.repartition(target, key)
 

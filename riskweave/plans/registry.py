@@ -29,15 +29,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
-_MODELS: dict = {}
+_SESSION_STATE: dict = {}
 
 
 def _cached(kind, spark, sf_dir, build):
     """Once-per-session state (trained models, a written history)."""
     k = (kind, spark.sparkContext.applicationId, id(spark), sf_dir)
-    if k not in _MODELS:
-        _MODELS[k] = build()
-    return _MODELS[k]
+    if k not in _SESSION_STATE:
+        _SESSION_STATE[k] = build()
+    return _SESSION_STATE[k]
 
 
 def query(name: str):
@@ -546,4 +546,4 @@ def all_queries() -> dict[str, Query]:
     return dict(REGISTRY)
 
 
-__all__ = ["REGISTRY", "all_queries", "query", "F"]
+__all__ = ["REGISTRY", "all_queries", "query"]
