@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from riskweave.operators import cleanse, enrich, gold
@@ -65,7 +66,9 @@ class Layers:
 
     @cached_property
     def enriched(self) -> DataFrame:
-        return enrich.enrich_claims(self.silver_claims, self.customers_base)
+        """Persisted: most reports read it, like the stored enriched table.
+        Lost blocks are recomputed from lineage."""
+        return enrich.enrich_claims(self.silver_claims, self.customers_base).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def kpi(self) -> DataFrame:
@@ -73,7 +76,9 @@ class Layers:
 
     @cached_property
     def trends(self) -> DataFrame:
-        return gold.monthly_trends(self.enriched)
+        """Persisted: the window and forecast queries all start here (months x
+        policies rows)."""
+        return gold.monthly_trends(self.enriched).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def watchlist(self) -> DataFrame:
