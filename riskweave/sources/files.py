@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -101,8 +103,11 @@ def append_table(
                     df.writeTo(name).append()
                 return
             if partition_by:
-                cols = spark.table(name).columns
-                df.select(*cols).write.mode("overwrite").insertInto(name)
+                if len(partition_by) != 1:
+                    raise ValueError("catalog appends replace one partition column")
+                col = partition_by[0]
+                for row in df.select(col).distinct().collect():  # the partitions this write touches
+                    overwrite_partition(df.where(F.col(col) == row[0]), name, col, row[0])
             else:
                 df.write.mode("append").format(fmt).saveAsTable(name)
             return
@@ -120,6 +125,32 @@ def append_table(
         df.write.mode("append").format(fmt).save(path)
 
 
+def _sql_literal(value) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(value)
+
+
+def overwrite_partition(df: DataFrame, name: str, column: str, value) -> None:
+    """Replace one partition of a catalog table with ``df``'s rows.
+
+    A static partition spec replaces exactly that partition whatever the
+    session's partition-overwrite mode, so other runs' rows are never
+    touched and a retried run replaces its own rows instead of doubling them.
+    """
+    spark = df.sparkSession
+    cols = [c for c in spark.table(name).columns if c != column]
+    view = f"rw_part_{uuid.uuid4().hex}"
+    df.select(*cols).createOrReplaceTempView(view)
+    try:
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {name} PARTITION ({column} = {_sql_literal(value)}) "
+            f"SELECT {', '.join(f'`{c}`' for c in cols)} FROM {view}"
+        )
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
     """Table names of a database (the current one when not given)."""
     return [t.name for t in spark.catalog.listTables(database)]

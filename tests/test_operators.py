@@ -300,3 +300,35 @@ def test_nan_scores(spark):
     p = {(r.x if r.x == r.x else "nan"): r.p for r in scoring.with_percentile(df, "x", "p", buckets=2).collect()}
     assert p[1.0] == pytest.approx(100 / 3) and p[2.0] == pytest.approx(200 / 3) and p["nan"] == 100.0
     assert p[None] is None
+
+
+def test_catalog_history_keeps_other_runs_under_static_overwrite_default(spark):
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        spark.sql("CREATE DATABASE IF NOT EXISTS rw_hist")
+        df = spark.createDataFrame([(1,), (2,)], "claim_id long")
+        suite = quality.Suite("t", [quality.NotNull("nn", "claim_id")])
+        t = dt.datetime(2025, 1, 1)
+        for run in ("a", "b", "a"):
+            quality.run_gate(df, suite, history_table="rw_hist.dq", execution_id=run, execution_time=t)
+        ids = sorted(r.execution_id for r in spark.table("rw_hist.dq").collect())
+        assert ids == ["a", "b"]
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+
+
+def test_path_history_keeps_other_runs_under_static_overwrite_default(spark):
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        path = scratch_dir(spark, "hist-static")
+        df = spark.createDataFrame([(1,), (2,)], "claim_id long")
+        suite = quality.Suite("t", [quality.NotNull("nn", "claim_id")])
+        t = dt.datetime(2025, 1, 1)
+        for run in ("a", "b", "a"):
+            quality.run_gate(df, suite, history_path=path, execution_id=run, execution_time=t)
+        ids = sorted(r.execution_id for r in quality.read_history(spark, history_path=path).collect())
+        assert ids == ["a", "b"]
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
