@@ -98,11 +98,19 @@ def gold_kpi(store: Store, clock: Column | None = None) -> DataFrame:
     return store.read("gold_claims_kpi_by_state")
 
 
+def gold_trends(store: Store, clock: Column | None = None) -> DataFrame:
+    store.write(gold.monthly_trends(store.read("silver_claims_enriched"), built_at=_clock(clock)),
+                "gold_monthly_claim_trends")
+    return store.read("gold_monthly_claim_trends")
+
+
+def gold_watchlist(store: Store) -> DataFrame:
+    store.write(gold.high_risk_watchlist(store.read("silver_claims_enriched")), "gold_high_risk_watchlist")
+    return store.read("gold_high_risk_watchlist")
+
+
 def gold_trends_and_watchlist(store: Store, clock: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    enriched = store.read("silver_claims_enriched")
-    store.write(gold.monthly_trends(enriched, built_at=_clock(clock)), "gold_monthly_claim_trends")
-    store.write(gold.high_risk_watchlist(enriched), "gold_high_risk_watchlist")
-    return store.read("gold_monthly_claim_trends"), store.read("gold_high_risk_watchlist")
+    return gold_trends(store, clock), gold_watchlist(store)
 
 
 def classify(store: Store, **params) -> dict:

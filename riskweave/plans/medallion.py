@@ -57,7 +57,11 @@ def run_medallion(
     jobs.claims_enriched(store, clock, hot_key_fraction=hot_key_fraction)
     if gate:
         jobs.dq_enriched(store, execution_id=execution_id, execution_time=execution_time)
-    _parallel([lambda: jobs.gold_kpi(store, clock), lambda: jobs.gold_trends_and_watchlist(store, clock)], parallel)
+    _parallel(
+        [lambda: jobs.gold_kpi(store, clock), lambda: jobs.gold_trends(store, clock),
+         lambda: jobs.gold_watchlist(store)],
+        parallel,
+    )
     return dict(store.written)
 
 
