@@ -87,17 +87,19 @@ class ClassifierModels:
     metrics: dict
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-repartition on ``key`` when ``df`` has fewer partitions than the
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition round-robin when ``df`` has fewer partitions than the
     cluster has cores, so a CPU-heavy model stage gets a task per core.
-    On large inputs (many splits) this is a no-op: no extra shuffle."""
+    Round-robin cannot pile a repeated key into one task, and Spark sorts
+    before assigning rows, so a retried task gets the same rows.  On large
+    inputs (many splits) this is a no-op: no extra shuffle."""
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() >= target:
             return df
     except Exception:  # noqa: BLE001 - sessions without RDD access: leave as is
         return df
-    return df.repartition(target, key)
+    return df.repartition(target)
 
 
 def labelled_sample(data: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:
@@ -119,7 +121,7 @@ def train_classifiers(
     min_rows: int = 1000,
 ) -> ClassifierModels:
     data = labelled_sample(classifier_frame(enriched), key, fraction, seed)
-    sample = spread(data.where(F.col("split") != "unsampled"), key).persist()
+    sample = spread(data.where(F.col("split") != "unsampled")).persist()
     try:
         n = sample.count()
         if n < min_rows:
@@ -200,7 +202,7 @@ def claim_predictions(models: ClassifierModels, enriched: DataFrame, key: str =
                       fraction: float = 0.1, seed: int = 42) -> DataFrame:
     """``gold_ml_claim_predictions`` for every modelled claim, with the row's
     ``split`` (train / test / unsampled) so evaluation can use test rows."""
-    return score(models, spread(labelled_sample(classifier_frame(enriched), key, fraction, seed), key))
+    return score(models, spread(labelled_sample(classifier_frame(enriched), key, fraction, seed)))
 
 
 def confusion(predictions: DataFrame, actual: str, predicted: str, k: int | None = None) -> DataFrame:

@@ -178,7 +178,7 @@ def test_reference_size_forests_beat_chance(spark):
 def test_spread_gives_one_task_per_core(spark):
     one = spark.read.parquet(f"{SF_CHECK}/orders.parquet")
     assert one.rdd.getNumPartitions() == 1
-    spread = ml.spread(one, "o_orderkey")
+    spread = ml.spread(one)
     assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = one.repartition(64, "o_orderkey")
-    assert ml.spread(many, "o_orderkey") is many
+    assert ml.spread(many) is many
