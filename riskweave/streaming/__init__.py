@@ -1 +1,5 @@
+"""Structured Streaming use of the stateless layers."""
 
+from riskweave.streaming.incremental import enriched_stream, file_stream, run_to_completion, silver_claims_stream
+
+__all__ = ["enriched_stream", "file_stream", "run_to_completion", "silver_claims_stream"]
