@@ -332,3 +332,15 @@ def test_path_history_keeps_other_runs_under_static_overwrite_default(spark):
         assert ids == ["a", "b"]
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+
+
+def test_money_aggregates_exact_and_null_safe(spark):
+    from riskweave.functions import money_avg, money_sum
+
+    df = spark.createDataFrame([("a", None), ("a", None), ("b", 1.005), ("b", 2.0), ("c", 0.1), ("c", 0.2)],
+                               "g string, x double")
+    got = {r.g: (r.avg, r.s) for r in df.groupBy("g").agg(money_avg("x").alias("avg"),
+                                                          money_sum("x").alias("s")).collect()}
+    assert got["a"] == (None, None)
+    assert got["b"] == (1.51, 3.01)          # 1.005 is 1.01 in cents; mean 1.505 rounds half up
+    assert got["c"] == (0.15, 0.3)           # exact: no 0.30000000000000004
