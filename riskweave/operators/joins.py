@@ -16,7 +16,9 @@ share of the fact rows (one customer with a third of all claims):
    (no shuffle of the hot rows at all);
 3. every other row takes the normal shuffle join.
 
-The two parts are disjoint by key, so their union is exactly the inner join.
+The two parts are disjoint by key, so their union is exactly the join
+(inner or left; for a left join, rows with a NULL key stay in the shuffle
+part and keep their NULL columns).
 """
 
 from __future__ import annotations
@@ -43,7 +45,7 @@ def skew_aware_join(
     hot_key_fraction: float | None = None,
     max_broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
-    if how != "inner" or not hot_key_fraction:
+    if how not in ("inner", "left") or not hot_key_fraction:
         return fact.join(dim, key, how)
     keys = hot_keys(fact, key, hot_key_fraction)
     if not keys:
@@ -52,6 +54,7 @@ def skew_aware_join(
     hot_dim = dim.where(is_hot)
     if hot_dim.count() > max_broadcast_rows:
         return fact.join(dim, key, how)
-    hot = fact.where(is_hot).join(F.broadcast(hot_dim), key)
-    cold = fact.where(~is_hot).join(dim.where(~is_hot), key)
+    hot = fact.where(is_hot).join(F.broadcast(hot_dim), key, how)
+    not_hot = ~is_hot if how == "inner" else (~is_hot | F.col(key).isNull())
+    cold = fact.where(not_hot).join(dim.where(~is_hot), key, how)
     return hot.unionByName(cold)

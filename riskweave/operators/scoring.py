@@ -21,6 +21,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskweave.operators.joins import skew_aware_join
+
 MAX_BUCKETS = 4096
 
 
@@ -87,8 +89,13 @@ def percentile_table(df: DataFrame, col: str, out: str, buckets: int | None = No
     return ranked.select(F.col(x), (avg_rank / F.col("_n") * 100.0).alias(out))
 
 
-def with_percentile(df: DataFrame, col: str, out: str, buckets: int | None = None) -> DataFrame:
-    """Add the tie-aware percentile (0, 100] of ``col``; NULL stays NULL."""
+def with_percentile(df: DataFrame, col: str, out: str, buckets: int | None = None,
+                    hot_key_fraction: float | None = None) -> DataFrame:
+    """Add the tie-aware percentile (0, 100] of ``col``; NULL stays NULL.
+
+    The join back is on the value: a value held by a large share of the rows
+    is split off by AQE's skew join, or explicitly with ``hot_key_fraction``
+    (see ``joins.skew_aware_join``)."""
     table = percentile_table(df, col, out, buckets)
     keyed = df.withColumn("_pv", F.col(col).cast("double"))
-    return keyed.join(table, "_pv", "left").drop("_pv")
+    return skew_aware_join(keyed, table, "_pv", "left", hot_key_fraction=hot_key_fraction).drop("_pv")

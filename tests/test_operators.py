@@ -344,3 +344,12 @@ def test_money_aggregates_exact_and_null_safe(spark):
     assert got["a"] == (None, None)
     assert got["b"] == (1.51, 3.01)          # 1.005 is 1.01 in cents; mean 1.505 rounds half up
     assert got["c"] == (0.15, 0.3)           # exact: no 0.30000000000000004
+
+
+def test_percentile_with_hot_value_split(spark):
+    vals = [7.0] * 500 + [float(i) for i in range(300)] + [None] * 20
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, x double")
+    plain = {r.id: r.p for r in scoring.with_percentile(df, "x", "p", buckets=4).collect()}
+    split = {r.id: r.p for r in scoring.with_percentile(df, "x", "p", buckets=4, hot_key_fraction=0.2).collect()}
+    assert plain == split and len(split) == len(vals)
+    assert sum(p is None for p in split.values()) == 20
