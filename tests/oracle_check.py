@@ -57,12 +57,20 @@ def canon(cols, rows, digits=9):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
 
 
+# Spark simpleString -> DuckDB type name, for the schema check
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "date": "DATE"}
+
+
 def compare(spark, con, sf_dir, key, fn, sql, digits=DIGITS):
     t0 = time.time()
     df = fn(spark, sf_dir)
     s_cols = df.columns
+    s_types = dict(df.dtypes)
     s_rows = [tuple(r) for r in df.collect()]
     t1 = time.time()
+    rel = con.sql(sql)
+    d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
     res = con.execute(sql)
     d_cols = [d[0] for d in res.description]
     d_rows = res.fetchall()
@@ -70,6 +78,11 @@ def compare(spark, con, sf_dir, key, fn, sql, digits=DIGITS):
     problems = []
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns spark={s_cols} duck={d_cols}")
+    else:
+        wrong = [(c, s_types[c], d_types.get(c)) for c in s_cols
+                 if SPARK_TO_DUCK.get(s_types[c], s_types[c]) != d_types.get(c)]
+        if wrong:
+            problems.append(f"types {wrong}")
     if len(s_rows) != len(d_rows):
         problems.append(f"rows spark={len(s_rows)} duck={len(d_rows)}")
     if not problems:
