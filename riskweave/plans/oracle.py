@@ -457,3 +457,5 @@ ORACLE["dq_history_recent"] = _q(
     "SELECT execution_id, execution_time, check_name, dq_score, success"
     f" FROM ({_DQ_BOTH}) h WHERE target_table = 'customers' ORDER BY execution_time DESC, check_name LIMIT 12"
 )
+
+ORACLE["monthly_trends_stream"] = ORACLE["monthly_trends"]

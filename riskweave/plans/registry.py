@@ -432,6 +432,17 @@ def _enriched_stream(spark, sf_dir):
     return spark.read.parquet(f"{base}/out")
 
 
+@query("monthly_trends_stream")
+def _monthly_trends_stream(spark, sf_dir):
+    """Gold monthly trends maintained by a stateful stream over the orders
+    files (one file per micro-batch)."""
+    base = scratch_dir(spark, "stream-trends")
+    orders = incremental.file_stream(spark, f"{sf_dir}/orders.parquet", max_files_per_trigger=1)
+    stream = incremental.trends_stream(orders, Layers(spark, sf_dir).customers_base)
+    incremental.run_aggregate_to_table(stream, f"{base}/gold_monthly_claim_trends", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/gold_monthly_claim_trends")
+
+
 def _history(spark, sf_dir):
     """The stored history after both suites ran through the gate (no raise).
     Like a history table, it is written once per session and input folder;

@@ -1,4 +1,4 @@
-"""The stateless layers applied to a file stream (Structured Streaming).
+"""The layers applied to a file stream (Structured Streaming).
 
 The batch layers are DataFrame -> DataFrame functions, so the same code
 cleanses a stream: new ``orders`` files -> raw claims -> silver claims,
@@ -6,8 +6,13 @@ optionally joined with a static silver-customers table (stream-static
 join; the static side is re-read every micro-batch, so customer updates
 are picked up).  The file sink with a checkpoint is exactly-once, and
 ``availableNow`` processes everything present, then stops: a restartable
-incremental batch.  No stateful operator is involved, so there is no
-watermark and no state store.
+incremental batch.
+
+``trends_stream`` keeps the gold monthly trends up to date: a stateful
+streaming aggregation whose state is one row per (month, policy type),
+bounded by the calendar, so complete output mode is affordable; each
+micro-batch overwrites the gold table with the full result (replaying a
+batch writes the same table again).
 """
 
 from __future__ import annotations
@@ -19,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskweave.operators.cleanse import silver_claims
 from riskweave.operators.enrich import enrich_claims
+from riskweave.operators.gold import monthly_trends
 from riskweave.sources.fixtures import claims_from
 
 
@@ -62,3 +68,27 @@ def run_to_completion(stream: DataFrame, sink_path: str, checkpoint_path: str, f
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+
+
+def trends_stream(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """Gold monthly trends over the enriched claims stream (stateful)."""
+    return monthly_trends(enriched_stream(orders, customers))
+
+
+def run_aggregate_to_table(stream: DataFrame, table_path: str, checkpoint_path: str, fmt: str = "parquet") -> None:
+    """Complete-mode aggregate: every micro-batch overwrites ``table_path``
+    with the whole current result; process what is available, then stop."""
+
+    def overwrite(batch: DataFrame, _batch_id: int) -> None:
+        batch.write.mode("overwrite").format(fmt).save(table_path)
+
+    q = (
+        stream.writeStream.outputMode("complete")
+        .option("checkpointLocation", checkpoint_path)
+        .foreachBatch(overwrite)
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()

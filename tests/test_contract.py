@@ -182,3 +182,14 @@ def test_spread_gives_one_task_per_core(spark):
     assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = one.repartition(64, "o_orderkey")
     assert ml.spread(many) is many
+
+
+def test_trends_stream_restart_keeps_table(spark):
+    base = scratch_dir(spark, "trends-stream")
+    orders = incremental.file_stream(spark, f"{SF_SMALL}/orders.parquet")
+    stream = incremental.trends_stream(orders, Layers(spark, SF_SMALL).customers_base)
+    out, ck = f"{base}/t", f"{base}/ck"
+    incremental.run_aggregate_to_table(stream, out, ck)
+    first = sorted(map(tuple, spark.read.parquet(out).collect()))
+    incremental.run_aggregate_to_table(stream, out, ck)  # no new files: nothing changes
+    assert sorted(map(tuple, spark.read.parquet(out).collect())) == first and len(first) == 374
