@@ -106,7 +106,8 @@ def append_table(
                 if len(partition_by) != 1:
                     raise ValueError("catalog appends replace one partition column")
                 col = partition_by[0]
-                for row in df.select(col).distinct().collect():  # the partitions this write touches
+                # the partitions this write touches (one per gate run: a bounded handful)
+                for row in df.select(col).distinct().collect():
                     overwrite_partition(df.where(F.col(col) == row[0]), name, col, row[0])
             else:
                 df.write.mode("append").format(fmt).saveAsTable(name)
