@@ -3,7 +3,10 @@
 ``Layers(spark, sf_dir)`` exposes every medallion layer as a DataFrame
 built from the driver's Parquet tables.  Nothing runs until an action; the
 table-wide customer scores (z-score stats, percentile bounds) run their
-small preparatory jobs when ``silver_customers`` is first asked for.
+small preparatory jobs when ``silver_customers`` is first asked for.  The
+enriched and trend layers are persisted (memory and disk) the first time an
+action reads them, as the batch would read its stored tables; lost blocks
+are recomputed from lineage.
 """
 
 from __future__ import annotations
