@@ -99,8 +99,13 @@ def test_medallion_catalog_tables(spark):
     assert written["gold_claims_kpi_by_state"] == "rw_test.gold_claims_kpi_by_state"
     assert spark.table("rw_test.silver_claims_enriched").count() == 1195
     assert spark.table("rw_test.data_quality_check").count() == 7
-    medallion.register_views(spark, medallion.Store(spark, database="rw_test"))
-    assert spark.table("vw_executive_claims_by_state").count() == 10
+    store = medallion.Store(spark, database="rw_test")
+    medallion.register_views(spark, store)
+    from riskweave.operators import gold
+    sql_view = sorted(map(tuple, spark.table("rw_test.vw_executive_claims_by_state").collect()))
+    df_view = sorted(map(tuple, gold.executive_by_state(store.read("gold_claims_kpi_by_state")).collect()))
+    assert sql_view == df_view and len(sql_view) == 10
+    assert spark.table("rw_test.vw_high_risk_claims_report").count() == 107
 
 
 def test_stream_resumes_from_checkpoint(spark):
