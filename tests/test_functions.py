@@ -140,3 +140,11 @@ def test_functions_stay_native(spark, capsys):
     plan = capsys.readouterr().out
     assert "Project" in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_months_accepts_date_and_ltz(spark):
+    df = spark.sql("SELECT DATE'2019-01-31' AS a, TIMESTAMP'2019-01-31 10:00:00' AS b")
+    r = df.select(months_to_book_end("a"), months_to_book_end("b")).first()
+    want_a = relativedelta(dt.datetime(2024, 12, 31), dt.datetime(2019, 1, 31))
+    want_b = relativedelta(dt.datetime(2024, 12, 31), dt.datetime(2019, 1, 31, 10))
+    assert list(r) == [want_a.years * 12 + want_a.months, want_b.years * 12 + want_b.months] == [71, 70]
