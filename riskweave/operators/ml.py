@@ -85,6 +85,7 @@ class ClassifierModels:
     denial_forest: object
     train_rows: int
     metrics: dict
+    test_rows: int = 0
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -160,6 +161,7 @@ def train_classifiers(
                 labelCol="is_denied", predictionCol="denied_prediction", metricName="accuracy"),
         }
         models.metrics = {k: e.evaluate(scored) for k, e in evaluators.items()}
+        models.test_rows = scored.count()
         scored.unpersist()
         return models
     finally:

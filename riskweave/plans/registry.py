@@ -359,7 +359,8 @@ def _denial_confusion(spark, sf_dir):
 @query("ml_metrics")
 def _ml_metrics(spark, sf_dir):
     m = _classifiers(spark, sf_dir)
-    rows = [(k, float(v)) for k, v in m.metrics.items()] + [("train_rows", float(m.train_rows))]
+    rows = [(k, float(v)) for k, v in m.metrics.items()] + [
+        ("train_rows", float(m.train_rows)), ("test_rows", float(m.test_rows))]
     return spark.createDataFrame(rows, "metric string, value double")
 
 
