@@ -12,7 +12,7 @@ from riskweave.functions.calendar import (
     months_to_book_end,
 )
 from riskweave.functions.risk import HIGH_THRESHOLD, MEDIUM_THRESHOLD, risk_band
-from riskweave.operators.scoring import with_percentile, with_zscore
+from riskweave.operators.scoring import score_stats, with_percentile, with_zscore
 
 # Claim statuses kept by silver, exact case, tested before tidying.
 VALID_CLAIM_STATUSES = ("Approved", "Pending", "Denied", "In Review")
@@ -75,8 +75,11 @@ def silver_customers(
     percentile of ``fraud_risk_score``.  ``processed_at`` (e.g.
     ``F.current_timestamp()``) adds ``silver_processed_at``."""
     base = customers_base(customers, **base_kwargs)
-    scored = with_zscore(base, "fraud_risk_score", "fraud_risk_zscore", digits=score_digits)
-    scored = with_percentile(scored, "fraud_risk_score", "fraud_risk_percentile", buckets=percentile_buckets)
+    # one preparatory pass gives the z-score statistics and the bucket bounds
+    mean, sd, bounds = score_stats(base, "fraud_risk_score", percentile_buckets)
+    scored = with_zscore(base, "fraud_risk_score", "fraud_risk_zscore", digits=score_digits, stats=(mean, sd))
+    scored = with_percentile(scored, "fraud_risk_score", "fraud_risk_percentile", buckets=percentile_buckets,
+                             bounds=bounds)
     cols = [F.col(c) for c in SILVER_CUSTOMER_COLUMNS]
     if processed_at is not None:
         cols.append(processed_at.alias("silver_processed_at"))

@@ -35,9 +35,33 @@ def zscore_stats(df: DataFrame, col: str) -> tuple[float | None, float | None]:
     return row["m"], row["s"]
 
 
-def with_zscore(df: DataFrame, col: str, out: str, digits: int | None = None) -> DataFrame:
-    """Add ``(col - mean) / sd``; NULL when the value is NULL or sd is 0."""
-    mean, sd = zscore_stats(df, col)
+def default_buckets(df: DataFrame) -> int:
+    """One bucket per shuffle partition, capped so the quantile sketch and the
+    split array stay small on a cluster with huge partition counts."""
+    return max(1, min(MAX_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))))
+
+
+def score_stats(df: DataFrame, col: str, buckets: int | None = None) -> tuple:
+    """(mean, population sd, bucket bounds) of ``col`` in ONE aggregate pass:
+    the z-score statistics (NULL and NaN omitted) and ``percentile_approx``
+    bounds for the percentile's buckets."""
+    buckets = buckets or default_buckets(df)
+    x = F.col(col).cast("double")
+    clean = F.when(~F.isnan(x), x)
+    aggs = [F.avg(clean).alias("m"), F.stddev_pop(clean).alias("s")]
+    probs = [i / buckets for i in range(1, buckets)]
+    if probs:
+        aggs.append(F.percentile_approx(clean, F.array(*[F.lit(p) for p in probs]), 4 * buckets).alias("b"))
+    row = df.agg(*aggs).first()
+    bounds = list(row["b"] or []) if probs else []
+    return row["m"], row["s"], bounds
+
+
+def with_zscore(df: DataFrame, col: str, out: str, digits: int | None = None,
+                stats: tuple | None = None) -> DataFrame:
+    """Add ``(col - mean) / sd``; NULL when the value is NULL or sd is 0.
+    ``stats`` = (mean, sd) when already computed (see ``score_stats``)."""
+    mean, sd = stats if stats is not None else zscore_stats(df, col)
     if mean is None or sd is None or sd == 0:
         z = F.lit(None).cast("double")
     else:
@@ -47,19 +71,17 @@ def with_zscore(df: DataFrame, col: str, out: str, digits: int | None = None) ->
     return df.withColumn(out, z)
 
 
-def percentile_table(df: DataFrame, col: str, out: str, buckets: int | None = None) -> DataFrame:
-    """(value, percentile) for every distinct non-null value of ``col``."""
-    spark = df.sparkSession
-    if buckets is None:
-        # one bucket per shuffle partition, capped so the quantile sketch and
-        # the split array stay small on a cluster with huge partition counts
-        buckets = min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    buckets = max(1, buckets)
+def percentile_table(df: DataFrame, col: str, out: str, buckets: int | None = None,
+                     bounds: list | None = None) -> DataFrame:
+    """(value, percentile) for every distinct non-null value of ``col``.
+    ``bounds`` = precomputed bucket bounds (any bounds give exact ranks)."""
+    buckets = max(1, buckets or default_buckets(df))
     x = "_pv"
     values = df.select(F.col(col).cast("double").alias(x)).where(F.col(x).isNotNull())
 
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = values.approxQuantile(x, probs, 1.0 / (4 * buckets)) if probs else []
+    if bounds is None:
+        probs = [i / buckets for i in range(1, buckets)]
+        bounds = values.approxQuantile(x, probs, 1.0 / (4 * buckets)) if probs else []
     bounds = sorted({b for b in bounds if b == b and b not in (float("inf"), float("-inf"))})
     splits = [float("-inf")] + bounds + [float("inf")]
 
@@ -90,12 +112,12 @@ def percentile_table(df: DataFrame, col: str, out: str, buckets: int | None = No
 
 
 def with_percentile(df: DataFrame, col: str, out: str, buckets: int | None = None,
-                    hot_key_fraction: float | None = None) -> DataFrame:
+                    hot_key_fraction: float | None = None, bounds: list | None = None) -> DataFrame:
     """Add the tie-aware percentile (0, 100] of ``col``; NULL stays NULL.
 
     The join back is on the value: a value held by a large share of the rows
     is split off by AQE's skew join, or explicitly with ``hot_key_fraction``
     (see ``joins.skew_aware_join``)."""
-    table = percentile_table(df, col, out, buckets)
+    table = percentile_table(df, col, out, buckets, bounds)
     keyed = df.withColumn("_pv", F.col(col).cast("double"))
     return skew_aware_join(keyed, table, "_pv", "left", hot_key_fraction=hot_key_fraction).drop("_pv")

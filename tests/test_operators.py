@@ -353,3 +353,10 @@ def test_percentile_with_hot_value_split(spark):
     split = {r.id: r.p for r in scoring.with_percentile(df, "x", "p", buckets=4, hot_key_fraction=0.2).collect()}
     assert plain == split and len(split) == len(vals)
     assert sum(p is None for p in split.values()) == 20
+
+
+def test_silver_customers_all_null_scores(spark):
+    rows = [(1, 30.0, "CA", None), (2, 40.0, "TX", None)]
+    cu = spark.createDataFrame(rows, "customer_id long, age double, state string, fraud_risk_score double")
+    out = cleanse.silver_customers(cu).collect()
+    assert [(r.fraud_risk_zscore, r.fraud_risk_percentile, r.fraud_risk_band) for r in out] == [(None, None, "LOW")] * 2
