@@ -221,11 +221,17 @@ def test_approx_unique_ratio_needs_no_grouped_pass(spark, capsys):
 
 
 def test_results_independent_of_shuffle_partitions(spark):
+    """Every side-effect-free oracle key: same rows with 1 and 7 shuffle
+    partitions (SURVEY section 5, item 3)."""
+    import os
+    import sys
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
     from riskweave.plans.registry import all_queries
 
-    keys = ["kpi_by_state", "silver_customers", "dq_enriched", "monthly_total", "executive_by_state",
-            "claims_enriched", "monthly_trends", "watchlist", "risk_percentile", "rolling_avg_3m",
-            "linear_trend_forecast", "dq_customers", "hash_sample", "dq_unexpected_sample", "top_states_by_amount"]
+    import __spark_entry__ as E
+    from plan_audit import ML, SIDE_EFFECTS
+
+    keys = [k for k in E.oracle_sql() if k not in SIDE_EFFECTS and k not in ML]
     seen = {}
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
