@@ -16,7 +16,8 @@ values = st.lists(
 )
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, derandomize=True,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(vals=values, buckets=st.integers(1, 9))
 def test_percentile_equals_average_rank(spark, vals, buckets):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, x double")
