@@ -366,3 +366,11 @@ def test_silver_customers_all_null_scores(spark):
     cu = spark.createDataFrame(rows, "customer_id long, age double, state string, fraud_risk_score double")
     out = cleanse.silver_customers(cu).collect()
     assert [(r.fraud_risk_zscore, r.fraud_risk_percentile, r.fraud_risk_band) for r in out] == [(None, None, "LOW")] * 2
+
+
+def test_month_spine_on_timestamp_layer(spark):
+    t = Layers(spark, SF_SMALL).trends
+    dense = timeseries.month_spine(t)
+    assert dict(dense.dtypes)["claim_month"] == "timestamp"
+    assert dense.count() >= t.count()
+    assert dense.join(t, ["policy_type", "claim_month"], "left_anti").where("claim_count != 0").count() == 0
