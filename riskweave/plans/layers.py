@@ -40,6 +40,16 @@ class Layers:
             cls._instances[key] = inst
         return inst
 
+    @classmethod
+    def release(cls, spark: SparkSession | None = None) -> None:
+        """Unpersist and forget the layers of one session (all when None)."""
+        for key, inst in list(cls._instances.items()):
+            if spark is None or inst.spark is spark:
+                for name in ("enriched", "trends"):
+                    if name in inst.__dict__:
+                        inst.__dict__[name].unpersist()
+                del cls._instances[key]
+
     def _init(self, spark: SparkSession, sf_dir: str, score_digits: int | None) -> None:
         self.spark = spark
         self.sf_dir = sf_dir

@@ -558,4 +558,12 @@ def all_queries() -> dict[str, Query]:
     return dict(REGISTRY)
 
 
-__all__ = ["REGISTRY", "all_queries", "query"]
+def reset(spark: SparkSession | None = None) -> None:
+    """Release a session's cached layers, models and history (all when None)."""
+    Layers.release(spark)
+    for k in list(_SESSION_STATE):
+        if spark is None or (k[1] == spark.sparkContext.applicationId and k[2] == id(spark)):
+            del _SESSION_STATE[k]
+
+
+__all__ = ["REGISTRY", "all_queries", "query", "reset"]

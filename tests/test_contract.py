@@ -198,3 +198,14 @@ def test_trends_stream_restart_keeps_table(spark):
     first = sorted(map(tuple, spark.read.parquet(out).collect()))
     incremental.run_aggregate_to_table(stream, out, ck)  # no new files: nothing changes
     assert sorted(map(tuple, spark.read.parquet(out).collect())) == first and len(first) == 374
+
+
+def test_reset_releases_session_state(spark):
+    from riskweave.plans import registry
+
+    lay = Layers(spark, SF_SMALL)
+    lay.enriched.count()
+    assert lay.enriched.is_cached
+    registry.reset(spark)
+    assert not lay.enriched.is_cached
+    assert Layers(spark, SF_SMALL) is not lay

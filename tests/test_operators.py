@@ -237,13 +237,13 @@ def test_results_independent_of_shuffle_partitions(spark):
     try:
         for n in ("1", "7"):
             spark.conf.set("spark.sql.shuffle.partitions", n)
-            Layers._instances.clear()
+            Layers.release(spark)
             for k in keys:
                 rows = sorted(map(repr, all_queries()[k](spark, SF_SMALL).collect()))
                 seen.setdefault(k, []).append(rows)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
-        Layers._instances.clear()
+        Layers.release(spark)
     for k, (a, b) in seen.items():
         assert a == b, k
 
