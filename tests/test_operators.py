@@ -374,3 +374,17 @@ def test_month_spine_on_timestamp_layer(spark):
     assert dict(dense.dtypes)["claim_month"] == "timestamp"
     assert dense.count() >= t.count()
     assert dense.join(t, ["policy_type", "claim_month"], "left_anti").where("claim_count != 0").count() == 0
+
+
+def test_cluster_conf_keys_are_valid_session_settings(spark):
+    from riskweave.session import cluster_conf
+
+    conf = cluster_conf(shuffle_bytes=10 * 1024**4, total_cores=4000)
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)  # raises on an unknown or static key
+            assert spark.conf.get(k) == v
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
