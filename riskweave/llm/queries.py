@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, langid, linededup, packing, quality, subdedup, topk, wavelet
+from riskweave.llm import bpe, jaccard, langid, linededup, packing, quality, subdedup, topk, wavelet
 from riskweave.llm.ship import ship
 from riskweave.session import scratch_dir
 
@@ -52,6 +52,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.drop_boilerplate(_table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("size").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subdedup.remove_repeats(_table(spark, sf_dir, "documents"))
 
@@ -77,5 +82,5 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: _shipped(f) for f in (
         op1_language_id, op2_quality_rules, op4_best_fit_packing, op5_exact_top_k, op6_token_output, op7_line_dedup,
-        op9_substring_dedup, op10_byte_bpe,
+        op8_ngram_jaccard, op9_substring_dedup, op10_byte_bpe,
     )}
