@@ -17,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import langid, linededup, packing, subdedup
+from riskweave.llm import jaccard, langid, linededup, packing, subdedup
 from riskweave.llm.common import staged
 from riskweave.llm.ship import ship
 
@@ -41,6 +41,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _with_words(linededup.drop_boilerplate(docs, keep=COLUMNS))
 
 
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return jaccard.keep_one(docs).select(*COLUMNS)
+
+
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     return _with_words(subdedup.remove_repeats(docs, keep=COLUMNS))
@@ -54,6 +59,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 STAGES = [
     ("language_id", language_id),
     ("line_dedup", line_dedup),
+    ("ngram_jaccard_join", ngram_jaccard_join),
     ("substring_dedup", substring_dedup),
     ("best_fit_packing", best_fit_packing),
 ]

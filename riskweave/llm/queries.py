@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, jaccard, langid, linededup, packing, quality, subdedup, topk, wavelet
+from riskweave.llm import bpe, jaccard, langid, linededup, lm, packing, quality, subdedup, topk, wavelet
 from riskweave.llm.ship import ship
 from riskweave.session import scratch_dir
 
@@ -32,6 +32,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.line_frequency_verdict(_table(spark, sf_dir, "documents"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(
         _table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), outputs={"ids_crc32": F.crc32("ids")}
@@ -81,6 +85,6 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: _shipped(f) for f in (
-        op1_language_id, op2_quality_rules, op4_best_fit_packing, op5_exact_top_k, op6_token_output, op7_line_dedup,
+        op1_language_id, op2_quality_rules, op3_lm_scoring, op4_best_fit_packing, op5_exact_top_k, op6_token_output, op7_line_dedup,
         op8_ngram_jaccard, op9_substring_dedup, op10_byte_bpe,
     )}

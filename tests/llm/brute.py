@@ -156,6 +156,32 @@ def sha(data):
     return hashlib.sha256(data).hexdigest()
 
 
+def lm_scores(docs, order=2, backoff=0.4):
+    """docs: (key, text) -> (key, words, log score) in order, counts of the other documents."""
+    seqs = [words(t) for _, t in docs]
+    grams = [Counter(tuple(w[i : i + n]) for n in range(1, order + 1) for i in range(len(w) - n + 1)) for w in seqs]
+    total, size = Counter(), sum(map(len, seqs))
+    for g in grams:
+        total.update(g)
+    out = []
+    for (key, _), w, own in zip(docs, seqs, grams):
+        score = 0.0
+        for i in range(len(w)):
+            weight = 1.0
+            for n in range(min(order, i + 1), 0, -1):
+                g = tuple(w[i - n + 1 : i + 1])
+                c = total[g] - own[g]
+                if n == 1:
+                    score += math.log(weight * max(c, 1) / max(size - len(w), 1))
+                elif c > 0:
+                    score += math.log(weight * c / (total[g[:-1]] - own[g[:-1]]))
+                    break
+                else:
+                    weight *= backoff
+        out.append((key, len(w), score))
+    return out
+
+
 def without_repeats(docs, min_words=20):
     """docs: (key, text) with distinct keys -> {key: text without runs of repeated sentences}."""
     end = re.compile(r"[.!?](?=[\x20\x09-\x0D])|\n")
