@@ -138,6 +138,22 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[n
     return hashes, np.searchsorted(starts, offsets)
 
 
+def pack_numbers(values: np.ndarray) -> bytes:
+    """Unsigned integers in as few bytes each as the largest needs, byte plane
+    by byte plane, so that the shuffle's compression finds the empty planes."""
+    values = np.ascontiguousarray(values, "<u8")
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + values.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def unpack_numbers(data: bytes) -> np.ndarray:
+    width = data[0]
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel()
+
+
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 

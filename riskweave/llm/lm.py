@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import HASH_BYTES, plain, slices, text_bytes, text_sizes, windows, words
+from riskweave.llm.common import HASH_BYTES, pack_numbers, plain, slices, text_bytes, text_sizes, unpack_numbers, windows, words
 
 #: Under this name a block sends its number of words.
 _ALL = np.uint64(0)
@@ -121,27 +121,29 @@ def score_documents(
         grams, count = _distinct(*_block_words(table["text"]), order)
         to = _bucket(grams, buckets)
         edges = [0, *(np.flatnonzero(np.diff(to)) + 1).tolist(), len(to)]
+        spans = list(zip(edges, edges[1:]))
         block = table["block"][0].as_py()
         return pa.table(
             {
-                "block": pa.array([block] * (len(edges) - 1), pa.int64()),
+                "block": pa.array([block] * len(spans), pa.int64()),
                 "bucket": pa.array(to[edges[:-1]], pa.int64()),
-                "grams": pa.array([grams[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary()),
-                "counts": pa.array([count[a:b].astype("<u4").tobytes() for a, b in zip(edges, edges[1:])], pa.binary()),
+                # sorted, so the steps between them are shorter
+                "grams": pa.array([pack_numbers(np.diff(grams[a:b], prepend=np.uint64(0))) for a, b in spans], pa.binary()),
+                "counts": pa.array([pack_numbers(count[a:b]) for a, b in spans], pa.binary()),
             }
         )
 
     def add_up(table: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(x.as_buffer(), "<u8") for c in table["grams"].chunks for x in c]
-        counts = [np.frombuffer(x.as_buffer(), "<u4") for c in table["counts"].chunks for x in c]
+        parts = [np.cumsum(unpack_numbers(x.as_py()), dtype=np.uint64) for x in table["grams"]]
+        counts = [unpack_numbers(x.as_py()) for x in table["counts"]]
         found, back = np.unique(np.concatenate(parts), return_inverse=True)
-        totals = np.bincount(back, weights=np.concatenate(counts), minlength=len(found)).astype("<u8")[back]
+        totals = np.bincount(back, weights=np.concatenate(counts), minlength=len(found)).astype(np.uint64)[back]
         ends = np.cumsum([len(x) for x in parts])[:-1]
         return pa.table(
             {
                 "block": table["block"],
                 "bucket": table["bucket"],
-                "totals": pa.array([x.tobytes() for x in np.split(totals, ends)], pa.binary()),
+                "totals": pa.array([pack_numbers(x) for x in np.split(totals, ends)], pa.binary()),
             }
         )
 
@@ -149,7 +151,7 @@ def score_documents(
         hashes, bounds = _block_words(own["text"])
         grams, _ = _distinct(hashes, bounds, order)
         told = told.sort_by("bucket")
-        totals = np.concatenate([np.frombuffer(x.as_buffer(), "<u8") for c in told["totals"].chunks for x in c]).astype(np.int64)
+        totals = np.concatenate([unpack_numbers(x.as_py()) for x in told["totals"]]).astype(np.int64)
         scores = np.concatenate([[0.0], np.cumsum(backoff_scores(hashes, bounds, grams, totals, order, backoff))])
         n = np.diff(bounds)
         total = np.where(n > 0, scores[bounds[1:]] - scores[bounds[:-1]], 0.0)
