@@ -25,9 +25,12 @@ rule makes the result independent of what is on it.
 
 Signatures are brought together in hash buckets as numpy blocks.  Classes
 that share one form a group.  Groups are not expanded into pairs: first each
-member is compared with the group's smallest class; links found so far are
-contracted; only members of a group that are then still in different
-components are compared with each other.  A comparison first bounds the
+member is compared with the group's smallest class, and the links are
+contracted to components.  While large groups leave much to compare, their
+members outside the group's largest component are compared with a few of its
+members in turn.  Then all members that are still in different components are
+compared: pair by pair in small groups, and in large ones by products of 0/1
+matrices over blocks of a whole family of groups.  A comparison first bounds the
 intersection by the cell counts of both sets, which rules out most pairs, and
 then takes the whole sets; both are exact.
 
@@ -39,7 +42,7 @@ are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import combinations
@@ -48,7 +51,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.llm.common import (
@@ -157,9 +160,9 @@ def class_id(features: np.ndarray) -> int:
 
 
 def cell_counts(features: np.ndarray) -> bytes:
-    """How many features fall into each of about size / 4 cells (a power of
+    """How many features fall into each of about ``size`` cells (a power of
     two), a byte each; empty if a cell has more than a byte tells."""
-    bits = max(0, (len(features) // 4).bit_length() - 1)
+    bits = max(0, len(features).bit_length() - 1)
     cell = (mix64(features) >> np.uint64(63 - bits) >> np.uint64(1)).astype(np.int64)
     count = np.bincount(cell, minlength=1 << bits)
     return count.astype(np.uint8).tobytes() if count.max(initial=0) < 256 else b""
@@ -332,6 +335,87 @@ def memberships(met: DataFrame) -> DataFrame:
     return rare.unionByName(kept).distinct()
 
 
+def class_sets(ids: DataFrame, members: DataFrame, docs: DataFrame, n: int, key: str, text: str) -> DataFrame:
+    """``id, features`` (sorted little-endian uint64) of the classes in ``ids``, from one row of each."""
+    one = ids.join(members, "id").groupBy("id").agg(F.min(F.struct("key", "tie")).alias("k"))
+    rows = docs.select(plain(key).alias("key"), F.xxhash64(plain(text)).alias("tie"), plain(text).alias("text"))
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, own in _sets(batches, 0, n):
+            yield pa.record_batch(
+                [pa.array([class_id(x) for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())],
+                names=["id", "features"],
+            )
+
+    chosen = join_small(rows, one.select("k.key", "k.tie"), ["key", "tie"]).select("text")
+    return staged(chosen.mapInArrow(whole, "id bigint, features binary").dropDuplicates(["id"]), "features")
+
+
+def similar_rows(x: list[np.ndarray], y: list[np.ndarray], columns: int = 1 << 14) -> np.ndarray:
+    """Which sets of x are similar enough to which of y, by products of 0/1
+    matrices over ``columns`` features at a time."""
+    shared = np.zeros((len(x), len(y)), np.float32)
+    flat_x, flat_y = np.concatenate(x), np.concatenate(y)
+    both = np.intersect1d(flat_x, flat_y)
+    row_x, row_y = (np.repeat(np.arange(len(z)), [len(v) for v in z]) for z in (x, y))
+    at_x, at_y = np.searchsorted(both, flat_x), np.searchsorted(both, flat_y)
+    in_x, in_y = is_in(flat_x, both), is_in(flat_y, both)
+    for low in range(0, len(both), columns):
+        width = min(columns, len(both) - low)
+        sides = []
+        for z, row, at, inside in ((x, row_x, at_x, in_x), (y, row_y, at_y, in_y)):
+            here = inside & (at >= low) & (at < low + width)
+            side = np.zeros((len(z), width), np.float32)
+            side[row[here], at[here] - low] = 1
+            sides.append(side)
+        shared += sides[0] @ sides[1].T
+    sizes = np.add.outer([len(v) for v in x], [len(v) for v in y])
+    return 100 * shared >= 75 * (sizes - shared)
+
+
+def family_links(large: DataFrame, sets_of: Callable[[DataFrame], DataFrame], block: int = 256) -> DataFrame:
+    """Links ``a, b`` between different components inside families.
+
+    ``large``: ``g, id, label`` of the groups.  A family is what the groups
+    connect; all its members are compared with those outside its largest
+    component, in blocks of about ``block`` by ``block`` sets, so a task's
+    size does not depend on the family's.
+    """
+    pivots = large.groupBy("g").agg(F.min("id").alias("a"))
+    family = connected_components(large.join(pivots, "g").where("id <> a").select("a", F.col("id").alias("b")).distinct())
+    own = staged(large.select("id", "label").distinct().join(family.withColumnRenamed("label", "family"), "id"), "family")
+    of_label = own.groupBy("family", "label").agg(F.count("*").alias("m"))
+    shape = of_label.groupBy("family").agg(F.max(F.struct("m", "label")).alias("top"), F.sum("m").alias("m"))
+    shape = shape.select(
+        "family",
+        F.col("top.label").alias("top"),
+        F.ceil(F.col("m") / block).cast("int").alias("n_x"),
+        F.ceil((F.col("m") - F.col("top.m")) / block).cast("int").alias("n_y"),
+    ).where("n_y > 0")
+    told = own.join(shape, "family").join(sets_of(own.select("id")), "id")
+
+    def dealt(rows: DataFrame, mine: str, other: str) -> DataFrame:
+        deal = F.pmod(F.xxhash64("id"), F.col(f"n_{mine}")).cast("int").alias(mine)
+        every = F.explode(F.sequence(F.lit(0), F.col(f"n_{other}") - 1)).alias(other)
+        # names of its own, as both sides come from one table
+        return rows.select("family", "id", "label", "features", deal, every).select(
+            F.col("family").alias(f"family_{mine}"), "id", "label", "features", F.col("x").alias(f"x_{mine}"), F.col("y").alias(f"y_{mine}")
+        )
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        close = similar_rows(*([np.frombuffer(v, "<u8") for v in side["features"]] for side in (left, right)))
+        close &= np.not_equal.outer(left["label"].to_numpy(), right["label"].to_numpy())
+        at_x, at_y = np.nonzero(close)
+        a, b = left["id"].to_numpy()[at_x], right["id"].to_numpy()[at_y]
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    x, y = dealt(told, "x", "y"), dealt(told.where("label <> top").toDF(*told.columns), "y", "x")
+    blocks = x.groupBy("family_x", "x_x", "y_x").cogroup(y.groupBy("family_y", "x_y", "y_y"))
+    return blocks.applyInPandas(compare, "a bigint, b bigint").distinct()
+
+
 def linked(pairs: DataFrame, shape: DataFrame, members: DataFrame, docs: DataFrame, n: int, key: str, text: str) -> DataFrame:
     """The pairs ``a, b`` of classes whose sets are similar enough."""
 
@@ -359,20 +443,7 @@ def linked(pairs: DataFrame, shape: DataFrame, members: DataFrame, docs: DataFra
         & possible("cells_a", "cells_b", "size_a", "size_b")
     )
     maybe = staged(maybe.select("a", "b"), "pairs")
-    # whole sets, from one row of each class
-    ids = maybe.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    one = ids.join(members, "id").groupBy("id").agg(F.min(F.struct("key", "tie")).alias("k"))
-    rows = docs.select(plain(key).alias("key"), F.xxhash64(plain(text)).alias("tie"), plain(text).alias("text"))
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, own in _sets(batches, 0, n):
-            yield pa.record_batch(
-                [pa.array([class_id(x) for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())],
-                names=["id", "features"],
-            )
-
-    chosen = join_small(rows, one.select("k.key", "k.tie"), ["key", "tie"]).select("text")
-    sets = staged(chosen.mapInArrow(whole, "id bigint, features binary").dropDuplicates(["id"]), "features")
+    sets = class_sets(maybe.select(F.explode(F.array("a", "b")).alias("id")).distinct(), members, docs, n, key, text)
     return beside(maybe, sets, ["features"]).where(similar("features_a", "features_b")).select("a", "b")
 
 
@@ -385,6 +456,7 @@ def near_duplicates(
     sample_docs: int = 20_000,
     common_least: int = 64,
     common_most: int = 200_000,
+    pivots_a_round: int = 4,
     bucket_signatures: int = 2_000_000,
 ) -> DataFrame:
     """``key, tie, size, label, component`` of every row: set size, the component's
@@ -410,14 +482,42 @@ def near_duplicates(
     first = staged(first, "pairs")
     links = staged(linked(first, *verified), "links")
     labels = connected_components(links)
-    # what is left: members of a group in different components, not yet compared
-    now = met.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    split = now.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("g")
-    left = staged(now.join(split, "g"), "unresolved")
-    other = left.select("g", F.col("id").alias("b"), F.col("label").alias("its"))
-    rest = left.join(other, "g").where((F.col("id") < F.col("b")) & (F.col("label") != F.col("its")))
+    rounds = 0
+    while True:
+        now = met.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        of_label = now.groupBy("g", "label").agg(F.count("*").alias("m"))
+        most = of_label.groupBy("g").agg(F.max(F.struct("m", "label")).alias("top"), F.sum("m").alias("m"), F.count("*").alias("labels"))
+        most = most.where("labels > 1").select("g", "m", F.col("top.label").alias("top"), (F.col("m") - F.col("top.m")).alias("out"))
+        left = staged(now.join(most, "g"), "unresolved")
+        large = left.where(F.col("m") > frequent)
+        work = large.agg(F.count_if(F.col("label") != F.col("top")).alias("out"), F.sum("out").alias("pairs")).first()
+        if (work["pairs"] or 0) <= 64 * met.count():
+            break
+        # large groups: those outside the largest component, with a few others of its members each round
+        order = Window.partitionBy("g").orderBy(F.xxhash64("id", F.lit(rounds)), "id")
+        some = large.where("label = top").withColumn("r", F.row_number().over(order)).where(F.col("r") <= pivots_a_round)
+        pairs = large.where("label <> top").select("g", "id").join(some.select("g", F.col("id").alias("other")), "g")
+        pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+        more = staged(linked(pairs, *verified), "links")
+        links = staged(links.unionByName(more).distinct(), "links")
+        found = more.count()
+        if found:
+            labels = connected_components(links)
+        rounds += 1
+        if 16 * found < large.where("label <> top").select("id").distinct().count():
+            break
+    # small groups: their members in different components, not yet compared
+    small = left.where((F.col("m") > 2) & (F.col("m") <= frequent)).select("g", "id", "label")
+    other = small.select("g", F.col("id").alias("b"), F.col("label").alias("its"))
+    rest = small.join(other, "g").where((F.col("id") < F.col("b")) & (F.col("label") != F.col("its")))
     rest = rest.select(F.col("id").alias("a"), "b").distinct().join(first, ["a", "b"], "left_anti")
-    more = staged(linked(rest, *verified), "links")
+    more = linked(rest, *verified)
+    # large ones: whole families, in blocks
+    now = left.where(F.col("m") > frequent).select("g", "id").join(labels, "id", "left")
+    now = staged(now.withColumn("label", F.coalesce("label", "id")), "unresolved")
+    if not now.isEmpty():
+        more = more.unionByName(family_links(now, lambda ids: class_sets(ids, members, docs, n, key, text)))
+    more = staged(more, "links")
     labels = connected_components(links.unionByName(more)) if not more.isEmpty() else labels
     classes = shape.select("id", "key").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     named = classes.groupBy("label").agg(F.min("key").alias("component"))

@@ -1,5 +1,99 @@
-"""DuckDB SQL for the corpus queries that SQL can express."""
+"""DuckDB SQL for the corpus queries that SQL can express on whole tables."""
 
 from __future__ import annotations
 
-LLM_ORACLE: dict[str, str] = {}
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+OP2 = rf"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS text,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), x -> trim(x, {_BLANKS}) <> '') AS l
+  FROM documents),
+grams AS (
+  SELECT doc_id, unnest(range(1, len(w) - 3)) AS i, w FROM d WHERE len(w) >= 5),
+named AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g FROM grams),
+again AS (SELECT doc_id, i FROM named QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n
+  FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM again) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, source, lower(regexp_replace(trim(x, {_BLANKS}), '[\x20\x09-\x0D]+', ' ', 'g')) AS line
+  FROM (SELECT doc_id, source, unnest(l) AS x FROM d)),
+often AS (
+  SELECT source, line FROM lines JOIN (SELECT source, count(*) AS total FROM documents GROUP BY source) USING (source)
+  GROUP BY source, line, total HAVING count(DISTINCT doc_id) >= 10 AND count(DISTINCT doc_id) > total * 0.1),
+removed AS (
+  SELECT doc_id, count(*) AS n_lines, sum(len(string_split(line, ' '))) AS n_words
+  FROM lines JOIN often USING (source, line) GROUP BY doc_id),
+counted AS (
+  SELECT d.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
+    len(l) AS n_lines, coalesce(r.n_lines, 0) AS n_removed_lines, coalesce(r.n_words, 0) AS n_removed_words
+  FROM d LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN removed r ON r.doc_id = d.doc_id)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+  n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+  (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND n_removed_words <= n_words * 0.5 AS kept,
+  n_lines::BIGINT AS n_lines, n_removed_lines::BIGINT AS n_removed_lines, n_removed_words::BIGINT AS n_removed_words
+FROM counted
+"""
+
+OP5 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), z -> z[1] * z[2]))::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
+"""
+
+OP7 = f"""
+WITH l AS (
+  SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+seen AS (
+  SELECT source, line, count(*) AS n
+  FROM (SELECT source, unnest(list_distinct(list_transform(lines, x -> trim(x, {_BLANKS})))) AS line FROM l)
+  WHERE line <> '' GROUP BY source, line),
+hosts AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
+bad AS (
+  SELECT source, list(line) AS boilerplate FROM seen JOIN hosts USING (source)
+  WHERE pages >= 10 AND n > pages * 0.1 GROUP BY source),
+kept AS (
+  SELECT doc_id, text, lines,
+    list_filter(lines, x -> NOT list_contains(coalesce(boilerplate, []), trim(x, {_BLANKS})) OR trim(x, {_BLANKS}) = '') AS k
+  FROM l LEFT JOIN bad USING (source))
+SELECT doc_id, CASE WHEN text IS NULL THEN NULL ELSE coalesce(array_to_string(k, chr(10)), '') END AS text,
+  coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(len(lines) - len(k), 0)::BIGINT AS n_dropped
+FROM kept
+"""
+
+OP8 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+half AS (
+  SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+links AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN n USING (doc_id)
+"""
+
+LLM_ORACLE: dict[str, str] = {
+    "op2_quality_rules": OP2,
+    "op5_exact_top_k": OP5,
+    "op7_line_dedup": OP7,
+    "op8_ngram_jaccard": OP8,
+}
