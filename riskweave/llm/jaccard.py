@@ -60,7 +60,7 @@ from riskweave.llm.common import (
 from riskweave.llm.components import connected_components
 
 #: Bands up to this size use one cell a feature; from LARGE on, subsets are enumerated.
-SMALL, LARGE = 96, 1024
+SMALL, LARGE = 64, 1024
 
 
 @dataclass(frozen=True)
@@ -83,7 +83,7 @@ def level(number: int) -> Level:
     if high <= SMALL:
         return Level(number, high, 0)
     if high < LARGE:
-        return Level(number, high, -(-high // 2))
+        return Level(number, high, -(-2 * high // 5))
     return Level(number, high, -(-high // 5), 3, 1)
 
 
@@ -456,7 +456,7 @@ def near_duplicates(
     sample_docs: int = 20_000,
     common_least: int = 64,
     common_most: int = 200_000,
-    pivots_a_round: int = 4,
+    pivots_a_round: int = 2,
     bucket_signatures: int = 2_000_000,
 ) -> DataFrame:
     """``key, tie, size, label, component`` of every row: set size, the component's
