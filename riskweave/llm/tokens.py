@@ -17,7 +17,7 @@ import pyarrow as pa
 from riskweave.llm.common import SLICE_BYTES, slices, text_sizes
 
 #: Distinct words that a worker remembers before it starts afresh.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_000_000
 
 _CLOSING = frozenset(".,;:!?")
 
@@ -42,12 +42,16 @@ class WordEncoder:
         if len(known) > CACHE_WORDS:
             known.clear()
         new = {w for words in split for w in words}.difference(known)
-        # a mark behind an ASCII letter is always a piece of its own
-        marked = [w for w in new if len(w) > 1 and w[-1] in _CLOSING and w[-2].isascii() and w[-2].isalpha()]
-        marks = {w[-1] for w in marked}
-        self._learn(list((new.difference(marked) | {w[:-1] for w in marked} | marks).difference(known)))
-        for w in marked:
-            known[w] = known[w[:-1]] + known[w[-1]]
+        # A mark behind an ASCII letter is always a piece of its own, and the
+        # vocabulary is lower case: such words are learnt once for all forms.
+        parts = {}
+        for w in new:
+            marked = len(w) > 1 and w[-1] in _CLOSING and w[-2].isascii() and w[-2].isalpha()
+            stem, mark = (w[:-1], w[-1]) if marked else (w, "")
+            parts[w] = (stem.lower() if stem.isascii() else stem, mark)
+        self._learn(list({x for pair in parts.values() for x in pair}.difference(known)))
+        for w, (stem, mark) in parts.items():
+            known[w] = known[stem] + known[mark] if mark else known[stem]
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
 

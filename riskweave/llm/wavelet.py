@@ -163,7 +163,7 @@ def write_token_shards(
     path: str,
     vocabulary_path: str,
     end_id: int = 2,
-    shard_tokens: int = 1 << 20,
+    shard_tokens: int = 1 << 18,
     key: str = "doc_id",
     text: str = "text",
 ) -> None:
