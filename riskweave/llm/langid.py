@@ -160,4 +160,6 @@ def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float, tex
                 said = [model.predict(x) for x in part.column(at).to_pylist()]
                 yield part.filter(pa.array([name != UNDETERMINED and score >= min_score for name, score in said], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    # by position: a mapped table's column names must not hold dots
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(columns))])
+    return numbered.mapInArrow(run, numbered.schema).toDF(*columns)

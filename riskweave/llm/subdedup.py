@@ -122,8 +122,8 @@ def remove_repeats(
         plain(key).alias("_id"), F.xxhash64(plain(text)).alias("_tie"), plain(text).alias("_text"), *[plain(c) for c in columns]
     )
     joined = rows.join(found, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_tie") == F.col("tie")), "left").select(
-        F.col("_id").alias(key), *[plain(c) for c in columns], F.col("_text").alias(text), "digests"
-    )
+        F.col("_id").alias("c0"), *[plain(c).alias(f"c{i + 1}") for i, c in enumerate(columns)], F.col("_text").alias("text"), "digests"
+    )  # names without dots, which a mapped table must not hold
     at = len(columns) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,8 +138,9 @@ def remove_repeats(
                     spans.append([{"start": a, "length": n} for a, n in gone])
                 yield pa.record_batch(
                     [*part.columns[:at], pa.array(texts, pa.string()), pa.array(spans, span)],
-                    names=[*part.schema.names[:at], text, "spans"],
+                    names=[*part.schema.names[:at], "text", "spans"],
                 )
 
     schema = ", ".join(f"`{n}` {t}" for n, t in joined.dtypes[: at + 1])
-    return joined.mapInArrow(run, f"{schema}, spans array<struct<start:bigint,length:bigint>>")
+    cut_ = joined.mapInArrow(run, f"{schema}, spans array<struct<start:bigint,length:bigint>>")
+    return cut_.toDF(key, *columns, text, "spans")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from riskweave.llm.common import plain, staged
 
 LEAF_ROWS = 128
-_LAST = np.iinfo(np.int64).max
+_LAST = 2**63 - 1
 
 
 class BallTree:
@@ -132,7 +132,10 @@ def top_k(
     n = rows.agg(F.count("*").alias("n"), F.count_if(is_query).alias("q")).first()
     shards, blocks = max(1, -(-n["n"] // shard_rows)), max(1, -(-n["q"] // block_queries))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("uid"), F.lit(shards)).cast("int"))
-    queries = rows.where(F.coalesce(is_query, F.lit(False))).withColumn(
+    asked_for = rows.where(F.coalesce(is_query, F.lit(False)))
+    # inside the tasks a missing id is the last one, so that ids stay integers
+    rows, asked_for = (x.withColumn("id", F.coalesce("id", F.lit(_LAST))) for x in (rows, asked_for))
+    queries = asked_for.withColumn(
         "block", F.pmod(F.xxhash64("uid", F.lit("block")), F.lit(blocks)).cast("int")
     )
     schema = "quid bigint, query_id bigint, uid bigint, vec bigint, score bigint"
@@ -147,14 +150,14 @@ def top_k(
             matrix, questions = _matrix(own["bytes"]), _matrix(wanted["bytes"])
             if dim and float(np.abs(matrix.astype(float)).max()) * float(np.abs(questions.astype(float)).max()) * dim >= 2.0**62:
                 raise ValueError("an inner product may need more than 64 bits")
-            ids, uids = own["id"].fillna(_LAST).to_numpy().astype(np.int64), own["uid"].to_numpy()
+            ids, uids = own["id"].to_numpy(), own["uid"].to_numpy()
             tree = BallTree(matrix)
             for q, quid, qid, threshold in zip(questions, wanted["uid"], wanted["id"], wanted["threshold"]):
                 at, scores = tree.search(q, ids, uids, quid, k, threshold)
                 out["quid"].append(np.full(len(at), quid))
                 out["query_id"].append(np.full(len(at), qid))
                 out["uid"].append(uids[at])
-                out["vec"].append(own["id"].to_numpy()[at])
+                out["vec"].append(ids[at])
                 out["score"].append(scores)
         return pd.DataFrame({c: np.concatenate(x) if x else np.zeros(0, np.int64) for c, x in out.items()})
 
@@ -180,5 +183,10 @@ def top_k(
     return (
         found.withColumn("rank", F.row_number().over(nth).cast("int"))
         .where(F.col("rank") <= k)
-        .select("query_id", "rank", F.col("vec").alias(id_column), "score")
+        .select(
+            F.when(F.col("query_id") != _LAST, F.col("query_id")).alias("query_id"),
+            "rank",
+            F.when(F.col("vec") != _LAST, F.col("vec")).alias(id_column),
+            "score",
+        )
     )

@@ -120,9 +120,9 @@ def top_k(rows, k=10, scale=1024):
         if v is None or v % 100:
             continue
         scores = m @ m[n]
-        best = sorted((-int(s), w, j) for (j, w, _), s in zip(ok, scores) if j != i)[:k]
-        out += [(v, r + 1, w, -s) for r, (s, w, _) in enumerate(best)]
-    return sorted(out)
+        best = sorted((-int(s), w is None, w or 0, j, w) for (j, w, _), s in zip(ok, scores) if j != i)[:k]
+        out += [(v, r + 1, w, -s) for r, (s, *_, w) in enumerate(best)]
+    return sorted(out, key=repr)
 
 
 def word_ids(text, _own={}):  # noqa: B006 - loaded once
