@@ -88,19 +88,16 @@ class ClassifierModels:
     test_rows: int = 0
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Repartition round-robin when ``df`` has fewer partitions than the
-    cluster has cores, so a CPU-heavy model stage gets a task per core.
-    Round-robin cannot pile a repeated key into one task, and Spark sorts
-    before assigning rows, so a retried task gets the same rows.  On large
-    inputs (many splits) this is a no-op: no extra shuffle."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # noqa: BLE001 - sessions without RDD access: leave as is
-        return df
-    return df.repartition(target)
+#: Partitions of the training rows.  Forests seed their bagging per partition,
+#: so the layout is fixed: the same rows give the same model on any cluster.
+TRAIN_PARTITIONS = 16
+
+
+def training_layout(df: DataFrame, key: str) -> DataFrame:
+    """The rows in ``TRAIN_PARTITIONS`` partitions by key hash, each in key order
+    (equal keys by a hash of the row), however ``df`` was partitioned."""
+    row = F.xxhash64(*[F.col(c) for c in df.columns])
+    return df.repartition(TRAIN_PARTITIONS, key).sortWithinPartitions(F.col(key), row)
 
 
 def labelled_sample(data: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:
@@ -122,7 +119,7 @@ def train_classifiers(
     min_rows: int = 1000,
 ) -> ClassifierModels:
     data = labelled_sample(classifier_frame(enriched), key, fraction, seed)
-    sample = spread(data.where(F.col("split") != "unsampled")).persist()
+    sample = training_layout(data.where(F.col("split") != "unsampled"), key).persist()
     try:
         n = sample.count()
         if n < min_rows:
@@ -133,13 +130,15 @@ def train_classifiers(
         features = feature_pipeline().fit(train)
         labels = StringIndexer(inputCol="policy_type", outputCol="policy_label", handleInvalid="skip").fit(train)
         train_f = labels.transform(features.transform(train)).persist()
+        sizes = [len(m.labels) for m in features.stages if isinstance(m, StringIndexerModel)]
+        bins = max([32, *(n + 1 for n in sizes)])  # one more for unseen values
         forests = [
             RandomForestClassifier(
-                labelCol="policy_label", featuresCol="features", numTrees=num_trees, maxDepth=max_depth, seed=seed,
+                labelCol="policy_label", featuresCol="features", numTrees=num_trees, maxDepth=max_depth, seed=seed, maxBins=bins,
                 predictionCol="policy_prediction", rawPredictionCol="policy_raw", probabilityCol="policy_probability",
             ),
             RandomForestClassifier(
-                labelCol="is_denied", featuresCol="features", numTrees=num_trees, maxDepth=max_depth, seed=seed,
+                labelCol="is_denied", featuresCol="features", numTrees=num_trees, maxDepth=max_depth, seed=seed, maxBins=bins,
                 predictionCol="denied_prediction", rawPredictionCol="denied_raw", probabilityCol="denied_probability",
             ),
         ]
@@ -149,7 +148,7 @@ def train_classifiers(
         train_f.unpersist()
 
         models = ClassifierModels(features, labels, policy_forest, denial_forest, train_rows, {})
-        scored = labels.transform(score(models, test, keep_model_columns=True)).persist()
+        scored = score(models, test, keep_model_columns=True).persist()
         evaluators = {
             "policy_accuracy": MulticlassClassificationEvaluator(
                 labelCol="policy_label", predictionCol="policy_prediction", metricName="accuracy"),
@@ -178,8 +177,10 @@ def fit_concurrently(jobs: list) -> list:
 
 
 def score(models: ClassifierModels, df: DataFrame, keep_model_columns: bool = False) -> DataFrame:
-    """One transform chain: features, policy forest, denial forest."""
-    out = models.denial_forest.transform(models.policy_forest.transform(models.features.transform(df)))
+    """One transform chain: features, policy forest, denial forest.  Rows of a
+    policy type that the training rows lack are skipped, as in the metrics."""
+    known = models.policy_labels.transform(models.features.transform(df))
+    out = models.denial_forest.transform(models.policy_forest.transform(known))
     out = IndexToString(
         inputCol="policy_prediction", outputCol="predicted_policy_type", labels=models.policy_labels.labels
     ).transform(out)
@@ -204,7 +205,7 @@ def claim_predictions(models: ClassifierModels, enriched: DataFrame, key: str =
                       fraction: float = 0.1, seed: int = 42) -> DataFrame:
     """``gold_ml_claim_predictions`` for every modelled claim, with the row's
     ``split`` (train / test / unsampled) so evaluation can use test rows."""
-    return score(models, spread(labelled_sample(classifier_frame(enriched), key, fraction, seed)))
+    return score(models, labelled_sample(classifier_frame(enriched), key, fraction, seed))
 
 
 def confusion(predictions: DataFrame, actual: str, predicted: str, k: int | None = None) -> DataFrame:

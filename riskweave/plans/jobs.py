@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 
 from riskweave.operators import cleanse, enrich, gold, ml, quality
 from riskweave.plans.store import HISTORY, Store
-from riskweave.sources.files import read_csv
+from riskweave.sources.files import read_csv, read_csv_by_name
 
-CUSTOMERS_SCHEMA = "customer_id BIGINT, age DOUBLE, state STRING, fraud_risk_score DOUBLE"
+CUSTOMERS_SCHEMA = "customer_id BIGINT, age INT, state STRING, fraud_risk_score DOUBLE"
 
 
 def _clock(clock: Column | None) -> Column:
@@ -41,8 +41,8 @@ def _clock(clock: Column | None) -> Column:
 
 
 def load_customers(store: Store, csv_path: str, schema: str | None = CUSTOMERS_SCHEMA) -> DataFrame:
-    """Bronze customers from CSV with a header (``schema=None`` infers types)."""
-    df = read_csv(store.spark, csv_path, schema=schema, infer_schema=schema is None)
+    """Bronze customers from CSV, columns by header name, others kept (``schema=None`` infers types)."""
+    df = read_csv_by_name(store.spark, csv_path, schema) if schema else read_csv(store.spark, csv_path, infer_schema=True)
     store.write(df, "customers")
     return store.read("customers")
 

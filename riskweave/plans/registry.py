@@ -17,14 +17,12 @@ from pyspark.sql import functions as F
 from riskweave.functions import calendar
 from riskweave.functions.calendar import month_ordinal
 from riskweave.operators import gold, ml, quality, reports, sampling, scoring, timeseries
-from riskweave.plans import medallion
+from riskweave.plans import jobs, medallion
 from riskweave.plans.layers import Layers
 from riskweave.session import scratch_dir
 from riskweave.sources import files, fixtures
 from riskweave.streaming import incremental
 
-CUSTOMERS_CSV_SCHEMA = "customer_id BIGINT, age INT, state STRING, fraud_risk_score DOUBLE"
-
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
@@ -394,15 +392,17 @@ FIXED_TIME = dt.datetime(2025, 1, 1, 6, 0, 0)
 
 @query("bronze_customers_csv")
 def _bronze_customers_csv(spark, sf_dir):
-    """Customers staged as CSV in the shared scratch folder, read back with
-    an explicit schema (the bronze CSV load)."""
+    """Customers staged as CSV in the shared scratch folder, with another
+    column and order, read back by header name (the bronze CSV load)."""
     path = scratch_dir(spark, "bronze-csv")
     (
-        Layers(spark, sf_dir).customers.write.option("header", True)
+        Layers(spark, sf_dir).customers
+        .select("state", "customer_id", F.lit("x").alias("first_name"), "fraud_risk_score", "age")
+        .write.option("header", True)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .mode("overwrite").csv(path)
     )
-    return files.read_csv(spark, path, schema=CUSTOMERS_CSV_SCHEMA)
+    return files.read_csv_by_name(spark, path, jobs.CUSTOMERS_SCHEMA).drop("first_name")
 
 
 @query("medallion_run")

@@ -8,6 +8,7 @@ from riskweave.sources.files import (
     list_tables,
     overwrite_partition,
     read_csv,
+    read_csv_by_name,
     read_parquet,
     read_table,
     write_table,
@@ -16,6 +17,6 @@ from riskweave.sources.fixtures import claims_from, claims_raw, customers_from,
 
 __all__ = [
     "append_table", "claims_from", "claims_raw", "create_database", "customers_from", "customers_raw",
-    "list_databases", "list_tables", "overwrite_partition", "read_csv", "read_parquet", "read_table",
+    "list_databases", "list_tables", "overwrite_partition", "read_csv", "read_csv_by_name", "read_parquet", "read_table",
     "write_table",
 ]

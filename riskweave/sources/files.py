@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_csv(
@@ -28,6 +28,37 @@ def read_csv(
     return reader.csv(path)
 
 
+def read_csv_by_name(spark: SparkSession, path: str, schema: StructType | str, malformed: str = "error") -> DataFrame:
+    """CSV scan that finds the columns of ``schema`` by their header names.
+
+    Other columns follow as strings, in file order.  A missing column is an
+    error, and so is a file whose header differs from the first one's.  A
+    value that does not parse raises when it is read (``malformed="error"``)
+    or is NULL (``"null"``); blank values are NULL.
+    """
+    if malformed not in ("error", "null"):
+        raise ValueError("malformed is 'error' or 'null'")
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    header = spark.read.option("header", True).csv(path).columns
+    by_name = {c.strip().lower(): c for c in header}
+    missing = [f.name for f in wanted if f.name.lower() not in by_name]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header {header}")
+    text = StructType([StructField(c, StringType()) for c in header])
+    rows = spark.read.option("header", True).option("enforceSchema", False).schema(text).csv(path)
+    columns = []
+    for f in wanted:
+        raw = F.col("`" + by_name[f.name.lower()].replace("`", "``") + "`")
+        raw = F.when(F.trim(raw) != "", raw)
+        value = raw.try_cast(f.dataType)
+        if malformed == "error":
+            said = F.concat(F.lit(f"{f.name} is no {f.dataType.simpleString()}: "), raw)
+            value = F.when(raw.isNotNull() & value.isNull(), F.raise_error(said).cast(f.dataType)).otherwise(value)
+        columns.append(value.alias(f.name))
+    used = {by_name[f.name.lower()] for f in wanted}
+    return rows.select(*columns, *[F.col("`" + c.replace("`", "``") + "`") for c in header if c not in used])
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -180,13 +180,46 @@ def test_reference_size_forests_beat_chance(spark):
     assert models.train_rows > 800
 
 
-def test_spread_gives_one_task_per_core(spark):
-    one = spark.read.parquet(f"{SF_CHECK}/orders.parquet")
-    assert one.rdd.getNumPartitions() == 1
-    spread = ml.spread(one)
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = one.repartition(64, "o_orderkey")
-    assert ml.spread(many) is many
+def test_forests_do_not_depend_on_partitions(spark):
+    enriched = Layers(spark, SF_CHECK).enriched
+    seen = []
+    for n in (2, 7):
+        models = ml.train_classifiers(enriched.repartition(n), num_trees=4, max_depth=4)
+        rows = ml.claim_predictions(models, enriched).orderBy("claim_id").collect()
+        seen.append((models.metrics, rows))
+    assert seen[0][1] == seen[1][1]
+
+
+def test_forests_take_many_categories_and_skip_unseen_labels(spark):
+    from pyspark.sql import functions as F
+
+    enriched = Layers(spark, SF_CHECK).enriched
+    many = enriched.withColumn("state", F.concat(F.lit("S"), F.pmod(F.xxhash64("claim_id"), F.lit(60))))
+    models = ml.train_classifiers(many, num_trees=2, max_depth=3)
+    odd = many.withColumn("policy_type", F.lit("Unheard of"))
+    assert ml.claim_predictions(models, odd).isEmpty()
+
+
+def test_csv_columns_by_header_name(spark, tmp_path):
+    import pytest
+    from riskweave.plans.jobs import CUSTOMERS_SCHEMA
+    from riskweave.sources import files
+
+    def load(name, text, **options):
+        (tmp_path / name).write_text(text)
+        return files.read_csv_by_name(spark, str(tmp_path / name), CUSTOMERS_SCHEMA, **options)
+
+    more = load("a.csv", "customer_id,first_name,age,state,fraud_risk_score\n1,Ann,34,CA,0.5\n2,,,TX,\n")
+    assert more.columns == ["customer_id", "age", "state", "fraud_risk_score", "first_name"]
+    assert [tuple(r) for r in more.orderBy("customer_id").collect()] == [(1, 34, "CA", 0.5, "Ann"), (2, None, "TX", None, None)]
+    turned = load("b.csv", "customer_id,state,age,fraud_risk_score\n1,CA,34,0.5\n")
+    assert [tuple(r) for r in turned.collect()] == [(1, 34, "CA", 0.5)]
+    with pytest.raises(ValueError, match="fraud_risk_score"):
+        load("c.csv", "customer_id,state,age\n1,CA,34\n")
+    bad = "customer_id,state,age,fraud_risk_score\nC001,CA,34,0.5\n"
+    with pytest.raises(Exception, match="C001"):
+        load("d.csv", bad).collect()
+    assert load("e.csv", bad, malformed="null").collect()[0]["customer_id"] is None
 
 
 def test_trends_stream_restart_keeps_table(spark):
