@@ -7,8 +7,8 @@ _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 OP2 = rf"""
 WITH d AS (
   SELECT doc_id, source, coalesce(text, '') AS text,
-    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
-    list_filter(string_split(coalesce(text, ''), chr(10)), x -> trim(x, {_BLANKS}) <> '') AS l
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, {_BLANKS}) <> '') AS l
   FROM documents),
 grams AS (
   SELECT doc_id, unnest(range(1, len(w) - 3)) AS i, w FROM d WHERE len(w) >= 5),
@@ -42,10 +42,10 @@ FROM counted
 
 OP5 = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), z -> z[1] * z[2]))::BIGINT AS score
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2]))::BIGINT AS score
   FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0)
 SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
 FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
@@ -56,7 +56,7 @@ WITH l AS (
   SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
 seen AS (
   SELECT source, line, count(*) AS n
-  FROM (SELECT source, unnest(list_distinct(list_transform(lines, x -> trim(x, {_BLANKS})))) AS line FROM l)
+  FROM (SELECT source, unnest(list_distinct(list_transform(lines, lambda x: trim(x, {_BLANKS})))) AS line FROM l)
   WHERE line <> '' GROUP BY source, line),
 hosts AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
 bad AS (
@@ -64,7 +64,7 @@ bad AS (
   WHERE pages >= 10 AND n > pages * 0.1 GROUP BY source),
 kept AS (
   SELECT doc_id, text, lines,
-    list_filter(lines, x -> NOT list_contains(coalesce(boilerplate, []), trim(x, {_BLANKS})) OR trim(x, {_BLANKS}) = '') AS k
+    list_filter(lines, lambda x: NOT list_contains(coalesce(boilerplate, []), trim(x, {_BLANKS})) OR trim(x, {_BLANKS}) = '') AS k
   FROM l LEFT JOIN bad USING (source))
 SELECT doc_id, CASE WHEN text IS NULL THEN NULL ELSE coalesce(array_to_string(k, chr(10)), '') END AS text,
   coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(len(lines) - len(k), 0)::BIGINT AS n_dropped
@@ -74,7 +74,7 @@ FROM kept
 OP8 = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(
-    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 s AS (
   SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g

@@ -132,7 +132,7 @@ def top_k(
     n = rows.agg(F.count("*").alias("n"), F.count_if(is_query).alias("q")).first()
     shards, blocks = max(1, -(-n["n"] // shard_rows)), max(1, -(-n["q"] // block_queries))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("uid"), F.lit(shards)).cast("int"))
-    asked_for = rows.where(F.coalesce(is_query, F.lit(False)))
+    asked_for = rows.where(F.coalesce(is_query, F.lit(False))).toDF(*rows.columns)  # columns of its own
     # inside the tasks a missing id is the last one, so that ids stay integers
     rows, asked_for = (x.withColumn("id", F.coalesce("id", F.lit(_LAST))) for x in (rows, asked_for))
     queries = asked_for.withColumn(
