@@ -49,7 +49,7 @@ def kpi_by_state(
     """
     aggs = [
         F.count(F.lit(1)).alias("claim_count"),
-        F.round(money_sum("claim_amount"), 2).alias("total_claim_amount"),
+        money_sum("claim_amount").alias("total_claim_amount"),
         money_avg("claim_amount").alias("avg_claim_amount"),
         F.round(F.avg("fraud_risk_score"), 4).alias("avg_fraud_risk_score"),
         count_where(F.col("fraud_risk_band") == high_band).alias("high_risk_customer_claims"),
@@ -62,7 +62,7 @@ def monthly_trends(enriched: DataFrame, built_at: Column | None = None) -> DataF
     """``gold_monthly_claim_trends``: one row per (claim_month, policy_type)."""
     aggs = [
         F.count(F.lit(1)).alias("claim_count"),
-        F.round(money_sum("claim_amount"), 2).alias("total_claim_amount"),
+        money_sum("claim_amount").alias("total_claim_amount"),
         money_avg("claim_amount").alias("avg_claim_amount"),
     ]
     return enriched.groupBy("claim_month", "policy_type").agg(*_built_at(aggs, built_at))
@@ -88,7 +88,7 @@ def executive_by_state(kpi: DataFrame) -> DataFrame:
     is the unweighted mean of the per-policy means (the view's definition)."""
     return kpi.groupBy("state").agg(
         F.sum("claim_count").alias("total_claims"),
-        F.round(money_sum("total_claim_amount"), 2).alias("total_claim_amount"),
+        money_sum("total_claim_amount").alias("total_claim_amount"),
         F.round(F.avg(F.col("avg_fraud_risk_score").cast("decimal(18,4)")), 4)
         .cast("double")
         .alias("avg_fraud_risk_score"),

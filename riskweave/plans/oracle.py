@@ -68,22 +68,17 @@ def months_sql(ts: str, end: str = "2024-12-31 00:00:00") -> str:
     )
 
 
-def exact_avg(col: str, scale: int = 2) -> str:
-    """Mean of a fixed-point column, rounded half-up at ``scale``, as DOUBLE,
-    using integer arithmetic only."""
-    unit = 10**scale
-    units = f"CAST(SUM(CAST({col} AS DECIMAL(18,{scale}))) * {unit} AS HUGEINT)"
-    n = f"COUNT({col})"
+def exact_avg(col: str, digits: int = 2, scale: int = 8) -> str:
+    """ROUND(AVG(col), digits), half-up, as DOUBLE: integer arithmetic on the
+    sum at ``scale`` digits, so a tie does not hang on a DOUBLE's last bit."""
+    units = f"CAST(SUM(CAST({col} AS DECIMAL(28,{scale}))) * {10**scale} AS HUGEINT)"
+    n = f"(COUNT({col}) * {10 ** (scale - digits)})"
     return (
         f"(CASE WHEN {units} >= 0 THEN ({units} * 2 + {n}) // ({n} * 2)"
-        f" ELSE -((-{units} * 2 + {n}) // ({n} * 2)) END) / {unit}.0E0"
+        f" ELSE -((-{units} * 2 + {n}) // ({n} * 2)) END) / {10**digits}.0E0"
     )
 
 
-def exact_sum(col: str, scale: int = 2) -> str:
-    return f"CAST(SUM(CAST({col} AS DECIMAL(18,{scale}))) AS DOUBLE)"
-
-
 BASE = f"""
 WITH customers AS ({FIXTURE_CUSTOMERS}),
 claims AS ({FIXTURE_CLAIMS}),
@@ -123,7 +118,7 @@ enriched AS (
 ),
 kpi AS (
   SELECT state, policy_type, COUNT(*) AS claim_count,
-    ROUND({exact_sum('claim_amount')}, 2) AS total_claim_amount,
+    ROUND(SUM(claim_amount), 2) AS total_claim_amount,
     {exact_avg('claim_amount')} AS avg_claim_amount,
     ROUND(AVG(fraud_risk_score), 4) AS avg_fraud_risk_score,
     CAST(SUM(CASE WHEN fraud_risk_band = 'HIGH' THEN 1 ELSE 0 END) AS BIGINT) AS high_risk_customer_claims,
@@ -132,7 +127,7 @@ kpi AS (
 ),
 trends AS (
   SELECT claim_month, policy_type, COUNT(*) AS claim_count,
-    ROUND({exact_sum('claim_amount')}, 2) AS total_claim_amount,
+    ROUND(SUM(claim_amount), 2) AS total_claim_amount,
     {exact_avg('claim_amount')} AS avg_claim_amount
   FROM enriched GROUP BY claim_month, policy_type
 ),
@@ -144,7 +139,7 @@ watchlist AS (
 ),
 executive AS (
   SELECT state, CAST(SUM(claim_count) AS BIGINT) AS total_claims,
-    ROUND({exact_sum('total_claim_amount')}, 2) AS total_claim_amount,
+    ROUND(SUM(total_claim_amount), 2) AS total_claim_amount,
     {exact_avg('avg_fraud_risk_score', 4)} AS avg_fraud_risk_score,
     CAST(SUM(high_risk_customer_claims) AS BIGINT) AS high_risk_claims,
     CAST(SUM(denied_claims) AS BIGINT) AS denied_claims
@@ -193,7 +188,7 @@ ORACLE: dict[str, str] = {
     ),
     "policy_compare": _q(
         "SELECT policy_type, CAST(SUM(claim_count) AS BIGINT) AS claim_count,"
-        f" ROUND({exact_sum('total_claim_amount')}, 2) AS total_claim_amount"
+        f" ROUND(SUM(total_claim_amount), 2) AS total_claim_amount"
         " FROM kpi WHERE policy_type IN ('Auto', 'Home') GROUP BY policy_type"
     ),
     "watchlist_by_policy": _q("SELECT policy_type, COUNT(*) AS count FROM watchlist GROUP BY policy_type"),

@@ -343,12 +343,14 @@ def test_path_history_keeps_other_runs_under_static_overwrite_default(spark):
 def test_money_aggregates_exact_and_null_safe(spark):
     from riskweave.functions import money_avg, money_sum
 
-    df = spark.createDataFrame([("a", None), ("a", None), ("b", 1.005), ("b", 2.0), ("c", 0.1), ("c", 0.2)],
-                               "g string, x double")
+    rows = [("a", None), ("a", None), ("b", 1.005), ("b", 2.0), ("c", 0.1), ("c", 0.2), ("e", -1.005), ("e", -2.0)]
+    df = spark.createDataFrame(rows + [("d", 10.004)] * 1000, "g string, x double")
     got = {r.g: (r.avg, r.s) for r in df.groupBy("g").agg(money_avg("x").alias("avg"),
                                                           money_sum("x").alias("s")).collect()}
     assert got["a"] == (None, None)
-    assert got["b"] == (1.51, 3.01)          # 1.005 is 1.01 in cents; mean 1.505 rounds half up
+    assert got["b"] == (1.5, 3.01)           # the mean 1.5025 and the sum 3.005 are rounded once
+    assert got["e"] == (-1.5, -3.01)
+    assert got["d"] == (10.0, 10004.0)       # parts of a cent add up
     assert got["c"] == (0.15, 0.3)           # exact: no 0.30000000000000004
 
 
