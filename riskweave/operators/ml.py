@@ -35,7 +35,7 @@ from pyspark.ml.evaluation import (
 from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions.calendar import DEFAULT_BASE_YEAR, month_ordinal
@@ -119,7 +119,13 @@ def train_classifiers(
     min_rows: int = 1000,
 ) -> ClassifierModels:
     data = labelled_sample(classifier_frame(enriched), key, fraction, seed)
-    sample = training_layout(data.where(F.col("split") != "unsampled"), key).persist()
+    held: list[DataFrame] = []
+
+    def cached(df: DataFrame) -> DataFrame:
+        held.append(df.persist())
+        return df
+
+    sample = cached(training_layout(data.where(F.col("split") != "unsampled"), key))
     try:
         n = sample.count()
         if n < min_rows:
@@ -129,7 +135,7 @@ def train_classifiers(
 
         features = feature_pipeline().fit(train)
         labels = StringIndexer(inputCol="policy_type", outputCol="policy_label", handleInvalid="skip").fit(train)
-        train_f = labels.transform(features.transform(train)).persist()
+        train_f = cached(labels.transform(features.transform(train)))
         sizes = [len(m.labels) for m in features.stages if isinstance(m, StringIndexerModel)]
         bins = max([32, *(n + 1 for n in sizes)])  # one more for unseen values
         forests = [
@@ -145,10 +151,9 @@ def train_classifiers(
         # the two fits are independent: submit their jobs side by side
         policy_forest, denial_forest = fit_concurrently([(f, train_f) for f in forests])
         train_rows = train_f.count()
-        train_f.unpersist()
 
         models = ClassifierModels(features, labels, policy_forest, denial_forest, train_rows, {})
-        scored = score(models, test, keep_model_columns=True).persist()
+        scored = cached(score(models, test, keep_model_columns=True))
         evaluators = {
             "policy_accuracy": MulticlassClassificationEvaluator(
                 labelCol="policy_label", predictionCol="policy_prediction", metricName="accuracy"),
@@ -161,10 +166,10 @@ def train_classifiers(
         }
         models.metrics = {k: e.evaluate(scored) for k, e in evaluators.items()}
         models.test_rows = scored.count()
-        scored.unpersist()
         return models
     finally:
-        sample.unpersist()
+        for df in held:
+            df.unpersist()
 
 
 def fit_concurrently(jobs: list) -> list:
@@ -202,10 +207,16 @@ def score(models: ClassifierModels, df: DataFrame, keep_model_columns: bool = Fa
 
 
 def claim_predictions(models: ClassifierModels, enriched: DataFrame, key: str = "claim_id",
-                      fraction: float = 0.1, seed: int = 42) -> DataFrame:
-    """``gold_ml_claim_predictions`` for every modelled claim, with the row's
-    ``split`` (train / test / unsampled) so evaluation can use test rows."""
-    return score(models, labelled_sample(classifier_frame(enriched), key, fraction, seed))
+                      fraction: float = 0.1, seed: int = 42, every_row: bool = False) -> DataFrame:
+    """``gold_ml_claim_predictions``: the test rows, which no model was fitted on.
+
+    ``every_row`` scores every modelled claim instead and adds its ``split``
+    (train / test / unsampled).
+    """
+    rows = labelled_sample(classifier_frame(enriched), key, fraction, seed)
+    if not every_row:
+        rows = rows.where(F.col("split") == "test").drop("split")
+    return score(models, rows)
 
 
 def confusion(predictions: DataFrame, actual: str, predicted: str, k: int | None = None) -> DataFrame:
@@ -224,6 +235,7 @@ class ForecastModels:
     metrics: dict
     trends: DataFrame
     test: DataFrame
+    last_ordinal: float
 
 
 def forecast_frame(trends: DataFrame, base_year: int = DEFAULT_BASE_YEAR) -> DataFrame:
@@ -262,8 +274,10 @@ def train_forecast(
     seed: int = 42,
     min_rows: int = 12,
 ) -> ForecastModels:
-    data = forecast_frame(trends).coalesce(1).persist()  # months x policies: a small table
-    n_rows, n_months = data.agg(F.count(F.lit(1)), F.countDistinct("claim_month")).first()
+    data = forecast_frame(trends).repartition(1).persist()  # months x policies: a small table
+    n_rows, n_months, last = data.agg(
+        F.count(F.lit(1)), F.countDistinct("claim_month"), F.max("month_ordinal")
+    ).first()
     if n_rows < min_rows or n_months <= holdout:
         data.unpersist()
         raise InsufficientDataError(f"{n_rows} rows over {n_months} months: not enough history")
@@ -282,15 +296,13 @@ def train_forecast(
             m: RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName=m).evaluate(pred)
             for m in ("rmse", "mae")
         }
-    return ForecastModels(models, metrics, data, test)
+    return ForecastModels(models, metrics, data, test, last)
 
 
 def forecast_rows(fm: ForecastModels) -> DataFrame:
     """``gold_ml_monthly_forecast``: holdout predictions (with actuals) and one
     forward step per policy type (claim_month and actual NULL)."""
-    forward = fm.trends.select(
-        "policy_type", (F.max("month_ordinal").over(Window.partitionBy()) + 1).alias("month_ordinal")
-    ).distinct()
+    forward = fm.trends.select("policy_type").distinct().withColumn("month_ordinal", F.lit(fm.last_ordinal + 1.0))
     parts = []
     for label, model in fm.models.items():
         parts.append(model.transform(fm.test).select(

@@ -114,8 +114,8 @@ def gold_trends_and_watchlist(store: Store, clock: Column | None = None) -> tupl
 
 
 def classify(store: Store, **params) -> dict:
-    """Train both forests on the hash sample, store predictions for every
-    modelled claim (with its split), return the test metrics."""
+    """Train both forests on the hash sample, store the predictions of its
+    test rows, return the test metrics."""
     enriched = store.read("silver_claims_enriched")
     models = ml.train_classifiers(enriched, **params)
     fraction = params.get("fraction", 0.1)

@@ -344,13 +344,13 @@ def _ml_claim_predictions(spark, sf_dir):
 
 @query("confusion_matrix")
 def _confusion_matrix(spark, sf_dir):
-    preds = _ml_claim_predictions(spark, sf_dir).where(F.col("split") == "test")
+    preds = _ml_claim_predictions(spark, sf_dir)
     return ml.confusion(preds, "actual_policy_type", "predicted_policy_type", 8)
 
 
 @query("denial_confusion")
 def _denial_confusion(spark, sf_dir):
-    preds = _ml_claim_predictions(spark, sf_dir).where(F.col("split") == "test")
+    preds = _ml_claim_predictions(spark, sf_dir)
     return ml.confusion(preds, "actual_denied", "predicted_denied")
 
 

@@ -50,9 +50,13 @@ def test_classifier_small(spark):
     models = ml.train_classifiers(enriched, fraction=0.9, num_trees=5, max_depth=4, min_rows=100)
     preds = ml.claim_predictions(models, enriched, fraction=0.9)
     assert preds.columns == ["claim_id", "actual_policy_type", "predicted_policy_type", "actual_denied",
-                             "predicted_denied", "predicted_denied_probability", "split"]
-    # one transform chain, no join: exactly one prediction per modelled row
-    assert preds.count() == ml.classifier_frame(enriched).count()
+                             "predicted_denied", "predicted_denied_probability"]
+    # the stored table holds test rows only; the option scores every modelled row, once
+    every = ml.claim_predictions(models, enriched, fraction=0.9, every_row=True)
+    assert every.columns == [*preds.columns, "split"]
+    assert every.count() == ml.classifier_frame(enriched).count()
+    assert preds.count() == models.test_rows == every.where("split = 'test'").count() > 0
+    assert preds.exceptAll(every.where("split = 'test'").drop("split")).isEmpty()
     assert set(models.metrics) == {"policy_accuracy", "policy_f1", "denial_auc", "denial_accuracy"}
 
 
@@ -185,7 +189,7 @@ def test_forests_do_not_depend_on_partitions(spark):
     seen = []
     for n in (2, 7):
         models = ml.train_classifiers(enriched.repartition(n), num_trees=4, max_depth=4)
-        rows = ml.claim_predictions(models, enriched).orderBy("claim_id").collect()
+        rows = ml.claim_predictions(models, enriched, every_row=True).orderBy("claim_id").collect()
         seen.append((models.metrics, rows))
     assert seen[0][1] == seen[1][1]
 
@@ -197,7 +201,7 @@ def test_forests_take_many_categories_and_skip_unseen_labels(spark):
     many = enriched.withColumn("state", F.concat(F.lit("S"), F.pmod(F.xxhash64("claim_id"), F.lit(60))))
     models = ml.train_classifiers(many, num_trees=2, max_depth=3)
     odd = many.withColumn("policy_type", F.lit("Unheard of"))
-    assert ml.claim_predictions(models, odd).isEmpty()
+    assert ml.claim_predictions(models, odd, every_row=True).isEmpty()
 
 
 def test_csv_columns_by_header_name(spark, tmp_path):
