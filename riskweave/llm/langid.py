@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import SLICE_BYTES, plain, slices, text_sizes
+from riskweave.llm.common import SLICE_BYTES, join_small, plain, slices, text_sizes
 
 UNDETERMINED = "und"
 _BOUNDARY = 1
@@ -103,7 +103,8 @@ def fit(
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     shares = rows.groupBy("lang").agg((F.lit(float(max_docs_per_lang)) / F.count("*")).alias("share"))
     place = F.pmod(F.xxhash64("key", F.lit("train")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.join(shares, "lang").where(place < F.col("share")).select("lang", "text")
+    # one row a language: broadcast once counted, so no text is shuffled and a hot language stays spread
+    sample = join_small(rows, shares, ["lang"]).where(place < F.col("share")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
