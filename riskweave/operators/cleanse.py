@@ -69,17 +69,19 @@ def silver_customers(
     processed_at: Column | None = None,
     score_digits: int | None = None,
     percentile_buckets: int | None = None,
+    hot_key_fraction: float | None = None,
     **base_kwargs,
 ) -> DataFrame:
     """``silver_customers``: cleansed customers with table-wide z-score and
     percentile of ``fraud_risk_score``.  ``processed_at`` (e.g.
-    ``F.current_timestamp()``) adds ``silver_processed_at``."""
+    ``F.current_timestamp()``) adds ``silver_processed_at``.  A score held by
+    ``hot_key_fraction`` of the rows is split off the percentile's join."""
     base = customers_base(customers, **base_kwargs)
     # one preparatory pass gives the z-score statistics and the bucket bounds
     mean, sd, bounds = score_stats(base, "fraud_risk_score", percentile_buckets)
     scored = with_zscore(base, "fraud_risk_score", "fraud_risk_zscore", digits=score_digits, stats=(mean, sd))
     scored = with_percentile(scored, "fraud_risk_score", "fraud_risk_percentile", buckets=percentile_buckets,
-                             bounds=bounds)
+                             hot_key_fraction=hot_key_fraction, bounds=bounds)
     cols = [F.col(c) for c in SILVER_CUSTOMER_COLUMNS]
     if processed_at is not None:
         cols.append(processed_at.alias("silver_processed_at"))

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from collections.abc import Collection
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -50,11 +51,13 @@ RESULT_COLUMNS = [f.name for f in DQ_RESULTS_SCHEMA.fields]
 
 class DataQualityError(RuntimeError):
     """Raised by the gate when a check fails (after results are stored).
-    ``failed`` lists the failed check names."""
+    ``failed`` lists the failed check names, ``samples`` maps them to up to 5
+    unexpected values (checks on the whole table have none)."""
 
-    def __init__(self, message: str, failed: list | None = None):
+    def __init__(self, message: str, failed: list | None = None, samples: dict | None = None):
         super().__init__(message)
         self.failed = list(failed or [])
+        self.samples = dict(samples or {})
 
 
 class EmptySourceError(DataQualityError):
@@ -282,12 +285,15 @@ def evaluate(df: DataFrame, suite: Suite) -> DataFrame:
     )
 
 
-def unexpected_sample(df: DataFrame, suite: Suite, k: int = 5) -> DataFrame:
+def unexpected_sample(df: DataFrame, suite: Suite, k: int = 5, failed: Collection[str] | None = None) -> DataFrame:
     """Up to ``k`` distinct unexpected values per check (smallest first, as
-    text).  Checks that pass contribute no rows.  Each part is a bounded
+    text).  Checks that pass contribute no rows; with the names of the checks
+    that ``failed``, only those are scanned for.  Each part is a bounded
     top-k (TakeOrderedAndProject), never a whole group in one task."""
-    parts = []
+    parts = [df.sparkSession.createDataFrame([], "check_name string, unexpected_value string")]
     for c in suite.checks:
+        if failed is not None and c.name not in failed:
+            continue
         if isinstance(c, Unique):
             bad_vals = (
                 df.where(F.col(c.column).isNotNull()).groupBy(c.column).count()
@@ -337,7 +343,8 @@ def run_gate(
     raise_on_failure: bool = True,
 ) -> list:
     """Check an empty source (raise, store nothing), run the suite, store one
-    row per check, then raise if any check failed."""
+    row per check, then raise if any check failed; the error carries up to 5
+    unexpected values of each failed check."""
     spark = df.sparkSession
     execution_id = execution_id or str(uuid.uuid4())
     execution_time = execution_time or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -347,7 +354,11 @@ def run_gate(
     persist_results(result_frame(spark, rows, execution_id, execution_time), history_table, history_path)
     failed = [r["check_name"] for r in rows if not r["success"]]
     if failed and raise_on_failure:
-        raise DataQualityError(f"{len(failed)} check(s) failed on {suite.target_table}: {failed}", failed)
+        samples: dict[str, list] = {}
+        for r in unexpected_sample(df, suite, failed=failed).collect():  # at most 5 a failed check
+            samples.setdefault(r["check_name"], []).append(r["unexpected_value"])
+        message = f"{len(failed)} check(s) failed on {suite.target_table}: {failed}; unexpected values: {samples}"
+        raise DataQualityError(message, failed, samples)
     return rows
 
 

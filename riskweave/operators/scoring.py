@@ -90,11 +90,12 @@ def percentile_table(df: DataFrame, col: str, out: str, buckets: int | None = No
             return frame.withColumn("_b", F.lit(0.0))
         return Bucketizer(splits=splits, inputCol=x, outputCol="_b", handleInvalid="keep").transform(frame)
 
-    # Rows per bucket straight from the values: a map-side partial count, so
-    # at most len(splits) rows per task reach the shuffle.  The result has
-    # one row per bucket (a proven bound), so the global window over it is
+    # (value, count): a hot value is one row from here on.  Both uses below
+    # share this grouping's exchange, so the values are read once.
+    bucketed = bucketize(values.groupBy(x).agg(F.count(F.lit(1)).alias("_c")))
+    # One row per bucket (a proven bound), so the global window over it is
     # tiny and broadcasting it is safe.
-    per_bucket = bucketize(values).groupBy("_b").agg(F.count(F.lit(1)).alias("_bc"))
+    per_bucket = bucketed.groupBy("_b").agg(F.sum("_c").alias("_bc"))
     ordered = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
         "_b",
@@ -102,8 +103,6 @@ def percentile_table(df: DataFrame, col: str, out: str, buckets: int | None = No
         F.sum("_bc").over(Window.partitionBy()).alias("_n"),
     )
 
-    # (value, count): a hot value is one row from here on.
-    bucketed = bucketize(values.groupBy(x).agg(F.count(F.lit(1)).alias("_c")))
     in_bucket = Window.partitionBy("_b").orderBy(x).rowsBetween(Window.unboundedPreceding, 0)
     ranked = bucketed.join(F.broadcast(offsets), "_b").withColumn("_le", F.sum("_c").over(in_bucket))
     # average rank of the tie group = first rank + (ties - 1) / 2
@@ -117,7 +116,12 @@ def with_percentile(df: DataFrame, col: str, out: str, buckets: int | None = Non
 
     The join back is on the value: a value held by a large share of the rows
     is split off by AQE's skew join, or explicitly with ``hot_key_fraction``
-    (see ``joins.skew_aware_join``)."""
+    (see ``joins.skew_aware_join``).  NULL rows take no part in the join, as
+    they would all meet in one of its partitions."""
     table = percentile_table(df, col, out, buckets, bounds)
     keyed = df.withColumn("_pv", F.col(col).cast("double"))
-    return skew_aware_join(keyed, table, "_pv", "left", hot_key_fraction=hot_key_fraction).drop("_pv")
+    valued = skew_aware_join(
+        keyed.where(F.col("_pv").isNotNull()), table, "_pv", "left", hot_key_fraction=hot_key_fraction
+    )
+    without = keyed.where(F.col("_pv").isNull()).withColumn(out, F.lit(None).cast("double"))
+    return valued.unionByName(without).drop("_pv")

@@ -92,6 +92,13 @@ def dq_customers(store: Store, execution_id: str | None = None, execution_time:
                  execution_time)
 
 
+def dq_customer_keys(store: Store, execution_id: str | None = None, execution_time: dt.datetime | None = None) -> list:
+    """Stops the batch before the join if a customer id repeats (its claims would fan out)."""
+    target = store.name("silver_customers") or "silver_customers"
+    suite = quality.Suite(target, [quality.Unique("customer_id unique", "customer_id")])
+    return _gate(store, "silver_customers", suite, execution_id, execution_time)
+
+
 def gold_kpi(store: Store, clock: Column | None = None) -> DataFrame:
     store.write(gold.kpi_by_state(store.read("silver_claims_enriched"), built_at=_clock(clock)),
                 "gold_claims_kpi_by_state")

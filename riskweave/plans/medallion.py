@@ -5,8 +5,9 @@ table, so a lost executor costs at most the current layer's recompute,
 and every stage starts from a short lineage.  Independent writes
 (bronze customers || claims, silver customers || claims, the gold tables)
 are submitted from parallel driver threads; Spark runs their jobs side by
-side on the cluster.  The data-quality gate runs before any gold table is
-written: a failed check stores its result rows and stops the run.
+side on the cluster.  The data-quality gates (customer ids unique before the
+join, the enriched suite after it) run before any gold table is written: a
+failed check stores its result rows and stops the run.
 """
 
 from __future__ import annotations
@@ -54,6 +55,9 @@ def run_medallion(
 
     _parallel([lambda: store.write(customers, "customers"), lambda: store.write(claims, "claims")], parallel)
     _parallel([lambda: jobs.silver_customers(store, clock), lambda: jobs.silver_claims(store, clock)], parallel)
+    if gate:  # an execution of its own: a run's rows replace those of the same id
+        own = execution_id and f"{execution_id}-customers"
+        jobs.dq_customer_keys(store, execution_id=own, execution_time=execution_time)
     jobs.claims_enriched(store, clock, hot_key_fraction=hot_key_fraction)
     if gate:
         jobs.dq_enriched(store, execution_id=execution_id, execution_time=execution_time)

@@ -431,8 +431,30 @@ ORACLE.update({
     "bronze_customers": ORACLE["bronze_customers_csv"],
     "watchlist": ORACLE["high_risk_watchlist"],
     "load_audit_by_policy": _q(
-        "SELECT policy_type, COUNT(*) AS cnt FROM claims GROUP BY policy_type"
-        " UNION ALL SELECT NULL, COUNT(*) FROM claims"
+        "SELECT policy_type, FALSE AS is_total, COUNT(*) AS cnt FROM claims GROUP BY policy_type"
+        " UNION ALL SELECT NULL, TRUE, COUNT(*) FROM claims"
+    ),
+    "load_audit_customers": _q(
+        "SELECT COUNT(*) AS cnt, COUNT(*) - COUNT(customer_id) AS null_customer_id, COUNT(*) - COUNT(age) AS null_age,"
+        " COUNT(*) - COUNT(state) AS null_state, COUNT(*) - COUNT(fraud_risk_score) AS null_fraud_risk_score FROM customers"
+    ),
+    "stored_silver_customers": ORACLE["silver_customers"],
+    "stored_enriched": ORACLE["claims_enriched"],
+    "stored_kpi": ORACLE["kpi_by_state"],
+    "stored_trends": ORACLE["monthly_trends"],
+    "stored_watchlist": ORACLE["high_risk_watchlist"],
+    "stored_executive_view": ORACLE["executive_by_state"],
+    "stored_watchlist_view": ORACLE["watchlist_report"],
+    "dq_execution_results": _q(
+        "SELECT execution_id, execution_time, target_table, check_name, dq_score, success, element_count,"
+        f" unexpected_count FROM ({_DQ_BOTH}) h WHERE execution_id = 'run-customers'"
+    ),
+    "month_spine": _q(
+        "SELECT s.claim_month, s.policy_type, COALESCE(m.n, 0) AS claim_count FROM ("
+        "  SELECT policy_type, UNNEST(generate_series(MIN(date_trunc('month', claim_date)), MAX(date_trunc('month', claim_date)),"
+        "   INTERVAL 1 MONTH)) AS claim_month FROM watchlist GROUP BY policy_type) s"
+        " LEFT JOIN (SELECT policy_type, date_trunc('month', claim_date) AS claim_month, COUNT(*) AS n FROM watchlist"
+        "  GROUP BY 1, 2) m ON m.policy_type = s.policy_type AND m.claim_month = s.claim_month"
     ),
     "holiday_claims_sample": _q(
         "SELECT claim_id, claim_date, is_us_federal_holiday, months_to_book_end, claim_amount"

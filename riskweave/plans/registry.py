@@ -324,7 +324,10 @@ def _dq_unique_lineitem(spark, sf_dir):
 
 @query("dq_unexpected_sample")
 def _dq_unexpected_sample(spark, sf_dir):
-    return quality.unexpected_sample(Layers(spark, sf_dir).customers, quality.customers_suite(), 5)
+    """Up to 5 unexpected values of each failed check; passing checks are not scanned for."""
+    customers, suite = Layers(spark, sf_dir).customers, quality.customers_suite()
+    failed = [r["check_name"] for r in quality.evaluate(customers, suite).where("NOT success").collect()]  # a row a check
+    return quality.unexpected_sample(customers, suite, 5, failed)
 
 
 # ---- machine learning (no SQL oracle: rows-only checks) --------------------
@@ -419,7 +422,7 @@ def _medallion_run(spark, sf_dir):
 @query("silver_claims_stream")
 def _silver_claims_stream(spark, sf_dir):
     base = scratch_dir(spark, "stream-silver")
-    orders = incremental.file_stream(spark, f"{sf_dir}/orders.parquet", max_files_per_trigger=1)
+    orders = incremental.file_stream(spark, f"{sf_dir}/orders.parquet")
     incremental.run_to_completion(incremental.silver_claims_stream(orders), f"{base}/out", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/out")
 
@@ -427,7 +430,7 @@ def _silver_claims_stream(spark, sf_dir):
 @query("enriched_stream")
 def _enriched_stream(spark, sf_dir):
     base = scratch_dir(spark, "stream-enriched")
-    orders = incremental.file_stream(spark, f"{sf_dir}/orders.parquet", max_files_per_trigger=1)
+    orders = incremental.file_stream(spark, f"{sf_dir}/orders.parquet")
     customers = Layers(spark, sf_dir).customers_base
     incremental.run_to_completion(incremental.enriched_stream(orders, customers), f"{base}/out", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/out")
@@ -435,10 +438,9 @@ def _enriched_stream(spark, sf_dir):
 
 @query("monthly_trends_stream")
 def _monthly_trends_stream(spark, sf_dir):
-    """Gold monthly trends maintained by a stateful stream over the orders
-    files (one file per micro-batch)."""
+    """Gold monthly trends maintained by a stateful stream over the orders files."""
     base = scratch_dir(spark, "stream-trends")
-    orders = incremental.file_stream(spark, f"{sf_dir}/orders.parquet", max_files_per_trigger=1)
+    orders = incremental.file_stream(spark, f"{sf_dir}/orders.parquet")
     stream = incremental.trends_stream(orders, Layers(spark, sf_dir).customers_base)
     incremental.run_aggregate_to_table(stream, f"{base}/gold_monthly_claim_trends", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/gold_monthly_claim_trends")
@@ -512,10 +514,85 @@ def _watchlist_alias(spark, sf_dir):
 
 @query("load_audit_by_policy")
 def _load_audit_by_policy(spark, sf_dir):
-    """Bronze claims load audit: rows per policy type and the total (NULL
-    policy_type row), as one grouping-sets aggregate."""
+    """Bronze claims load audit: rows per policy type and the total
+    (``is_total``), as one grouping-sets aggregate."""
     claims = Layers(spark, sf_dir).claims
-    return claims.rollup("policy_type").agg(F.count(F.lit(1)).alias("cnt"))
+    return claims.rollup("policy_type").agg(
+        (F.grouping("policy_type") == 1).alias("is_total"), F.count(F.lit(1)).alias("cnt")
+    )
+
+
+@query("load_audit_customers")
+def _load_audit_customers(spark, sf_dir):
+    """Bronze customers load audit: rows, and rows without each column."""
+    customers = Layers(spark, sf_dir).customers
+    without = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ("customer_id", "age", "state", "fraud_risk_score")]
+    return customers.agg(F.count(F.lit(1)).alias("cnt"), *without)
+
+
+# ---- content of the stored tables and views -----------------------------------
+
+def _batch(spark, sf_dir):
+    """The store of one whole batch, run once per session and input folder."""
+
+    def build():
+        lay = Layers(spark, sf_dir)
+        base = scratch_dir(spark, "stored")
+        medallion.run_medallion(spark, lay.customers, lay.claims, base_path=base, execution_time=FIXED_TIME)
+        return base
+
+    return medallion.Store(spark, base_path=_cached("batch", spark, sf_dir, build))
+
+
+def _stored(table):
+    def read(spark, sf_dir):
+        stored = _batch(spark, sf_dir).read(table)
+        return stored.drop(*[c for c in stored.columns if c.endswith("_at")])  # when it was written
+
+    return read
+
+
+for _name, _table in (
+    ("stored_enriched", "silver_claims_enriched"),
+    ("stored_kpi", "gold_claims_kpi_by_state"),
+    ("stored_trends", "gold_monthly_claim_trends"),
+    ("stored_watchlist", "gold_high_risk_watchlist"),
+):
+    query(_name)(_stored(_table))
+
+
+@query("stored_silver_customers")
+def _stored_silver_customers(spark, sf_dir):
+    """The stored z-score is unrounded; like the layer's key, this one gives six digits."""
+    stored = _stored("silver_customers")(spark, sf_dir)
+    return stored.withColumn("fraud_risk_zscore", F.round("fraud_risk_zscore", 6))
+
+
+@query("stored_executive_view")
+def _stored_executive_view(spark, sf_dir):
+    medallion.register_views(spark, _batch(spark, sf_dir))
+    return spark.table("vw_executive_claims_by_state")
+
+
+@query("stored_watchlist_view")
+def _stored_watchlist_view(spark, sf_dir):
+    medallion.register_views(spark, _batch(spark, sf_dir))
+    return spark.table("vw_high_risk_claims_report")
+
+
+@query("dq_execution_results")
+def _dq_execution_results(spark, sf_dir):
+    """All stored rows of one execution."""
+    return quality.execution_results(_history(spark, sf_dir), "run-customers")
+
+
+@query("month_spine")
+def _month_spine(spark, sf_dir):
+    """Watchlist claims per month and policy type, months without any as 0."""
+    months = Layers(spark, sf_dir).watchlist.groupBy(
+        "policy_type", F.date_trunc("month", "claim_date").alias("claim_month")
+    ).agg(F.count(F.lit(1)).alias("claim_count"))
+    return timeseries.month_spine(months).select("claim_month", "policy_type", "claim_count")
 
 
 @query("holiday_claims_sample")

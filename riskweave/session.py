@@ -7,7 +7,6 @@ tests and the bench.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -114,16 +113,3 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A new sub-folder of the shared checkpoint folder for staged tables/files."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name or 'stage'}-{uuid.uuid4().hex[:12]}"
-
-
-def is_path_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-only helpers (tests)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def env_sf_dir(default: str = "/root/testdata/sf0.01") -> str:
-    return os.environ.get("RISKWEAVE_SF_DIR", default)

@@ -97,12 +97,43 @@ def test_medallion_gate_stops_before_gold(spark):
     assert not os.path.exists(f"{local}/gold_claims_kpi_by_state")
 
 
+def test_medallion_stops_on_repeated_customer(spark):
+    lay = Layers(spark, SF_SMALL)
+    base = scratch_dir(spark, "medallion-repeat")
+    from riskweave.operators.quality import DataQualityError
+    with pytest.raises(DataQualityError) as stopped:
+        medallion.run_medallion(spark, lay.customers.unionByName(lay.customers), lay.claims, base_path=base,
+                                execution_id="run", execution_time=dt.datetime(2025, 1, 1))
+    assert len(stopped.value.samples["customer_id unique"]) == 5
+    local = base.replace("file:", "")
+    assert os.path.exists(f"{local}/data_quality_check/execution_id=run-customers")
+    assert not os.path.exists(f"{local}/silver_claims_enriched")
+
+
+def test_percentile_keeps_nulls_out_of_the_join(spark):
+    from riskweave.operators.scoring import with_percentile
+    rows = [(i, None if i % 10 < 6 else 0.5 if i % 10 < 9 else i / 1000.0) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id bigint, score double")
+    valued = sorted(s for _, s in rows if s is not None)
+    for fraction in (None, 0.1):
+        out = with_percentile(df, "score", "p", buckets=4, hot_key_fraction=fraction)
+        got = {r["id"]: r["p"] for r in out.collect()}
+        assert len(got) == 1000
+        for i, s in rows:
+            if s is None:
+                assert got[i] is None
+            else:
+                first = valued.index(s) + 1
+                assert abs(got[i] - (first + (valued.count(s) - 1) / 2) / len(valued) * 100) < 1e-9
+    assert "isnotnull(score" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_medallion_catalog_tables(spark):
     lay = Layers(spark, SF_SMALL)
     written = medallion.run_medallion(spark, lay.customers, lay.claims, database="rw_test", parallel=True)
     assert written["gold_claims_kpi_by_state"] == "rw_test.gold_claims_kpi_by_state"
     assert spark.table("rw_test.silver_claims_enriched").count() == 1195
-    assert spark.table("rw_test.data_quality_check").count() == 7
+    assert spark.table("rw_test.data_quality_check").count() == 8  # customer ids, enriched suite
     store = medallion.Store(spark, database="rw_test")
     medallion.register_views(spark, store)
     from riskweave.operators import gold
