@@ -157,7 +157,7 @@ def test_plans_have_no_python_or_cross_joins(spark):
     sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
     from plan_audit import ML, SIDE_EFFECTS, plan_text, summarise
 
-    for name, fn in E.queries().items():
+    for name, fn in E.all_queries().items():  # the corpus operators choose their own style
         if name in SIDE_EFFECTS or name in ML:
             continue
         s = summarise(plan_text(fn(spark, SF_SMALL)))

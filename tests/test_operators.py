@@ -231,7 +231,7 @@ def test_results_independent_of_shuffle_partitions(spark):
     import __spark_entry__ as E
     from plan_audit import ML, SIDE_EFFECTS
 
-    keys = [k for k in E.oracle_sql() if k not in SIDE_EFFECTS and k not in ML]
+    keys = [k for k in all_queries() if k in E.oracle_sql() and k not in SIDE_EFFECTS and k not in ML]
     seen = {}
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
