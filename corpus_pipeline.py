@@ -48,7 +48,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return _with_words(subdedup.remove_repeats(docs, keep=COLUMNS))
+    return _with_words(subdedup.remove_repeats(docs, keep=COLUMNS, sure_words=40))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,7 +62,7 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return subdedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return subdedup.remove_repeats(_table(spark, sf_dir, "documents"), sure_words=40)
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

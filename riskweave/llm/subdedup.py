@@ -8,6 +8,15 @@ document with a smaller id.  Runs of consecutive repeats of at least
 Sentences are the default because a repeated passage seldom fills whole
 lines.  The spans removed are given in code points of the original text.
 
+With ``sure_words`` the partial units at the ends of a passage count too: every
+word inside a window of ``min_words`` words (case folded) that stands earlier
+goes, wherever sentences end.  Windows are compared around repeated window
+hashes picked by winnowing, which has one in every run of ``sure_words`` words;
+so a shared run of that length is found even if no unit of it is whole, and its
+ends are exact to the word.  A shorter run is found if it has a picked window
+or is of whole units.  In one text, equal windows that overlap (one word over and
+over) are left to the units.
+
 Every document sends each distinct digest once.  The earliest document of a
 digest is a partial minimum, so a passage that a third of all documents share
 is pre-aggregated; the join back to the digests is skew-split by AQE.
@@ -28,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import SLICE_BYTES, plain, slices, text_sizes
+from riskweave.llm.common import SLICE_BYTES, plain, slices, staged, text_bytes, text_sizes, windows, words
 
 #: Where a unit ends.
 UNIT_ENDS = {
@@ -36,6 +45,7 @@ UNIT_ENDS = {
     "line": re.compile(r"\n"),
     "paragraph": re.compile(r"\n[\x20\x09\x0B-\x0D]*\n"),
 }
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def units(text: str, unit: str) -> list[tuple[int, int, int, int]]:
@@ -51,15 +61,70 @@ def units(text: str, unit: str) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def cut(text: str, own: list[tuple[int, int, int, int]], repeats: set[int], min_words: int) -> tuple[str, list[tuple[int, int]]]:
-    """The text without long runs of repeats, and the spans (start, length) that went."""
-    spans: list[tuple[int, int]] = []
+def text_windows(texts: list[str | None], n: int) -> list[np.ndarray]:
+    """The hashes of every text's n-word windows, in order, case folded."""
+    hashes, bounds = words(*text_bytes(pa.array([x and x.lower() for x in texts], pa.string())))
+    every = windows(hashes, n).view(np.int64)
+    return [every[a : max(a, b - n + 1)] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+
+
+def picked(own: np.ndarray, w: int) -> np.ndarray:
+    """Winnowing: the places that are least in some ``w`` consecutive windows."""
+    if len(own) < w:
+        return np.zeros(0, np.int64)
+    least = np.lib.stride_tricks.sliding_window_view(own, w).min(1)
+    edge = np.full(w - 1, np.iinfo(np.int64).min)
+    most = np.lib.stride_tricks.sliding_window_view(np.concatenate([edge, least, edge]), w).max(1)
+    return np.flatnonzero(most == own)
+
+
+def near_shared(own: np.ndarray, shared: np.ndarray, w: int) -> np.ndarray:
+    """The distinct windows less than ``w`` places from a shared picked one: between
+    two picks, or a pick and the end of a run, there are no more."""
+    at = np.flatnonzero(np.isin(own, shared))
+    edges = np.zeros(len(own) + 1, np.int64)
+    np.add.at(edges, np.maximum(at - w + 1, 0), 1)
+    np.add.at(edges, np.minimum(at + w, len(own)), -1)
+    return np.unique(own[np.cumsum(edges[:-1]) > 0])
+
+
+def window_spans(text: str, own: np.ndarray, earlier: np.ndarray, n: int) -> list[tuple[int, int]]:
+    """(start, end) of the runs of words inside windows that stand earlier, here or in ``earlier``."""
+    again = np.isin(own, earlier) if len(earlier) else np.zeros(len(own), bool)
+    # a window that overlaps an equal one is one word or phrase over and over, no passage told again
+    order = np.argsort(own, kind="stable")
+    same, gap = own[order][1:] == own[order][:-1], np.diff(order)
+    looped = own[order][1:][same & (gap < n)]
+    later = np.zeros(len(own), bool)
+    later[order[1:][same]] = True
+    at = np.flatnonzero(again | (later & ~np.isin(own, looped)))
+    if not len(at):
+        return []
+    edges = np.zeros(len(own) + n, np.int64)
+    np.add.at(edges, at, 1)
+    np.add.at(edges, at + n, -1)
+    gone = np.diff((np.cumsum(edges) > 0).astype(np.int8), prepend=0)
+    found = [(m.start(), m.end()) for m in WORD.finditer(text)]
+    out = []
+    for a, b in zip(np.flatnonzero(gone == 1).tolist(), np.flatnonzero(gone == -1).tolist()):
+        start = found[a][0]
+        while start and text[start - 1] in " \t":
+            start -= 1
+        out.append((start, found[b - 1][1]))
+    return out
+
+
+def cut(
+    text: str, own: list[tuple[int, int, int, int]], repeats: set[int], min_words: int, more: list[tuple[int, int]] | None = None
+) -> tuple[str, list[tuple[int, int]]]:
+    """The text without long runs of repeats and ``more`` (start, end), and the spans (start, length) that went."""
+    gone: list[tuple[int, int]] = list(more or ())
     seen: set[int] = set()
     run: list[int] = []  # start, end, words
 
     def close() -> None:
         if run and run[2] >= min_words:
-            spans.append((run[0], run[1] - run[0]))
+            gone.append((run[0], run[1]))
         run.clear()
 
     for start, end, n, digest in own:
@@ -69,41 +134,81 @@ def cut(text: str, own: list[tuple[int, int, int, int]], repeats: set[int], min_
             close()
         seen.add(digest)
     close()
-    kept, at = [], 0
-    for start, length in spans:
-        kept.append(text[at:start])
-        at = start + length
+    kept, spans, at = [], [], 0
+    for start, end in sorted(gone):
+        if spans and start < at:
+            spans[-1] = (spans[-1][0], max(at, end) - spans[-1][0])
+        else:
+            kept.append(text[at:start])
+            spans.append((start, end - start))
+        at = max(at, end)
     return "".join([*kept, text[at:]]), spans
 
 
-def earlier_units(docs: DataFrame, unit: str, key: str, text: str) -> DataFrame:
-    """``id, tie, digests``: of each text, the digests that a smaller id has as well."""
+def firsts(found: DataFrame) -> DataFrame:
+    """``digest, first``: the smallest id of every digest that several ids have."""
+    return (
+        found.groupBy("digest")
+        .agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count_if(F.col("id").isNull()).alias("nulls"))
+        .where((F.col("first") != F.col("last")) | (F.col("first").isNotNull() & (F.col("nulls") > 0)))
+        .select("digest", "first")
+    )
+
+
+def earlier_units(docs: DataFrame, unit: str, key: str, text: str, min_words: int, sure_words: int | None) -> DataFrame:
+    """``id, tie, digests``: of each text, the digests that a smaller id has as well.
+    With ``sure_words`` also ``windows``, the windows that a smaller id has."""
     rows = docs.select(plain(key).alias("id"), F.xxhash64(plain(text)).alias("tie"), plain(text).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
+    w = sure_words - min_words + 1 if sure_words else 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j in slices(text_sizes(batch.column(2)), SLICE_BYTES):
                 part = batch.slice(i, j - i)
-                owner, digests = [], []
-                for k, x in enumerate(part.column(2).to_pylist()):
-                    own = {u[3] for u in units(x, unit)} if x else ()
-                    digests += own
-                    owner += [k] * len(own)
+                owner, digests, picks = [], [], []
+                texts = part.column(2).to_pylist()
+                own_windows = text_windows(texts, min_words) if w else None
+                for k, x in enumerate(texts):
+                    own = {u[3] for u in units(x, unit)} if x else set()
+                    some = set(own_windows[k][picked(own_windows[k], w)].tolist()) if w else set()
+                    digests += [*own, *some]
+                    picks += [False] * len(own) + [True] * len(some)
+                    owner += [k] * (len(own) + len(some))
                 at = pa.array(np.array(owner, np.int64))
                 yield pa.record_batch(
-                    [part.column(0).take(at), part.column(1).take(at), pa.array(digests, pa.int64())], names=["id", "tie", "digest"]
+                    [part.column(0).take(at), part.column(1).take(at), pa.array(digests, pa.int64()), pa.array(picks, pa.bool_())],
+                    names=["id", "tie", "digest", "pick"],
                 )
 
-    found = rows.mapInArrow(run, f"id {kind}, tie bigint, digest bigint")
-    first = (
-        found.groupBy("digest")
-        .agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count_if(F.col("id").isNull()).alias("nulls"))
-        .where((F.col("first") != F.col("last")) | (F.col("first").isNotNull() & (F.col("nulls") > 0)))
-        .select("digest", "first")
-    )
-    repeats = found.join(first, "digest").where(~F.col("id").eqNullSafe(F.col("first")))
-    return repeats.groupBy("id", "tie").agg(F.collect_set("digest").alias("digests"))
+    def run_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j in slices(text_sizes(batch.column(2)), SLICE_BYTES):
+                part = batch.slice(i, j - i)
+                texts = part.column(2).to_pylist()
+                told = zip(text_windows(texts, min_words), part.column(3))
+                near = [near_shared(own, s.values.to_numpy(), w) for own, s in told]
+                yield pa.record_batch(
+                    [part.column(0), part.column(1), pa.array(near, pa.list_(pa.int64()))], names=["id", "tie", "near"]
+                )
+
+    found = rows.mapInArrow(run, f"id {kind}, tie bigint, digest bigint, pick boolean")
+    if not w:
+        repeats = found.join(firsts(found), "digest").where(~F.col("id").eqNullSafe(F.col("first")))
+        return repeats.groupBy("id", "tie").agg(F.collect_set("digest").alias("digests"))
+    later = F.when(~F.col("pick") & ~F.col("id").eqNullSafe(F.col("first")), F.col("digest"))
+    marked = found.join(firsts(found), "digest").groupBy("id", "tie")
+    marked = staged(marked.agg(F.collect_set(later).alias("digests"), F.collect_set(F.when(F.col("pick"), F.col("digest"))).alias("shared")), "shared")
+    # rows told twice are marked once, and their windows are the same
+    told = marked.where(F.size("shared") > 0).select(F.col("id").alias("_id"), F.col("tie").alias("_tie"), "shared")
+    texts = rows.join(told, F.col("id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))).select("id", "tie", "text", "shared")
+    near = staged(texts.mapInArrow(run_windows, f"id {kind}, tie bigint, near array<bigint>"), "windows")
+    each = near.select("id", "tie", F.explode("near").alias("digest"))
+    earlier = each.join(firsts(each), "digest").where(~F.col("id").eqNullSafe(F.col("first")))
+    earlier = earlier.groupBy("id", "tie").agg(F.collect_set("digest").alias("windows"))
+    earlier = earlier.withColumnsRenamed({"id": "_id", "tie": "_tie"})
+    both = marked.join(earlier, F.col("id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")), "left")
+    return both.select("id", "tie", "digests", "windows")
 
 
 def remove_repeats(
@@ -113,16 +218,19 @@ def remove_repeats(
     key: str = "doc_id",
     text: str = "text",
     keep: list[str] | None = None,
+    sure_words: int | None = None,
 ) -> DataFrame:
     """``key``, other columns named in ``keep``, ``text`` without repeats, and
     ``spans``: start and length of what went, in code points of the original."""
     columns = [c for c in (keep or []) if c not in (key, text)]
-    found = earlier_units(docs, unit, key, text)
+    found = earlier_units(docs, unit, key, text, min_words, sure_words)
+    if not sure_words:
+        found = found.withColumn("windows", F.lit(None).cast("array<bigint>"))
     rows = docs.select(
         plain(key).alias("_id"), F.xxhash64(plain(text)).alias("_tie"), plain(text).alias("_text"), *[plain(c) for c in columns]
     )
     joined = rows.join(found, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_tie") == F.col("tie")), "left").select(
-        F.col("_id").alias("c0"), *[plain(c).alias(f"c{i + 1}") for i, c in enumerate(columns)], F.col("_text").alias("text"), "digests"
+        F.col("_id").alias("c0"), *[plain(c).alias(f"c{i + 1}") for i, c in enumerate(columns)], F.col("_text").alias("text"), "digests", "windows"
     )  # names without dots, which a mapped table must not hold
     at = len(columns) + 1
 
@@ -132,8 +240,14 @@ def remove_repeats(
             for i, j in slices(text_sizes(batch.column(at)), SLICE_BYTES):
                 part = batch.slice(i, j - i)
                 texts, spans = [], []
-                for x, digests in zip(part.column(at).to_pylist(), part.column(at + 1).to_pylist()):
-                    new, gone = cut(x, units(x, unit), set(digests or ()), min_words) if x else (x, [])
+                whole = part.column(at).to_pylist()
+                own = text_windows(whole, min_words) if sure_words else None
+                for k, (x, digests) in enumerate(zip(whole, part.column(at + 1).to_pylist())):
+                    more = None
+                    if sure_words and x:
+                        earlier = np.array(part.column(at + 2)[k].as_py() or (), np.int64)
+                        more = window_spans(x, own[k], earlier, min_words)
+                    new, gone = cut(x, units(x, unit), set(digests or ()), min_words, more) if x else (x, [])
                     texts.append(new)
                     spans.append([{"start": a, "length": n} for a, n in gone])
                 yield pa.record_batch(
