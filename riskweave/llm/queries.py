@@ -33,7 +33,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score_documents(_table(spark, sf_dir, "documents"))
+    return lm.score_documents(_table(spark, sf_dir, "documents"), order=3)
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
