@@ -4,7 +4,9 @@ For every host the pages that contain a line (once or more often, white space
 at its ends aside) are divided by the host's pages; lines above ``ratio`` are
 boilerplate and leave every page of that host.  Lines are compared by a
 64-bit hash within their host.  Hosts of fewer than ``min_pages`` pages have
-no boilerplate.
+no boilerplate.  With ``distinct`` copies of a text count as one page of their
+host, and a line must stand on ``min_line_pages`` pages, so that a document
+told several times does not become boilerplate.
 
 The counts are partial sums before any shuffle, so a line on every page of a
 hot host is cheap.  A host has at most (mean distinct lines a page / ratio)
@@ -30,13 +32,27 @@ def line_key(line: Column) -> Column:
     return F.btrim(line, F.lit(_BLANKS))
 
 
-def boilerplate(pages: DataFrame, ratio: float, min_pages: int, host: str, text: str) -> DataFrame:
+def boilerplate(
+    pages: DataFrame, ratio: float, min_pages: int, host: str, text: str, distinct: bool = False, min_line_pages: int = 1
+) -> DataFrame:
     """``host, lines``: the hashes of the lines that each host repeats too often."""
     rows = pages.select(plain(host).alias("host"), plain(text).alias("text"))
+    copied = F.lit(None).cast("long")
+    totals = rows.groupBy("host").agg(F.count("*").alias("pages"))
+    if distinct:
+        rows = rows.withColumn("tie", F.xxhash64("text"))
+        texts = rows.groupBy("host", "tie").agg(F.count("*").alias("copies"))
+        totals = texts.groupBy("host").agg(F.count("*").alias("pages"))
+        # only the texts that a host has twice or more are told apart below
+        rows = join_small(rows, texts.where(F.col("copies") > 1), ["host", "tie"], "left")
+        copied = F.when(F.col("copies") > 1, F.col("tie"))
     keys = F.transform(F.split("text", "\n"), line_key)
-    lines = rows.select("host", F.explode(F.array_distinct(F.filter(keys, lambda k: k != ""))).alias("line"))
-    counts = lines.groupBy("host", F.xxhash64("line").alias("line")).agg(F.count("*").alias("n"))
-    totals = rows.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
+    each = F.explode(F.array_distinct(F.filter(keys, lambda k: k != "")))
+    lines = rows.select("host", copied.alias("copied"), each.alias("line"))
+    counts = lines.groupBy("host", F.xxhash64("line").alias("line"), "copied").agg(F.count("*").alias("n"))
+    n = F.sum(F.when(F.col("copied").isNull(), F.col("n")).otherwise(1))
+    counts = counts.groupBy("host", "line").agg(n.alias("n")).where(F.col("n") >= min_line_pages)
+    totals = totals.where(F.col("pages") >= min_pages)
     often = join_small(counts, totals, ["host"]).where(F.col("n") > F.col("pages") * F.lit(ratio))
     return often.groupBy("host").agg(F.collect_set("line").alias("lines"))
 
@@ -50,10 +66,12 @@ def drop_boilerplate(
     text: str = "text",
     keep: list[str] | None = None,
     max_broadcast_lines: int = 1_000_000,
+    distinct: bool = False,
+    min_line_pages: int = 1,
 ) -> DataFrame:
     """``key``, other columns named in ``keep``, ``text`` without boilerplate lines, ``n_lines``, ``n_dropped``."""
     columns = [c for c in (keep or []) if c not in (key, text)]
-    found = staged(boilerplate(pages, ratio, min_pages, host, text), "boilerplate").withColumnRenamed("host", "_host")
+    found = staged(boilerplate(pages, ratio, min_pages, host, text, distinct, min_line_pages), "boilerplate").withColumnRenamed("host", "_host")
     size = found.agg(F.coalesce(F.sum(F.size("lines")), F.lit(0)).alias("n")).first()["n"]
     rows = pages.select(plain(key).alias("_key"), plain(host).alias("_own"), plain(text).alias("_text"), *[plain(c) for c in columns])
     joined = rows.join(
