@@ -24,6 +24,8 @@ from riskweave.llm.ship import ship
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Texts nearer than this to no language's profile are not language.
 MIN_LANGUAGE_SCORE = 0.3
+#: Share of a host's distinct texts above which a line is boilerplate.
+LINE_RATIO = 0.02
 #: Distinct texts of a host that a boilerplate line stands on at least.
 MIN_LINE_PAGES = 10
 
@@ -40,7 +42,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return _with_words(linededup.drop_boilerplate(docs, keep=COLUMNS, distinct=True, min_line_pages=MIN_LINE_PAGES))
+    return _with_words(linededup.drop_boilerplate(docs, LINE_RATIO, keep=COLUMNS, distinct=True, min_line_pages=MIN_LINE_PAGES))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,3 +17,13 @@ def test_copies_alone_do_not_make_a_text_boilerplate(spark):
     made = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, table(spark, texts), "").collect()}
     want = {i: "\n".join(x for x in t.split("\n") if x != "Footer") for i, (_, t) in enumerate(texts)}
     assert made == want
+
+
+def test_lines_on_a_few_per_cent_of_a_host_are_boilerplate(spark):
+    texts = [
+        ("h", f"page {i}\nown words {i}" + ("\nThree per cent" if i % 33 == 0 else "") + ("\nEight per cent" if i % 12 == 0 else ""))
+        for i in range(500)
+    ]
+    texts += [("few", f"site {i}\nstories of {i}" + ("\nOn nine pages" if i < 9 else "")) for i in range(40)]
+    made = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, table(spark, texts), "").collect()}
+    assert made == {i: "\n".join(x for x in t.split("\n") if not x.endswith("per cent")) for i, (_, t) in enumerate(texts)}
