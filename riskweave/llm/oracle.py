@@ -91,9 +91,122 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
 FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN n USING (doc_id)
 """
 
+OP11 = (
+    OP8.replace("i:i + 4]", "i:i + 3]").replace("len(w) - 3, 2", "len(w) - 2, 2").replace(">= 75 *", ">= 80 *")
+    .replace("AS n_shingles, component_id", "AS n_shingles, component_id, doc_id = component_id AS kept")
+)
+
+
+def _crc_table() -> str:
+    """The 256 remainders of the reflected CRC-32 polynomial, as a list."""
+    out = []
+    for x in range(256):
+        for _ in range(8):
+            x = x >> 1 ^ (0xEDB88320 if x & 1 else 0)
+        out.append(str(x))
+    return "[" + ", ".join(out) + "]"
+
+
+def crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of a text's UTF-8 bytes; the CTE ``crc`` holds the table."""
+    octets = f"list_transform(range(0, strlen({text})), lambda i: ('0x' || substr(hex({text}), 2 * i + 1, 2))::BIGINT)"
+    step = "xor(c >> 8, t[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), lambda c, b: {step}), 4294967295::BIGINT)"
+
+
+OP12 = rf"""
+WITH RECURSIVE crc AS (SELECT {_crc_table()}::BIGINT[] AS t),
+run AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents)
+  GROUP BY 1, 2),
+named AS (SELECT doc_id || ':' || run AS s, run, n FROM run),
+hashed AS (SELECT run, n, {crc32_sql('s')} AS h FROM named, crc),
+word AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, n
+  FROM hashed),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM word WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS (SELECT word, n, i, substr(word, 1, i) AS a, substr(word, i + 2) AS b FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM v)),
+near AS (
+  SELECT x.word, x.n, y.word AS near, y.n AS near_n FROM cut x JOIN cut y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT x.word, x.n, y.word, y.n FROM cut x JOIN v y ON x.a || x.b = y.word
+  UNION SELECT y.word, y.n, x.word, x.n FROM cut x JOIN v y ON x.a || x.b = y.word),
+best AS (
+  SELECT word, n, near, near_n, count(*) OVER (PARTITION BY word) AS n_near FROM near
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1),
+told AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * v.n THEN near END AS form,
+    CASE WHEN near_n >= 5 * v.n THEN near_n END AS form_n
+  FROM v LEFT JOIN best ON best.word = v.word),
+walk AS (
+  SELECT word, word AS root FROM told
+  UNION ALL SELECT walk.word, told.form FROM walk JOIN told ON told.word = walk.root WHERE told.form IS NOT NULL)
+SELECT t.word, t.n, t.n_near, t.form, t.form_n, w.root
+FROM told t JOIN walk w ON w.word = t.word JOIN told e ON e.word = w.root AND e.form IS NULL
+"""
+
+_FIELDS = ("doc_id::VARCHAR", "source", "lang", "{n_chars}::VARCHAR", "text")
+
+
+def _row_sha(n_chars: str) -> str:
+    said = [f.format(n_chars=n_chars) for f in _FIELDS]
+    return "sha256(" + " || ".join(f"coalesce(strlen({x}) || ':' || {x}, '-')" for x in said) + ")"
+
+
+def _levels(rows: str, group: str, name: str, levels: int) -> list[str]:
+    """CTEs ``{name}0`` to ``{name}{levels}``: the nodes ``{group}, p, h, m`` (m: of that level) of the trees over ``rows``."""
+    out = [f"{name}0 AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY {group}) AS m FROM ({rows}))"]
+    for k in range(levels):
+        out.append(
+            f"{name}{k + 1} AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY {group}) AS m FROM (SELECT {group}, p // 2 AS p,"
+            f" CASE WHEN any_value(m) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY p)) END AS h"
+            f" FROM {name}{k} GROUP BY {group}, p // 2))"
+        )
+    return out
+
+
+def merkle_sql(levels: int = 20, root_levels: int = 6) -> str:
+    """SQL of the manifest, for trees of up to ``levels`` levels."""
+    fold = []
+    for tree, height, at, group in (("t", levels, "p", "g"), ("r", root_levels, "g", "z")):
+        for k in range(height):
+            place, step = f"(f.{at} // {1 << k})", len(fold)
+            # a tree of one node is done; a node without a sibling is hashed alone
+            fold.append(
+                f"f{step + 1} AS (SELECT f.* REPLACE (f.proof || coalesce(s.h, '') AS proof,"
+                f" CASE WHEN own.m = 1 THEN f.now WHEN s.h IS NULL THEN sha256(f.now)"
+                f" WHEN {place} % 2 = 0 THEN sha256(f.now || s.h) ELSE sha256(s.h || f.now) END AS now)"
+                f" FROM f{step} f JOIN {tree}{k} own ON own.{group} = f.{group} AND own.p = {place}"
+                f" LEFT JOIN {tree}{k} s ON s.{group} = f.{group} AND s.p = xor({place}, 1))"
+            )
+    trees = [
+        *_levels("SELECT g, p, leaf AS h FROM o", "g", "t", levels),
+        *_levels(f"SELECT 0 AS z, g AS p, h FROM t{levels}", "z", "r", root_levels),
+        "f0 AS (SELECT doc_id, z, g, p, leaf, now, '' AS proof FROM o)",
+        *fold,
+    ]
+    return f"""
+WITH crc AS (SELECT {_crc_table()}::BIGINT[] AS t),
+d AS (SELECT *, doc_id::VARCHAR AS s FROM documents),
+e AS (SELECT *, CASE WHEN {crc32_sql('s')} % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS n_now FROM d, crc),
+l AS (
+  SELECT doc_id, 0 AS z, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, {_row_sha('n_chars')} AS leaf, {_row_sha('n_now')} AS now FROM e),
+o AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, leaf) - 1 AS p FROM l),
+""" + ",\n".join(trees) + f"""
+SELECT doc_id, leaf, sub.h AS subroot, top.h AS root, sha256(proof) AS proof_sha256, now AS folded_root, now = top.h AS verified
+FROM f{len(fold)} f JOIN t{levels} sub ON sub.g = f.g JOIN r{root_levels} top ON top.z = f.z
+"""
+
+
+OP13 = merkle_sql()
+
 LLM_ORACLE: dict[str, str] = {
     "op2_quality_rules": OP2,
     "op5_exact_top_k": OP5,
     "op7_line_dedup": OP7,
     "op8_ngram_jaccard": OP8,
+    "op11_minhash_dedup": OP11,
+    "op12_spelling_variants": OP12,
+    "op13_merkle_manifest": OP13,
 }

@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, jaccard, langid, linededup, lm, packing, quality, subdedup, topk, wavelet
+from riskweave.llm import (
+    bpe, jaccard, langid, linededup, lm, merkle, minhash, packing, quality, spelling, subdedup, topk, wavelet,
+)
 from riskweave.llm.ship import ship
 from riskweave.session import scratch_dir
 
@@ -74,6 +76,38 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    component = F.col("component")
+    return found.select(
+        "doc_id", F.col("size").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.runs(_table(spark, sf_dir, "documents"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    h = F.crc32(F.concat("key", F.lit(":"), "run"))
+    at = F.expr("cast(h % length(run) as int)")
+    cut = F.concat(F.left("run", at), F.substring("run", at + 2, F.length("run")))
+    words = runs.withColumn("h", h).select(F.when(F.col("h") % 199 == 0, cut).otherwise(F.col("run")).alias("word"))
+    return spelling.variants(spelling.vocabulary(words, min_chars=6, min_count=5))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    told = merkle.build(
+        docs,
+        F.col("lang"),
+        F.col("doc_id"),
+        merkle.row_digest([F.col(c) for c in fields]),
+        merkle.row_digest([tampered if c == "n_chars" else F.col(c) for c in fields]),
+    ).proofs()
+    said = {"leaf": "leaf", "subroot": "subroot", "root": "root", "proof": "proof_sha256", "folded_root": "folded_root"}
+    return told.select(F.col("key").alias("doc_id"), *[F.lower(F.hex(c)).alias(n) for c, n in said.items()], "verified")
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,4 +121,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: _shipped(f) for f in (
         op1_language_id, op2_quality_rules, op3_lm_scoring, op4_best_fit_packing, op5_exact_top_k, op6_token_output, op7_line_dedup,
         op8_ngram_jaccard, op9_substring_dedup, op10_byte_bpe,
+        op11_minhash_dedup, op12_spelling_variants, op13_merkle_manifest,
     )}
