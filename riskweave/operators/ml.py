@@ -1,331 +1,115 @@
-"""Spark ML on the enriched claims and the monthly trends.
+"""The claims models: ``learning`` with the insurance tables' columns.
 
-Classifier (policy type, multiclass; denied, binary):
-  * features: claim_amount, age, fraud_risk_score, indexed state and
-    claim type (unseen categories kept in an extra index);
-  * training rows: a hash sample of the claims (``fraction``, default 10 %)
-    split 80/20 by a second hash of the claim id, so the sample and split
-    do not change with partitioning or task retries;
-  * one feature pipeline is fitted once and shared by both forests; scoring
-    is a single transform chain (features -> forest 1 -> forest 2), so no
-    join on the claim id is needed and a repeated id cannot multiply rows.
-
-Forecast (claim count and amount per month and policy type):
-  * the last ``holdout`` distinct months are the test set, chosen by a
-    semi/anti join against a ``holdout``-row table (nothing collected);
-  * GBT regressors on (month ordinal, policy index); one forward step per
-    policy type after the latest month.
-
-Training data here is small (a sample; a months x policies table), but all
-of it stays in Spark: tree statistics are aggregated on executors.
+Policy type (multiclass) and denial (yes/no) are learnt from amount, age,
+score, state and claim type; claim count and amount are forecast per month and
+policy type.  Everything else is general, see ``learning``, ``metrics``,
+``encoding`` and ``trees``.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
-
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import (
-    BinaryClassificationEvaluator,
-    MulticlassClassificationEvaluator,
-    RegressionEvaluator,
-)
-from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions.calendar import DEFAULT_BASE_YEAR, month_ordinal
-from riskweave.operators.sampling import split_label, unit_hash
+from riskweave.operators import encoding, learning, trees
+from riskweave.operators.learning import Inputs, InsufficientDataError, Models, Series, SeriesModels, Target
 
-DENIED_STATUS = "DENIED"
-CLASSIFIER_COLUMNS = [
-    "claim_id", "claim_amount", "claim_type", "age", "state", "fraud_risk_score", "policy_type", "claim_status",
+__all__ = [
+    "CLAIM_INPUTS", "CLAIM_TARGETS", "InsufficientDataError", "claim_features", "claim_predictions", "classifier_frame", "confusion",
+    "forecast_rows", "forecast_summary", "holdout_months", "node_predictions", "trend_series", "train_classifiers", "train_forecast",
 ]
 
-
-class InsufficientDataError(RuntimeError):
-    pass
-
-
-# ---- classifier ----------------------------------------------------------------
-
-def classifier_frame(enriched: DataFrame, denied_status: str = DENIED_STATUS) -> DataFrame:
-    """Model input: required columns present (a NULL score or age would stop
-    the vector assembler, so those rows are dropped too) and the 0/1 label."""
-    return (
-        enriched.select(*CLASSIFIER_COLUMNS)
-        .dropna(subset=["policy_type", "claim_amount", "claim_type", "state", "claim_status",
-                        "age", "fraud_risk_score"])
-        .withColumn("is_denied", F.when(F.col("claim_status") == denied_status, 1.0).otherwise(0.0))
-    )
-
-
-def feature_pipeline() -> Pipeline:
-    return Pipeline(
-        stages=[
-            StringIndexer(inputCol="state", outputCol="state_idx", handleInvalid="keep"),
-            StringIndexer(inputCol="claim_type", outputCol="claim_type_idx", handleInvalid="keep"),
-            VectorAssembler(
-                inputCols=["claim_amount", "age", "fraud_risk_score", "state_idx", "claim_type_idx"],
-                outputCol="features",
-            ),
-        ]
-    )
-
-
-@dataclass
-class ClassifierModels:
-    features: PipelineModel
-    policy_labels: StringIndexerModel
-    policy_forest: object
-    denial_forest: object
-    train_rows: int
-    metrics: dict
-    test_rows: int = 0
-
-
-#: Partitions of the training rows.  Forests seed their bagging per partition,
-#: so the layout is fixed: the same rows give the same model on any cluster.
-TRAIN_PARTITIONS = 16
-
-
-def training_layout(df: DataFrame, key: str) -> DataFrame:
-    """The rows in ``TRAIN_PARTITIONS`` partitions by key hash, each in key order
-    (equal keys by a hash of the row), however ``df`` was partitioned."""
-    row = F.xxhash64(*[F.col(c) for c in df.columns])
-    return df.repartition(TRAIN_PARTITIONS, key).sortWithinPartitions(F.col(key), row)
-
-
-def labelled_sample(data: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:
-    """Add ``split``: train / test inside the hash sample, ``unsampled`` elsewhere."""
-    in_sample = unit_hash(key, f"sample{seed}") < fraction
-    return data.withColumn(
-        "split",
-        F.when(in_sample, split_label(key, (0.8, 0.2), ("train", "test"), seed)).otherwise(F.lit("unsampled")),
-    )
-
-
-def train_classifiers(
-    enriched: DataFrame,
-    key: str = "claim_id",
-    fraction: float = 0.1,
-    seed: int = 42,
-    num_trees: int = 50,
-    max_depth: int = 8,
-    min_rows: int = 1000,
-) -> ClassifierModels:
-    data = labelled_sample(classifier_frame(enriched), key, fraction, seed)
-    held: list[DataFrame] = []
-
-    def cached(df: DataFrame) -> DataFrame:
-        held.append(df.persist())
-        return df
-
-    sample = cached(training_layout(data.where(F.col("split") != "unsampled"), key))
-    try:
-        n = sample.count()
-        if n < min_rows:
-            raise InsufficientDataError(f"sample has {n} rows, fewer than {min_rows}")
-        train = sample.where(F.col("split") == "train")
-        test = sample.where(F.col("split") == "test")
-
-        features = feature_pipeline().fit(train)
-        labels = StringIndexer(inputCol="policy_type", outputCol="policy_label", handleInvalid="skip").fit(train)
-        train_f = cached(labels.transform(features.transform(train)))
-        sizes = [len(m.labels) for m in features.stages if isinstance(m, StringIndexerModel)]
-        bins = max([32, *(n + 1 for n in sizes)])  # one more for unseen values
-        forests = [
-            RandomForestClassifier(
-                labelCol="policy_label", featuresCol="features", numTrees=num_trees, maxDepth=max_depth, seed=seed, maxBins=bins,
-                predictionCol="policy_prediction", rawPredictionCol="policy_raw", probabilityCol="policy_probability",
-            ),
-            RandomForestClassifier(
-                labelCol="is_denied", featuresCol="features", numTrees=num_trees, maxDepth=max_depth, seed=seed, maxBins=bins,
-                predictionCol="denied_prediction", rawPredictionCol="denied_raw", probabilityCol="denied_probability",
-            ),
-        ]
-        # the two fits are independent: submit their jobs side by side
-        policy_forest, denial_forest = fit_concurrently([(f, train_f) for f in forests])
-        train_rows = train_f.count()
-
-        models = ClassifierModels(features, labels, policy_forest, denial_forest, train_rows, {})
-        scored = cached(score(models, test, keep_model_columns=True))
-        evaluators = {
-            "policy_accuracy": MulticlassClassificationEvaluator(
-                labelCol="policy_label", predictionCol="policy_prediction", metricName="accuracy"),
-            "policy_f1": MulticlassClassificationEvaluator(
-                labelCol="policy_label", predictionCol="policy_prediction", metricName="f1"),
-            "denial_auc": BinaryClassificationEvaluator(
-                labelCol="is_denied", rawPredictionCol="denied_raw", metricName="areaUnderROC"),
-            "denial_accuracy": MulticlassClassificationEvaluator(
-                labelCol="is_denied", predictionCol="denied_prediction", metricName="accuracy"),
-        }
-        models.metrics = {k: e.evaluate(scored) for k, e in evaluators.items()}
-        models.test_rows = scored.count()
-        return models
-    finally:
-        for df in held:
-            df.unpersist()
+DENIED_STATUS = "DENIED"
+CLAIM_INPUTS = Inputs("claim_id", ("claim_amount", "age", "fraud_risk_score"), ("state", "claim_type"))
+CLAIM_TARGETS = (
+    Target("policy", "policy_type"),
+    Target("denial", "claim_status", positive=DENIED_STATUS, label="is_denied", said="denied"),
+)
 
 
-def fit_concurrently(jobs: list) -> list:
-    """Fit (estimator, data) pairs from parallel driver threads; Spark
-    schedules the resulting jobs side by side on the cluster."""
-    if len(jobs) < 2:
-        return [est.fit(data) for est, data in jobs]
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        return [f.result() for f in [pool.submit(est.fit, data) for est, data in jobs]]
+def classifier_frame(enriched: DataFrame) -> DataFrame:
+    """The claims that the models can read, and the 0/1 denial label."""
+    return learning.model_rows(enriched, CLAIM_INPUTS, CLAIM_TARGETS)
 
 
-def score(models: ClassifierModels, df: DataFrame, keep_model_columns: bool = False) -> DataFrame:
-    """One transform chain: features, policy forest, denial forest.  Rows of a
-    policy type that the training rows lack are skipped, as in the metrics."""
-    known = models.policy_labels.transform(models.features.transform(df))
-    out = models.denial_forest.transform(models.policy_forest.transform(known))
-    out = IndexToString(
-        inputCol="policy_prediction", outputCol="predicted_policy_type", labels=models.policy_labels.labels
-    ).transform(out)
-    out = (
-        out.withColumn("predicted_denied", F.col("denied_prediction") == 1.0)
-        .withColumn("predicted_denied_probability", vector_to_array("denied_probability")[1])
-    )
-    if keep_model_columns:
-        return out
-    return out.select(
-        "claim_id",
-        F.col("policy_type").alias("actual_policy_type"),
-        "predicted_policy_type",
-        (F.col("is_denied") == 1.0).alias("actual_denied"),
-        "predicted_denied",
-        "predicted_denied_probability",
-        *(["split"] if "split" in df.columns else []),
-    )
+def train_classifiers(enriched: DataFrame, **settings) -> Models:
+    """Both forests; ``settings`` are those of ``learning.train``."""
+    models = learning.train(enriched, CLAIM_INPUTS, CLAIM_TARGETS, **settings)
+    models.metrics.pop("denial_f1")  # not reported for the yes/no target
+    return models
 
 
-def claim_predictions(models: ClassifierModels, enriched: DataFrame, key: str = "claim_id",
-                      fraction: float = 0.1, seed: int = 42, every_row: bool = False) -> DataFrame:
+def claim_predictions(
+    models: Models, enriched: DataFrame, key: str = "claim_id", fraction: float = 0.1, seed: int = 42, every_row: bool = False
+) -> DataFrame:
     """``gold_ml_claim_predictions``: the test rows, which no model was fitted on.
 
     ``every_row`` scores every modelled claim instead and adds its ``split``
     (train / test / unsampled).
     """
-    rows = labelled_sample(classifier_frame(enriched), key, fraction, seed)
+    rows = learning.labelled_sample(classifier_frame(enriched), key, fraction, seed)
     if not every_row:
         rows = rows.where(F.col("split") == "test").drop("split")
-    return score(models, rows)
+    return models.predictions(rows)
+
+
+def claim_features(enriched: DataFrame, fraction: float = 0.1, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(features, encoder): the models' inputs of every modelled claim without a
+    model object.  The encoder tables are fitted on the train rows; ``features``
+    has the key, ``split``, each index, both labels and the assembled array."""
+    rows = learning.labelled_sample(classifier_frame(enriched), CLAIM_INPUTS.key, fraction, seed)
+    classes = [t for t in CLAIM_TARGETS if t.positive is None]
+    encoder = encoding.fit_categories(rows.where(F.col("split") == "train"), [*CLAIM_INPUTS.categories, *[t.column for t in classes]])
+    told = encoding.encode(rows, encoder, CLAIM_INPUTS.indexed, "keep")
+    told = encoding.encode(told, encoder, {t.column: t.label_column for t in classes}, "skip")
+    told = told.withColumn("features", encoding.assemble(CLAIM_INPUTS.features))
+    return told.select(CLAIM_INPUTS.key, "split", *CLAIM_INPUTS.indexed.values(), *[t.label_column for t in CLAIM_TARGETS], "features"), encoder
+
+
+def node_predictions(models: Models, features: DataFrame, encoder: DataFrame) -> DataFrame:
+    """The predictions of ``claim_features`` rows from the models' node tables
+    and the encoder table: no model object takes part in the scoring."""
+    key, out = CLAIM_INPUTS.key, None
+    for target in CLAIM_TARGETS:
+        nodes = trees.node_table(models.forests[target.name])
+        classes = nodes.agg(F.max(F.size("votes"))).first()[0]
+        told = trees.score_classes(features, key, "features", nodes, trees.depth_of(nodes), classes)
+        if target.positive is None:
+            told = encoding.decode(told, encoder, target.column, "prediction", f"predicted_{target.output}").select(key, f"predicted_{target.output}")
+        else:
+            yes = (F.col("prediction") == 1.0).alias(f"predicted_{target.output}")
+            told = told.select(key, yes, F.col("shares")[1].alias(f"predicted_{target.output}_probability"))
+        out = told if out is None else out.join(told, key)
+    return out
 
 
 def confusion(predictions: DataFrame, actual: str, predicted: str, k: int | None = None) -> DataFrame:
     """Counts per (actual, predicted), largest first."""
-    out = predictions.groupBy(actual, predicted).agg(F.count(F.lit(1)).alias("cnt")).orderBy(
-        F.col("cnt").desc(), actual, predicted
-    )
-    return out.limit(k) if k else out
-
-
-# ---- forecast -------------------------------------------------------------------
+    counts = predictions.groupBy(actual, predicted).agg(F.count("*").alias("cnt")).orderBy(F.col("cnt").desc(), actual, predicted)
+    return counts.limit(k) if k else counts
 
-@dataclass
-class ForecastModels:
-    models: dict
-    metrics: dict
-    trends: DataFrame
-    test: DataFrame
-    last_ordinal: float
 
-
-def forecast_frame(trends: DataFrame, base_year: int = DEFAULT_BASE_YEAR) -> DataFrame:
-    return trends.select(
-        "claim_month",
-        "policy_type",
-        F.col("claim_count").cast("double").alias("claim_count"),
-        F.col("total_claim_amount").cast("double").alias("total_claim_amount"),
-        month_ordinal("claim_month", base_year).cast("double").alias("month_ordinal"),
-    )
+def trend_series(base_year: int = DEFAULT_BASE_YEAR) -> Series:
+    return Series("claim_month", "policy_type", month_ordinal("claim_month", base_year), ("claim_count", "total_claim_amount"))
 
 
 def holdout_months(trends: DataFrame, holdout: int = 3) -> DataFrame:
-    """The last ``holdout`` distinct months (a ``holdout``-row DataFrame)."""
-    return trends.select("claim_month").distinct().orderBy(F.col("claim_month").desc()).limit(holdout)
-
+    return learning.holdout_times(trends, "claim_month", holdout)
 
-def regression_pipeline(label: str, max_iter: int, max_depth: int, seed: int) -> Pipeline:
-    return Pipeline(
-        stages=[
-            StringIndexer(inputCol="policy_type", outputCol="policy_idx", handleInvalid="keep"),
-            VectorAssembler(inputCols=["month_ordinal", "policy_idx"], outputCol="features"),
-            GBTRegressor(labelCol=label, featuresCol="features", maxIter=max_iter, maxDepth=max_depth, seed=seed),
-        ]
-    )
 
+def train_forecast(trends: DataFrame, **settings) -> SeriesModels:
+    """A regressor for the claim count and one for the amount; ``settings`` are those of ``learning.train_series``."""
+    return learning.train_series(trends, trend_series(), **settings)
 
-FORECAST_METRICS = ("claim_count", "total_claim_amount")
 
-
-def train_forecast(
-    trends: DataFrame,
-    holdout: int = 3,
-    max_iter: int = 50,
-    max_depth: int = 4,
-    seed: int = 42,
-    min_rows: int = 12,
-) -> ForecastModels:
-    data = forecast_frame(trends).repartition(1).persist()  # months x policies: a small table
-    n_rows, n_months, last = data.agg(
-        F.count(F.lit(1)), F.countDistinct("claim_month"), F.max("month_ordinal")
-    ).first()
-    if n_rows < min_rows or n_months <= holdout:
-        data.unpersist()
-        raise InsufficientDataError(f"{n_rows} rows over {n_months} months: not enough history")
-    months = F.broadcast(holdout_months(data, holdout))  # `holdout` rows
-    train = data.join(months, "claim_month", "left_anti")
-    test = data.join(months, "claim_month", "left_semi")
-    train = train.persist()
-    fitted = fit_concurrently(
-        [(regression_pipeline(label, max_iter, max_depth, seed), train) for label in FORECAST_METRICS]
-    )
-    train.unpersist()
-    models, metrics = dict(zip(FORECAST_METRICS, fitted)), {}
-    for label in FORECAST_METRICS:
-        pred = models[label].transform(test)
-        metrics[label] = {
-            m: RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName=m).evaluate(pred)
-            for m in ("rmse", "mae")
-        }
-    return ForecastModels(models, metrics, data, test, last)
-
-
-def forecast_rows(fm: ForecastModels) -> DataFrame:
+def forecast_rows(models: SeriesModels) -> DataFrame:
     """``gold_ml_monthly_forecast``: holdout predictions (with actuals) and one
     forward step per policy type (claim_month and actual NULL)."""
-    forward = fm.trends.select("policy_type").distinct().withColumn("month_ordinal", F.lit(fm.last_ordinal + 1.0))
-    parts = []
-    for label, model in fm.models.items():
-        parts.append(model.transform(fm.test).select(
-            "claim_month", "policy_type", F.lit(label).alias("metric"),
-            F.col(label).alias("actual_value"), F.col("prediction").alias("predicted_value"),
-            F.lit("holdout").alias("forecast_type"),
-        ))
-    for label, model in fm.models.items():
-        parts.append(model.transform(forward).select(
-            F.lit(None).cast("timestamp").alias("claim_month"), "policy_type", F.lit(label).alias("metric"),
-            F.lit(None).cast("double").alias("actual_value"), F.col("prediction").alias("predicted_value"),
-            F.lit("forward").alias("forecast_type"),
-        ))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return models.forecast()
 
 
 def forecast_summary(forecast: DataFrame) -> DataFrame:
-    return (
-        forecast.groupBy("forecast_type", "metric", "policy_type")
-        .agg(F.round(F.avg("actual_value"), 2).alias("avg_actual"),
-             F.round(F.avg("predicted_value"), 2).alias("avg_predicted"))
-        .orderBy("forecast_type", "metric", "policy_type")
-    )
+    means = [F.round(F.avg(f"{c}_value"), 2).alias(f"avg_{c}") for c in ("actual", "predicted")]
+    by = ["forecast_type", "metric", "policy_type"]
+    return forecast.groupBy(*by).agg(*means).orderBy(*by)

@@ -132,9 +132,12 @@ def classify(store: Store, **params) -> dict:
 
 
 def forecast(store: Store, **params) -> dict:
-    fm = ml.train_forecast(store.read("gold_monthly_claim_trends"), **params)
-    store.write(ml.forecast_rows(fm), "gold_ml_monthly_forecast")
-    return fm.metrics
+    models = ml.train_forecast(store.read("gold_monthly_claim_trends"), **params)
+    try:
+        store.write(ml.forecast_rows(models), "gold_ml_monthly_forecast")
+        return models.metrics
+    finally:
+        models.release()
 
 
 def views(store: Store) -> None:

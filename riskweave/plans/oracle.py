@@ -476,3 +476,75 @@ ORACLE["dq_history_recent"] = _q(
 )
 
 ORACLE["monthly_trends_stream"] = ORACLE["monthly_trends"]
+
+
+# ---- models' tables and metrics ------------------------------------------------------
+
+_MODELLED = f"""
+SELECT *, CASE WHEN {unit_hash_sql('claim_id', 'sample42')} >= 0.1 THEN 'unsampled'
+  WHEN {unit_hash_sql('claim_id', 'split42')} < 0.8 THEN 'train' ELSE 'test' END AS split
+FROM enriched
+WHERE claim_amount IS NOT NULL AND age IS NOT NULL AND fraud_risk_score IS NOT NULL AND state IS NOT NULL
+  AND claim_type IS NOT NULL AND policy_type IS NOT NULL AND claim_status IS NOT NULL
+"""
+
+_ENCODER = f"""
+SELECT feature, category, CAST(ROW_NUMBER() OVER (PARTITION BY feature ORDER BY n DESC, category) - 1 AS DOUBLE) AS position, n
+FROM (
+  SELECT 'state' AS feature, state AS category, COUNT(*) AS n FROM ({_MODELLED}) m WHERE split = 'train' GROUP BY state
+  UNION ALL SELECT 'claim_type', claim_type, COUNT(*) FROM ({_MODELLED}) m WHERE split = 'train' GROUP BY claim_type
+  UNION ALL SELECT 'policy_type', policy_type, COUNT(*) FROM ({_MODELLED}) m WHERE split = 'train' GROUP BY policy_type) c
+"""
+
+
+def _class_mean(expr: str) -> str:
+    return f"SUM(({expr}) * w) / SUM(w)"
+
+
+ORACLE.update({
+    # ranks with ties averaged; twice the rank sum is an integer, so nothing is rounded before the last division
+    "score_auc": _q(
+        "SELECT policy_type, CAST(p AS BIGINT) AS positives, CAST(n - p AS BIGINT) AS negatives,"
+        " CASE WHEN p > 0 AND n > p THEN (r2 - p * (p + 1)) / (2.0E0 * p * (n - p)) END AS auc FROM ("
+        "  SELECT policy_type, SUM(y) AS p, COUNT(*) AS n, SUM(y * r2) AS r2 FROM ("
+        "   SELECT policy_type, CASE WHEN claim_status = 'DENIED' THEN 1 ELSE 0 END AS y,"
+        "    2 * RANK() OVER (PARTITION BY policy_type ORDER BY fraud_risk_score)"
+        "    + COUNT(*) OVER (PARTITION BY policy_type, fraud_risk_score) - 1 AS r2"
+        "   FROM enriched WHERE fraud_risk_score IS NOT NULL) x GROUP BY policy_type) s"
+    ),
+    "rule_metrics": _q(
+        "SELECT policy_type, CAST(SUM(w) AS BIGINT) AS rows, " + _class_mean("CASE WHEN w > 0 THEN hit / w ELSE 0 END") + " AS accuracy, "
+        + _class_mean("CASE WHEN said > 0 THEN hit / said ELSE 0 END") + " AS precision, "
+        + _class_mean("CASE WHEN w > 0 THEN hit / w ELSE 0 END") + " AS recall, "
+        + _class_mean("CASE WHEN w + said > 0 THEN 2 * hit / (w + said) ELSE 0 END") + " AS f1 FROM ("
+        "  SELECT policy_type, c.y, SUM(CASE WHEN (claim_status = 'DENIED') = c.y THEN 1.0E0 ELSE 0 END) AS w,"
+        "   SUM(CASE WHEN (fraud_risk_band = 'HIGH') = c.y THEN 1.0E0 ELSE 0 END) AS said,"
+        "   SUM(CASE WHEN (claim_status = 'DENIED') = c.y AND (fraud_risk_band = 'HIGH') = c.y THEN 1.0E0 ELSE 0 END) AS hit"
+        "  FROM enriched, (VALUES (TRUE), (FALSE)) c(y) GROUP BY policy_type, c.y) k GROUP BY policy_type"
+    ),
+    "ml_encoder": _q(_ENCODER),
+    "ml_features": _q(
+        f"SELECT claim_id, split, state_idx, claim_type_idx, policy_label, is_denied, claim_amount AS feature_claim_amount,"
+        " CAST(age AS DOUBLE) AS feature_age, fraud_risk_score AS feature_fraud_risk_score, state_idx AS feature_state_idx,"
+        " claim_type_idx AS feature_claim_type_idx FROM ("
+        "  SELECT m.*, COALESCE(s.position, (SELECT CAST(COUNT(*) AS DOUBLE) FROM enc WHERE feature = 'state')) AS state_idx,"
+        "   COALESCE(t.position, (SELECT CAST(COUNT(*) AS DOUBLE) FROM enc WHERE feature = 'claim_type')) AS claim_type_idx,"
+        "   p.position AS policy_label, CASE WHEN claim_status = 'DENIED' THEN 1.0E0 ELSE 0.0E0 END AS is_denied"
+        "  FROM modelled m LEFT JOIN enc s ON s.feature = 'state' AND s.category = m.state"
+        "  LEFT JOIN enc t ON t.feature = 'claim_type' AND t.category = m.claim_type"
+        "  JOIN enc p ON p.feature = 'policy_type' AND p.category = m.policy_type) f"
+    ).replace("SELECT claim_id, split, state_idx", f", modelled AS ({_MODELLED}), enc AS ({_ENCODER}) SELECT claim_id, split, state_idx", 1),
+    "forecast_actuals": _q(
+        "SELECT claim_month, policy_type, metric, actual_value, 'holdout' AS forecast_type FROM ("
+        "  SELECT claim_month, policy_type, 'claim_count' AS metric, CAST(claim_count AS DOUBLE) AS actual_value,"
+        "   DENSE_RANK() OVER (ORDER BY claim_month DESC) AS r FROM trends"
+        "  UNION ALL SELECT claim_month, policy_type, 'total_claim_amount', total_claim_amount,"
+        "   DENSE_RANK() OVER (ORDER BY claim_month DESC) FROM trends) x WHERE r <= 3"
+    ),
+    "forecast_forward_frame": _q(
+        "SELECT CAST(NULL AS TIMESTAMP) AS claim_month, policy_type, CAST(NULL AS DOUBLE) AS claim_count,"
+        " CAST(NULL AS DOUBLE) AS total_claim_amount, 'forward' AS forecast_type,"
+        " CAST((SELECT MAX((year(claim_month) - 2022) * 12 + month(claim_month)) FROM trends) + 1 AS DOUBLE) AS step"
+        " FROM (SELECT DISTINCT policy_type FROM trends) p"
+    ),
+})

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from riskweave.functions import calendar
 from riskweave.functions.calendar import month_ordinal
-from riskweave.operators import gold, ml, quality, reports, sampling, scoring, timeseries
+from riskweave.operators import gold, learning, metrics, ml, quality, reports, sampling, scoring, timeseries, trees
 from riskweave.plans import jobs, medallion
 from riskweave.plans.layers import Layers
 from riskweave.session import scratch_dir
@@ -388,6 +388,62 @@ def _forecast_metrics(spark, sf_dir):
     return spark.createDataFrame(rows, "metric string, rmse double, mae double")
 
 
+# ---- models' tables and metrics that SQL can state ----------------------------
+
+@query("score_auc")
+def _score_auc(spark, sf_dir):
+    """How well the fraud score ranks denied claims: exact rank-sum AUC, ties averaged, per policy type."""
+    enriched = Layers(spark, sf_dir).enriched
+    return metrics.rank_auc(enriched, F.col("fraud_risk_score"), F.col("claim_status") == ml.DENIED_STATUS, by=["policy_type"])
+
+
+@query("rule_metrics")
+def _rule_metrics(spark, sf_dir):
+    """The rule "a HIGH band claim is denied" measured like a model, per policy type."""
+    said = Layers(spark, sf_dir).enriched.select(
+        "policy_type",
+        (F.col("claim_status") == ml.DENIED_STATUS).alias("denied"),
+        (F.col("fraud_risk_band") == gold.WATCH_BAND).alias("flagged"),
+    )
+    return metrics.class_metrics(metrics.confusion_counts(said, "denied", "flagged", ["policy_type"]), ["policy_type"])
+
+
+@query("ml_encoder")
+def _ml_encoder(spark, sf_dir):
+    """The fitted encoders of the claims models, as one table."""
+    return ml.claim_features(Layers(spark, sf_dir).enriched)[1]
+
+
+@query("ml_features")
+def _ml_features(spark, sf_dir):
+    """Every modelled claim's split, indexes, labels and assembled features (one column each)."""
+    told, _ = ml.claim_features(Layers(spark, sf_dir).enriched)
+    names = ml.CLAIM_INPUTS.features
+    return told.select(*[c for c in told.columns if c != "features"], *[F.col("features")[i].alias(f"feature_{n}") for i, n in enumerate(names)])
+
+
+@query("ml_node_predictions")
+def _ml_node_predictions(spark, sf_dir):
+    """The test claims' predictions from the stored node and encoder tables alone."""
+    models, (features, encoder) = _classifiers(spark, sf_dir), ml.claim_features(Layers(spark, sf_dir).enriched)
+    return ml.node_predictions(models, features.where(F.col("split") == "test"), encoder)
+
+
+@query("forecast_actuals")
+def _forecast_actuals(spark, sf_dir):
+    """The holdout months' actual values in long form."""
+    series = ml.trend_series()
+    _, held = learning.split_holdout(series.frame(Layers(spark, sf_dir).trends), series, 3)
+    return learning.unpivoted(held, series.values).select("claim_month", "policy_type", "metric", "actual_value", F.lit("holdout").alias("forecast_type"))
+
+
+@query("forecast_forward_frame")
+def _forecast_forward_frame(spark, sf_dir):
+    """One row a policy type at the step after the last month, values and month unknown."""
+    series = ml.trend_series()
+    return learning.forward_frame(series.frame(Layers(spark, sf_dir).trends), series).withColumn("forecast_type", F.lit("forward"))
+
+
 # ---- sources, sinks and the whole batch -------------------------------------
 
 FIXED_TIME = dt.datetime(2025, 1, 1, 6, 0, 0)
