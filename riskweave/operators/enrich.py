@@ -29,7 +29,7 @@ def enrich_claims(
     customers: DataFrame,
     key: str = "customer_id",
     processed_at: Column | None = None,
-    hot_key_fraction: float | None = None,
+    hot_key_fraction: float | str | None = "auto",
 ) -> DataFrame:
     """``silver_claims_enriched``: inner join on ``key``.
 

@@ -20,11 +20,13 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
-from collections.abc import Collection
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +36,7 @@ from riskweave.sources.files import append_table, read_table
 # The ten valid state codes.
 VALID_STATES = ("CA", "TX", "FL", "NY", "PA", "IL", "OH", "GA", "NC", "MI")
 
+# The columns and types of the stored history.
 DQ_RESULTS_SCHEMA = T.StructType(
     [
         T.StructField("execution_id", T.StringType(), False),
@@ -285,32 +288,109 @@ def evaluate(df: DataFrame, suite: Suite) -> DataFrame:
     )
 
 
+def bad_values(df: DataFrame, checks: list[tuple[str, Column, str]], k: int) -> DataFrame:
+    """``i, unexpected_count, sample`` of the (name, predicate, column) checks that
+    have bad rows: ``sample`` is the k smallest distinct bad values, as text.
+
+    One scan.  Only rows that fail a check leave the JVM; each task keeps k
+    values a check, so no more than tasks x checks x k rows are shuffled,
+    however many values are bad or repeat.
+    """
+    flags = [predicate.alias(f"b{i}") for i, (_, predicate, _) in enumerate(checks)]
+    values = [F.when(predicate, F.col(column)).alias(f"v{i}") for i, (_, predicate, column) in enumerate(checks)]
+    rows = df.select(*flags, *values).where(reduce(Column.__or__, [F.coalesce(F.col(f"b{i}"), F.lit(False)) for i in range(len(checks))]))
+    kinds = [rows.schema[f"v{i}"].dataType.simpleString() for i in range(len(checks))]
+    schema = ", ".join(["i int", "n bigint", *[f"v{i} {t}" for i, t in enumerate(kinds)]])
+    n_checks, more = len(checks), k + 1  # a NaN sorts elsewhere in Arrow, so one value more
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, best = [0] * n_checks, [None] * n_checks
+        names, types = [], []
+        for batch in batches:
+            names = batch.schema.names[n_checks:]
+            types = [batch.schema.field(n).type for n in names]
+            for i in range(n_checks):
+                bad = batch.column(n_checks + i).filter(pc.fill_null(batch.column(i), False))
+                if len(bad):
+                    counts[i] += len(bad)
+                    every = pc.unique(bad if best[i] is None else pa.concat_arrays([best[i], bad]))
+                    best[i] = every.take(pc.sort_indices(every, null_placement="at_start")[:more])
+        for i in range(n_checks):
+            if counts[i]:
+                m = len(best[i])
+                values = [best[i] if j == i else pa.nulls(m, t) for j, t in enumerate(types)]
+                columns = [pa.array([i] * m, pa.int32()), pa.array([counts[i]] + [0] * (m - 1), pa.int64()), *values]
+                yield pa.record_batch(columns, names=["i", "n", *names])
+
+    told = rows.mapInArrow(keep, schema)
+    own = [f"v{i}" for i in range(len(checks))]
+    distinct = told.groupBy("i", *own).agg(F.sum("n").alias("n"))
+    order = Window.partitionBy("i").orderBy(*[F.col(v).asc_nulls_first() for v in own])  # a check's few values
+    text = F.coalesce(*[F.col(v).cast("string") for v in own])
+    ranked = distinct.withColumn("r", F.row_number().over(order)).select("i", "n", F.struct("r", text.alias("v")).alias("s"))
+    return ranked.groupBy("i").agg(F.sum("n").alias("unexpected_count"), F.sort_array(F.collect_list("s")).alias("s")).select(
+        "i", "unexpected_count", F.transform(F.slice("s", 1, k), lambda x: x["v"]).alias("sample")
+    )
+
+
+def _sampled(df: DataFrame, suite: Suite, k: int, failed: Collection[str] | None) -> list[tuple[DataFrame, list[int]]]:
+    """(bad values, suite positions of its checks): the row-level checks together, and each uniqueness column."""
+    wanted = [(i, c) for i, c in enumerate(suite.checks) if failed is None or c.name in failed]
+    row_level = [(i, c) for i, c in wanted if c.bad() is not None]
+    parts = []
+    if row_level:
+        parts.append((bad_values(df, [(c.name, c.bad(), c.column) for _, c in row_level], k), [i for i, _ in row_level]))
+    for i, c in wanted:
+        if isinstance(c, Unique):
+            often = df.where(F.col(c.column).isNotNull()).groupBy(c.column).count().where(F.col("count") > 1)
+            parts.append((bad_values(often, [(c.name, F.lit(True), c.column)], k), [i]))
+    return parts
+
+
 def unexpected_sample(df: DataFrame, suite: Suite, k: int = 5, failed: Collection[str] | None = None) -> DataFrame:
     """Up to ``k`` distinct unexpected values per check (smallest first, as
     text).  Checks that pass contribute no rows; with the names of the checks
-    that ``failed``, only those are scanned for.  Each part is a bounded
-    top-k (TakeOrderedAndProject), never a whole group in one task."""
+    that ``failed``, only those are looked at.  One scan for all row-level
+    checks, one grouped pass a uniqueness column."""
     parts = [df.sparkSession.createDataFrame([], "check_name string, unexpected_value string")]
-    for c in suite.checks:
-        if failed is not None and c.name not in failed:
-            continue
-        if isinstance(c, Unique):
-            bad_vals = (
-                df.where(F.col(c.column).isNotNull()).groupBy(c.column).count()
-                .where(F.col("count") > 1).select(F.col(c.column).alias("_v"))
-            )
-        elif c.bad() is not None:
-            bad_vals = df.where(c.bad()).select(F.col(c.column).alias("_v")).distinct()
-        else:
-            continue
-        parts.append(
-            bad_vals.orderBy(F.col("_v").asc_nulls_first()).limit(k).select(
-                F.lit(c.name).alias("check_name"), F.col("_v").cast("string").alias("unexpected_value")
-            )
-        )
+    for told, places in _sampled(df, suite, k, failed):
+        names = F.array(*[F.lit(suite.checks[i].name) for i in places])
+        parts.append(told.select(F.get(names, F.col("i")).alias("check_name"), F.explode("sample").alias("unexpected_value")))
     return reduce(DataFrame.unionByName, parts)
 
 
+def checked(df: DataFrame, suite: Suite, k: int = 5) -> list[dict]:
+    """The suite's result rows with ``samples``, in suite order: counts and bad
+    values of all row-level checks come from the same scan."""
+    spark = df.sparkSession
+    found: dict[int, tuple] = {}
+    for told, places in _sampled(df, Suite(suite.target_table, [c for c in suite.checks if c.bad() is not None]), k, None):
+        row_level = [i for i, c in enumerate(suite.checks) if c.bad() is not None]
+        for r in told.collect():  # a row a check
+            found[row_level[places[r["i"]]]] = (r["unexpected_count"], r["sample"])
+    n = df.count()  # no column is read for it
+    others = Suite(suite.target_table, [c for c in suite.checks if c.bad() is None])
+    rest = iter(evaluate(df, others).orderBy("check_order").collect() if others.checks else [])
+    rows, samples = [], {}
+    for i, c in enumerate(suite.checks):
+        if c.bad() is None:
+            r = next(rest)
+            rows.append((i, c.name, r["success"], r["element_count"], r["unexpected_count"]))
+        else:
+            bad, sample = found.get(i, (0, []))
+            rows.append((i, c.name, bad == 0, n, bad))
+            samples[c.name] = sample
+    failing = [r[1] for r in rows if not r[2]]
+    repeated = Suite(suite.target_table, [c for c in suite.checks if isinstance(c, Unique) and c.name in failing])
+    for told, places in _sampled(df, repeated, k, None):
+        for r in told.collect():
+            samples[repeated.checks[places[r["i"]]].name] = r["sample"]
+    told = spark.createDataFrame(rows, "check_order int, check_name string, success boolean, element_count bigint, unexpected_count bigint")
+    score = dq_score(F.col("success"), F.col("element_count"), F.col("unexpected_count"))
+    scored = told.select("*", score.alias("dq_score")).orderBy("check_order").collect()
+    return [{**r.asDict(), "target_table": suite.target_table, "samples": samples.get(r["check_name"], [])} for r in scored]
+
+
 # ---- history and gate --------------------------------------------------------
 
 def result_frame(spark: SparkSession, rows: list, execution_id: str, execution_time: _dt.datetime) -> DataFrame:
@@ -350,13 +430,11 @@ def run_gate(
     execution_time = execution_time or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     if df.isEmpty():
         raise EmptySourceError(f"{suite.target_table} is empty")
-    rows = evaluate(df, suite).orderBy("check_order").collect()  # one row per check
+    rows = checked(df, suite)  # one row per check
     persist_results(result_frame(spark, rows, execution_id, execution_time), history_table, history_path)
     failed = [r["check_name"] for r in rows if not r["success"]]
     if failed and raise_on_failure:
-        samples: dict[str, list] = {}
-        for r in unexpected_sample(df, suite, failed=failed).collect():  # at most 5 a failed check
-            samples.setdefault(r["check_name"], []).append(r["unexpected_value"])
+        samples = {r["check_name"]: r["samples"] for r in rows if not r["success"] and r["samples"]}
         message = f"{len(failed)} check(s) failed on {suite.target_table}: {failed}; unexpected values: {samples}"
         raise DataQualityError(message, failed, samples)
     return rows

@@ -62,7 +62,7 @@ def silver_claims(store: Store, clock: Column | None = None) -> DataFrame:
     return store.read("silver_claims")
 
 
-def claims_enriched(store: Store, clock: Column | None = None, hot_key_fraction: float | None = None) -> DataFrame:
+def claims_enriched(store: Store, clock: Column | None = None, hot_key_fraction: float | str | None = "auto") -> DataFrame:
     joined = enrich.enrich_claims(store.read("silver_claims"), store.read("silver_customers"),
                                   processed_at=_clock(clock), hot_key_fraction=hot_key_fraction)
     store.write(joined, "silver_claims_enriched")

@@ -46,11 +46,13 @@ def run_medallion(
     execution_id: str | None = None,
     execution_time: dt.datetime | None = None,
     clock: Column | None = None,
-    hot_key_fraction: float | None = None,
+    hot_key_fraction: float | str | None = "auto",
+    versioned: bool = False,
 ) -> dict:
     """Run every layer; return {table: location}.  ``clock`` defaults to
-    ``current_timestamp()`` for the ``*_at`` columns."""
-    store = Store(spark, database, base_path, fmt)
+    ``current_timestamp()`` for the ``*_at`` columns.  ``versioned`` replaces path
+    tables without a gap (see ``Store``)."""
+    store = Store(spark, database, base_path, fmt, versioned)
     clock = F.current_timestamp() if clock is None else clock
 
     _parallel([lambda: store.write(customers, "customers"), lambda: store.write(claims, "claims")], parallel)

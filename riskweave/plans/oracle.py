@@ -548,3 +548,39 @@ ORACLE.update({
         " FROM (SELECT DISTINCT policy_type FROM trends) p"
     ),
 })
+
+
+# ---- rejects, incremental gold, stored sketches ---------------------------------------
+
+_FAULTS = (
+    ("customer_id", "not bigint", "customer_id % 19 = 0 AND customer_id % 23 <> 0", "'C' || customer_id"),
+    ("customer_id", "no value", "customer_id % 23 = 0", "NULL"),
+    ("age", "not int", "customer_id % 13 = 0", "'abc'"),
+    ("fraud_risk_score", "not double", "customer_id % 17 = 0", "'n/a'"),
+)
+
+
+def _distinct_row(column: str) -> str:
+    return (
+        f"SELECT '{column}' AS field, COUNT(DISTINCT customer_id % 4) AS loads, CAST(COUNT(*) AS BIGINT) AS rows,"
+        f" COUNT({column}) AS nonnull, COUNT(DISTINCT {column}) AS distinct_exact, TRUE AS within_bound FROM customers_base"
+    )
+
+
+ORACLE.update({
+    "bronze_customers_rejects": _q(" UNION ALL ".join(
+        f"SELECT customer_id AS row_no, '{c}' AS field, '{why}' AS reason, {value} AS value FROM customers WHERE {when}" for c, why, when, value in _FAULTS
+    )),
+    "gold_incremental": _q(
+        ", corrected AS (SELECT state, policy_type, fraud_risk_score, fraud_risk_band,"
+        " CASE WHEN claim_id % 7 = 0 THEN claim_amount * 2 ELSE claim_amount END AS claim_amount,"
+        " CASE WHEN claim_id % 7 = 0 THEN 'DENIED' ELSE claim_status END AS claim_status FROM enriched)"
+        " SELECT state, policy_type, COUNT(*) AS claim_count, ROUND(SUM(claim_amount), 2) AS total_claim_amount,"
+        f" {exact_avg('claim_amount')} AS avg_claim_amount, ROUND(AVG(fraud_risk_score), 4) AS avg_fraud_risk_score,"
+        " CAST(SUM(CASE WHEN fraud_risk_band = 'HIGH' THEN 1 ELSE 0 END) AS BIGINT) AS high_risk_customer_claims,"
+        " CAST(SUM(CASE WHEN claim_status = 'DENIED' THEN 1 ELSE 0 END) AS BIGINT) AS denied_claims"
+        " FROM corrected GROUP BY state, policy_type"
+    ),
+    "distinct_from_states": _q(" UNION ALL ".join(_distinct_row(c) for c in ("customer_id", "state", "fraud_risk_score"))),
+    "percentile_from_states": ORACLE["risk_percentile"],
+})

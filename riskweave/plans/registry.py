@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 
 from riskweave.functions import calendar
 from riskweave.functions.calendar import month_ordinal
-from riskweave.operators import gold, learning, metrics, ml, quality, reports, sampling, scoring, timeseries, trees
+from riskweave.operators import gold, goldstate, learning, metrics, ml, quality, reports, sampling, scoring, sketches, timeseries
 from riskweave.plans import jobs, medallion
 from riskweave.plans.layers import Layers
 from riskweave.session import scratch_dir
-from riskweave.sources import files, fixtures
+from riskweave.sources import files, fixtures, versions
 from riskweave.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -324,10 +324,8 @@ def _dq_unique_lineitem(spark, sf_dir):
 
 @query("dq_unexpected_sample")
 def _dq_unexpected_sample(spark, sf_dir):
-    """Up to 5 unexpected values of each failed check; passing checks are not scanned for."""
-    customers, suite = Layers(spark, sf_dir).customers, quality.customers_suite()
-    failed = [r["check_name"] for r in quality.evaluate(customers, suite).where("NOT success").collect()]  # a row a check
-    return quality.unexpected_sample(customers, suite, 5, failed)
+    """Up to 5 unexpected values of each failed check, from one scan of the customers."""
+    return quality.unexpected_sample(Layers(spark, sf_dir).customers, quality.customers_suite(), 5)
 
 
 # ---- machine learning (no SQL oracle: rows-only checks) --------------------
@@ -498,8 +496,8 @@ def _monthly_trends_stream(spark, sf_dir):
     base = scratch_dir(spark, "stream-trends")
     orders = incremental.file_stream(spark, f"{sf_dir}/orders.parquet")
     stream = incremental.trends_stream(orders, Layers(spark, sf_dir).customers_base)
-    incremental.run_aggregate_to_table(stream, f"{base}/gold_monthly_claim_trends", f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/gold_monthly_claim_trends")
+    incremental.run_aggregate_to_versions(stream, f"{base}/gold_monthly_claim_trends", f"{base}/checkpoint")
+    return versions.read_version(spark, f"{base}/gold_monthly_claim_trends")
 
 
 def _history(spark, sf_dir):
@@ -586,6 +584,75 @@ def _load_audit_customers(spark, sf_dir):
     return customers.agg(F.count(F.lit(1)).alias("cnt"), *without)
 
 
+# ---- rejects, incremental gold, stored sketches -------------------------------
+
+@query("bronze_customers_rejects")
+def _bronze_customers_rejects(spark, sf_dir):
+    """Every fault of a customers CSV with bad values planted by rule, one row a fault."""
+    path, key = scratch_dir(spark, "rejects"), F.col("customer_id")
+    text = Layers(spark, sf_dir).customers.select(
+        key.alias("row_no"),
+        F.when(key % 23 == 0, "").when(key % 19 == 0, F.concat(F.lit("C"), key)).otherwise(key.cast("string")).alias("customer_id"),
+        F.when(key % 13 == 0, "abc").otherwise(F.col("age").cast("string")).alias("age"),
+        "state",
+        F.when(key % 17 == 0, "n/a").otherwise(F.col("fraud_risk_score").cast("string")).alias("fraud_risk_score"),
+    )
+    writer = text.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.csv(f"{path}/csv")
+    _, rejected = files.split_csv(spark, f"{path}/csv", jobs.CUSTOMERS_SCHEMA, f"{path}/split", required=["customer_id"])
+    row = F.get_json_object("raw", "$.row_no").cast("bigint").alias("row_no")
+    return rejected.select(row, F.explode("rejects").alias("r")).select("row_no", F.col("r.column").alias("field"), "r.reason", "r.value")
+
+
+@query("gold_incremental")
+def _gold_incremental(spark, sf_dir):
+    """KPIs kept as a partial state over two loads and one correction (every
+    seventh claim doubled and denied), never rebuilt from the whole table."""
+    enriched, table = Layers(spark, sf_dir).enriched, scratch_dir(spark, "gold-state")
+    group, even = goldstate.KPI_GROUP, F.col("claim_id") % 2 == 0
+    versions.write_version(goldstate.state_of(enriched.where(even), group), table)
+    second = goldstate.state_of(enriched.where(~even), group)
+    versions.write_version(goldstate.merged(group, [versions.read_version(spark, table), second]), table)
+    corrected = enriched.where(F.col("claim_id") % 7 == 0).withColumns(
+        {"claim_amount": F.col("claim_amount") * 2, "claim_status": F.lit(ml.DENIED_STATUS)}
+    )
+    after = goldstate.changed(versions.read_version(spark, table), group, enriched, corrected, "claim_id")
+    versions.write_version(after, table)
+    return goldstate.kpi(versions.read_version(spark, table))
+
+
+def _score_states(spark, sf_dir):
+    """Stored sketch states of four customer loads, written once per session and input folder."""
+
+    def build():
+        path = scratch_dir(spark, "score-states")
+        load = F.concat(F.lit("load-"), F.col("customer_id") % 4)
+        sketches.load_states(Layers(spark, sf_dir).customers_base, ["customer_id", "state", "fraud_risk_score"], load).write.parquet(path)
+        return path
+
+    return spark.read.parquet(_cached("score-states", spark, sf_dir, build))
+
+
+@query("distinct_from_states")
+def _distinct_from_states(spark, sf_dir):
+    """Distinct values of the customers' columns from the loads' stored states, beside the
+    exact count: ``within_bound`` says that they differ by no more than the stated error."""
+    base = Layers(spark, sf_dir).customers_base
+    exact = base.agg(*[F.countDistinct(c).alias(c) for c in ("customer_id", "state", "fraud_risk_score")])
+    names = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("distinct_exact")) for c in exact.columns])
+    told = sketches.distinct_counts(_score_states(spark, sf_dir)).join(exact.select(F.explode(names).alias("e")).select("e.*"), "column")
+    near = F.abs(F.col("estimate") - F.col("distinct_exact")) <= sketches.distinct_error() * F.col("distinct_exact")
+    return told.select(F.col("column").alias("field"), "loads", "rows", "nonnull", "distinct_exact", near.alias("within_bound"))
+
+
+@query("percentile_from_states")
+def _percentile_from_states(spark, sf_dir):
+    """The exact risk percentile with ranges from the stored states: no pass for the bounds."""
+    bounds = sketches.quantile_bounds(_score_states(spark, sf_dir), "fraud_risk_score", scoring.default_buckets(Layers(spark, sf_dir).customers))
+    base = Layers(spark, sf_dir).customers_base.select("customer_id", "fraud_risk_score")
+    return scoring.with_percentile(base, "fraud_risk_score", "fraud_risk_percentile", bounds=bounds)
+
+
 # ---- content of the stored tables and views -----------------------------------
 
 def _batch(spark, sf_dir):

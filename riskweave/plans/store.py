@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskweave.sources import versions
 from riskweave.sources.files import create_database, read_table, write_table
 
 BRONZE = ("customers", "claims")
@@ -16,12 +17,17 @@ HISTORY = "data_quality_check"
 
 @dataclass
 class Store:
-    """Where layer tables live: a catalog database or a base folder."""
+    """Where layer tables live: a catalog database or a base folder.
+
+    With ``versioned`` a path table is replaced without a gap: it is written
+    beside the old one, and readers switch when it is complete.
+    """
 
     spark: SparkSession
     database: str | None = None
     base_path: str | None = None
     fmt: str = "parquet"
+    versioned: bool = False
     written: dict = field(default_factory=dict)
 
     def __post_init__(self):
@@ -37,8 +43,14 @@ class Store:
         return None if self.database else f"{self.base_path.rstrip('/')}/{table}"
 
     def write(self, df: DataFrame, table: str) -> None:
-        write_table(df, name=self.name(table), path=self.path(table), fmt=self.fmt)
+        if self.versioned and self.path(table):
+            versions.write_version(df, self.path(table), fmt=self.fmt)
+            versions.prune(self.spark, self.path(table))
+        else:
+            write_table(df, name=self.name(table), path=self.path(table), fmt=self.fmt)
         self.written[table] = self.name(table) or self.path(table)
 
     def read(self, table: str) -> DataFrame:
+        if self.versioned and self.path(table) and table != HISTORY:  # the history is appended to
+            return versions.read_version(self.spark, self.path(table), fmt=self.fmt)
         return read_table(self.spark, self.name(table), self.path(table), self.fmt)

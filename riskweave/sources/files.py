@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -59,6 +60,58 @@ def read_csv_by_name(spark: SparkSession, path: str, schema: StructType | str, m
     return rows.select(*columns, *[F.col("`" + c.replace("`", "``") + "`") for c in header if c not in used])
 
 
+#: Name of the text column that holds a row whose number of fields is wrong.
+MALFORMED = "_malformed"
+
+
+def split_csv(spark: SparkSession, path: str, schema: StructType | str, out: str, required: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """One CSV scan that parts the rows into (accepted, rejected), stored under ``out``.
+
+    Columns are found by their header names, as in ``read_csv_by_name``.  A row
+    is rejected if it has too few or too many fields, a value that is not of
+    its column's type, or no value in a ``required`` column; blank values are
+    NULL.  Accepted rows have the columns of ``schema``; rejected ones ``raw``
+    (the fields as read, as JSON) and ``rejects``, all of the row's faults with
+    column, reason and value.  Both come from one job that writes the rows
+    partitioned by their fate, so they add up to the file.
+    """
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    header = spark.read.option("header", True).csv(path).columns
+    by_name = {c.strip().lower(): c for c in header}
+    missing = [f.name for f in wanted if f.name.lower() not in by_name]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header {header}")
+    text = StructType([*[StructField(c, StringType()) for c in header], StructField(MALFORMED, StringType())])
+    rows = (
+        spark.read.option("header", True).option("enforceSchema", False).option("columnNameOfCorruptRecord", MALFORMED).schema(text).csv(path)
+    )
+    none = F.lit(None).cast("struct<column string, reason string, value string>")
+
+    def fault(name: str | None, reason: str, value: Column) -> Column:
+        return F.struct(F.lit(name).cast("string").alias("column"), F.lit(reason).alias("reason"), value.alias("value"))
+
+    ragged = F.col(MALFORMED).isNotNull()
+    values, faults = [], [F.when(ragged, fault(None, "number of fields", F.col(MALFORMED))).otherwise(none)]
+    for f in wanted:
+        raw = F.col("`" + by_name[f.name.lower()].replace("`", "``") + "`")
+        raw = F.when(F.trim(raw) != "", raw)
+        value = raw.try_cast(f.dataType)
+        values.append(value.alias(f.name))
+        said = fault(f.name, f"not {f.dataType.simpleString()}", raw)
+        wrong = F.when(raw.isNotNull() & value.isNull(), said)
+        if f.name in required:
+            wrong = wrong.when(raw.isNull(), fault(f.name, "no value", raw))
+        faults.append(F.when(~ragged, wrong.otherwise(none)).otherwise(none))
+    found = F.filter(F.array(*faults), lambda x: x.isNotNull())
+    raw = F.to_json(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in header]))
+    parted = rows.select(*values, raw.alias("raw"), found.alias("rejects")).withColumn("accepted", F.size("rejects") == 0)
+    parted.write.mode("overwrite").partitionBy("accepted").parquet(out)
+    # a fate that no row has leaves no folder: both sides are read with the known schema
+    kept = spark.read.schema(parted.schema).parquet(out)
+    accepted = kept.where(F.col("accepted")).select(*[f.name for f in wanted])
+    return accepted, kept.where(~F.col("accepted")).select("raw", "rejects")
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

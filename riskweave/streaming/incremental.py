@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from riskweave.operators.cleanse import silver_claims
 from riskweave.operators.enrich import enrich_claims
 from riskweave.operators.gold import monthly_trends
+from riskweave.sources import versions
 from riskweave.sources.fixtures import claims_from
 
 
@@ -92,3 +93,25 @@ def run_aggregate_to_table(stream: DataFrame, table_path: str, checkpoint_path:
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+
+
+def run_aggregate_to_versions(stream: DataFrame, path: str, checkpoint_path: str, fmt: str = "parquet", keep: int = 2) -> None:
+    """Complete-mode aggregate into a versioned table (``sources.versions``): every
+    micro-batch writes the whole result beside the last one under its own
+    number, and readers switch when it is complete.  A replayed batch writes
+    its own version again; a batch that dies leaves the table as it was."""
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        versions.write_version(batch, path, batch_id, fmt)
+        versions.prune(batch.sparkSession, path, keep)
+
+    q = (
+        stream.writeStream.outputMode("complete")
+        .option("checkpointLocation", checkpoint_path)
+        .foreachBatch(add)
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
