@@ -37,25 +37,28 @@ def tokenised_pieces(docs: DataFrame, vocabulary_path: str, end_id: int, capacit
     rows = docs.select(plain(key).alias("key"), plain(text).alias("text"))
     with open(vocabulary_path, encoding="utf-8") as f:
         vocabulary = docs.sparkSession.sparkContext.broadcast(f.read())
-    end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, ids in encoded_slices(batches, vocabulary.value, 1):
-            owner, piece, cut = [], [], []
-            for k, x in enumerate(ids):
-                whole = x + end
-                for p, at in enumerate(range(0, len(whole), 4 * capacity)):
-                    owner.append(k)
-                    piece.append(p)
-                    cut.append(whole[at : at + 4 * capacity])
-            piece = np.array(piece, np.int32)
+        for part, ids, counts in encoded_slices(batches, vocabulary.value, 1):
+            # every text's ids with the end id behind them, as bytes
+            ends = np.cumsum(counts + 1)
+            every = np.full(int(ends[-1]), end_id, "<u4")
+            inside = np.ones(len(every), bool)
+            inside[ends - 1] = False
+            every[inside] = ids
+            raw, pieces = every.tobytes(), -(-(counts + 1) // capacity)
+            owner = np.repeat(np.arange(len(counts)), pieces)
+            piece = (np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)).astype(np.int32)
+            start = piece.astype(np.int64) * capacity
+            length = np.minimum(capacity, (counts + 1)[owner] - start)
+            first = (ends - counts - 1)[owner] + start
             yield pa.record_batch(
                 [
                     part.column(0).take(pa.array(owner, pa.int64())),
                     pa.array(piece),
-                    pa.array(piece.astype(np.int64) * capacity),
-                    pa.array([len(x) // 4 for x in cut], pa.int64()),
-                    pa.array(cut, pa.binary()),
+                    pa.array(start),
+                    pa.array(length),
+                    pa.array([raw[4 * a : 4 * (a + n)] for a, n in zip(first.tolist(), length.tolist())], pa.binary()),
                 ],
                 names=["key", "piece", "start", "length", "ids"],
             )

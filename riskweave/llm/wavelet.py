@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import plain
+from riskweave.llm.common import join_small, plain
 from riskweave.llm.tokens import encoded_slices, encoder
 
 #: Bits between two entries of a rank directory.
@@ -171,7 +171,6 @@ def write_token_shards(
     with open(vocabulary_path, encoding="utf-8") as f:
         vocabulary = docs.sparkSession.sparkContext.broadcast(f.read())
     bits = max(encoder(vocabulary.value).tokenizer.get_vocab_size() - 1, end_id).bit_length()
-    end = int(end_id).to_bytes(4, "little")
     rows = docs.select(plain(key).alias("key"), plain(text).alias("text")).withColumn("tie", F.xxhash64("text"))
     kind = rows.schema["key"].dataType.simpleString()
 
@@ -180,33 +179,39 @@ def write_token_shards(
 
         part, shard = TaskContext.get().partitionId(), 0
         keys: list[pa.Array] = []
-        lengths: list[int] = []
-        ids: list[bytes] = []
+        lengths: list[np.ndarray] = []
+        ids: list[np.ndarray] = []
         tokens = 0
 
         def close() -> pa.RecordBatch:
-            matrix = WaveletMatrix.build(np.frombuffer(b"".join(ids), "<u4"), bits).to_bytes()
+            matrix = WaveletMatrix.build(np.concatenate(ids), bits).to_bytes()
             own = pa.concat_arrays(keys)
             listed = pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own)
             return pa.record_batch(
                 [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([tokens], pa.int64()), listed,
-                 pa.array([lengths], pa.list_(pa.int64())), pa.array([matrix], pa.binary())],
+                 pa.array([np.concatenate(lengths)], pa.list_(pa.int64())), pa.array([matrix], pa.binary())],
                 names=["part", "shard", "n_tokens", "keys", "lengths", "matrix"],
             )
 
-        for slice_, encoded in encoded_slices(batches, vocabulary.value, 1):
-            begin = 0
-            for k, x in enumerate(encoded):
-                ids += [x, end]
-                lengths.append(len(x) // 4 + 1)
-                tokens += lengths[-1]
+        for slice_, told, counts in encoded_slices(batches, vocabulary.value, 1):
+            counts = counts + 1  # with the end id
+            ends = np.cumsum(counts)
+            every = np.full(int(ends[-1]), end_id, np.uint32)
+            inside = np.ones(len(every), bool)
+            inside[ends - 1] = False
+            every[inside] = told
+            begin, done = 0, 0
+            while begin < len(counts):
+                # up to the first document end at or after the shard's size
+                stop = min(len(counts), int(np.searchsorted(ends, done + shard_tokens - tokens)) + 1)
+                keys.append(slice_.column(0).slice(begin, stop - begin))
+                lengths.append(counts[begin:stop])
+                ids.append(every[done : int(ends[stop - 1])])
+                tokens += int(ends[stop - 1]) - done
+                begin, done = stop, int(ends[stop - 1])
                 if tokens >= shard_tokens:
-                    keys.append(slice_.column(0).slice(begin, k + 1 - begin))
-                    begin = k + 1
                     yield close()
                     shard, keys, lengths, ids, tokens = shard + 1, [], [], [], 0
-            if begin < len(encoded):
-                keys.append(slice_.column(0).slice(begin))
         if lengths:
             yield close()
 
@@ -228,7 +233,8 @@ def _shards(spark: SparkSession, path: str) -> DataFrame:
     bases = sizes.select(
         "part", "shard", (F.col("before") + F.sum("n_tokens").over(within) - F.col("n_tokens")).alias("base")
     )
-    return shards.join(bases, ["part", "shard"])
+    # a row a shard: broadcast once counted, so the matrices are not shuffled
+    return join_small(shards, bases, ["part", "shard"])
 
 
 def read_documents(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:

@@ -54,11 +54,12 @@ def line_verdicts(docs, max_share=0.1, min_docs=10, max_removed=0.5):
     return out
 
 
-def lines_left(docs, ratio=0.1, min_pages=10):
-    """docs: (key, host, text) -> (key, text, lines, dropped) in order."""
+def lines_left(docs, ratio=0.1, min_pages=10, distinct=False, min_line_pages=1):
+    """docs: (key, host, text) -> (key, text, lines, dropped) in order; ``distinct``: copies in a host are one page."""
     trim = " \t\n\x0b\x0c\r"
-    pages, n = Counter(h for _, h, _ in docs), Counter()
-    for _, h, t in docs:
+    seen = sorted({(h, t) for _, h, t in docs}, key=repr) if distinct else [(h, t) for _, h, t in docs]
+    pages, n = Counter(h for h, _ in seen), Counter()
+    for h, t in seen:
         for x in {y.strip(trim) for y in (t or "").split("\n")} - {""}:
             n[h, x] += 1
     out = []
@@ -67,7 +68,8 @@ def lines_left(docs, ratio=0.1, min_pages=10):
             out.append((key, None, 0, 0))
             continue
         lines = t.split("\n")
-        kept = [x for x in lines if not (x.strip(trim) and pages[h] >= min_pages and n[h, x.strip(trim)] > pages[h] * ratio)]
+        often = {x for x in map(lambda y: y.strip(trim), lines) if n[h, x] >= min_line_pages and n[h, x] > pages[h] * ratio}
+        kept = [x for x in lines if not (x.strip(trim) and pages[h] >= min_pages and x.strip(trim) in often)]
         out.append((key, "\n".join(kept), len(lines), len(lines) - len(kept)))
     return out
 
@@ -130,7 +132,6 @@ def word_ids(text, _own={}):  # noqa: B006 - loaded once
         from tokenizers import Tokenizer
 
         _own["t"] = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-        _own["t"].encode_special_tokens = True
     return _own["t"].encode(text or "", add_special_tokens=False).ids
 
 
@@ -182,8 +183,58 @@ def lm_scores(docs, order=2, backoff=0.4):
     return out
 
 
-def without_repeats(docs, min_words=20):
-    """docs: (key, text) with distinct keys -> {key: text without runs of repeated sentences}."""
+def window_hashes(text, n):
+    """A name for every n-word window, case folded, in order; any injective naming would do, but
+    which windows are picked depends on the order of the names."""
+    from riskweave.llm import subdedup
+
+    return subdedup.text_windows([text], n)[0].tolist()
+
+
+def repeated_words(docs, n, sure_words):
+    """docs: (key, text) -> {key: [(first, last) word of every run inside windows told before]}."""
+    w = sure_words - n + 1
+    own = {k: window_hashes(t, n) for k, t in docs if t}
+    picks = {}
+    for k, h in own.items():
+        picks[k] = set()
+        for i in range(len(h) - w + 1):
+            picks[k].add(min(h[i : i + w]))
+    owners = defaultdict(set)
+    for k, p in picks.items():
+        for x in p:
+            owners[x].add(k)
+    near = {}
+    for k, h in own.items():
+        at = [i for i, x in enumerate(h) if x in picks[k] and len(owners[x]) > 1]
+        near[k] = {h[j] for i in at for j in range(max(0, i - w + 1), min(len(h), i + w))}
+    first = {}
+    for k in sorted(near):
+        for x in near[k]:
+            first.setdefault(x, k)
+    out = {}
+    for k, h in own.items():
+        places = defaultdict(list)
+        for i, x in enumerate(h):
+            places[x].append(i)
+        looped = {x for x, p in places.items() if any(b - a < n for a, b in zip(p, p[1:]))}
+        gone = set()
+        for i, x in enumerate(h):
+            if (x in near[k] and first[x] != k) or (x not in looped and places[x][0] != i):
+                gone.update(range(i, i + n))
+        runs = []
+        for i in sorted(gone):
+            if runs and runs[-1][1] == i - 1:
+                runs[-1][1] = i
+            else:
+                runs.append([i, i])
+        out[k] = runs
+    return out
+
+
+def without_repeats(docs, min_words=20, sure_words=None):
+    """docs: (key, text) with distinct keys -> {key: text without runs of repeated
+    sentences, nor, with ``sure_words``, of words inside repeated windows}."""
     end = re.compile(r"[.!?](?=[\x20\x09-\x0D])|\n")
 
     def units(text):
@@ -200,11 +251,18 @@ def without_repeats(docs, min_words=20):
         for _, _, u in units(text):
             owner.setdefault(u, key)
     out = {}
+    inside = repeated_words(docs, min_words, sure_words) if sure_words else {}
     for key, text in docs:
         if not text:
             out[key] = text
             continue
         seen, gone, run = set(), [], []
+        place = [m.span() for m in WORD.finditer(text)] if inside else []
+        for a, b in inside.get(key, ()):
+            start = place[a][0]
+            while start and text[start - 1] in " \t":
+                start -= 1
+            gone.append((start, place[b][1]))
         for a, e, u in [*units(text), (None, None, None)]:
             if u is not None and (u in seen or owner[u] != key):
                 run.append((a, e, len(u.split())))
@@ -213,8 +271,6 @@ def without_repeats(docs, min_words=20):
                     gone.append((run[0][0], run[-1][1]))
                 run = []
             seen.add(u)
-        left, at = "", 0
-        for a, e in gone:
-            left, at = left + text[at:a], e
-        out[key] = left + text[at:]
+        removed = {i for a, e in gone for i in range(a, e)}
+        out[key] = "".join(c for i, c in enumerate(text) if i not in removed)
     return out
