@@ -83,24 +83,27 @@ def high_risk_watchlist(
     ).select(*WATCHLIST_COLUMNS)
 
 
+#: The two reporting views, each defined once: session views, catalog views and
+#: the DataFrame functions below are this text over the relation named ``{table}``.
+EXECUTIVE_VIEW = """
+SELECT state,
+  SUM(claim_count) AS total_claims,
+  CAST(ROUND(SUM(CAST(total_claim_amount AS DECIMAL(28,8))), 2) AS DOUBLE) AS total_claim_amount,
+  CAST(ROUND(AVG(CAST(avg_fraud_risk_score AS DECIMAL(18,4))), 4) AS DOUBLE) AS avg_fraud_risk_score,
+  SUM(high_risk_customer_claims) AS high_risk_claims,
+  SUM(denied_claims) AS denied_claims
+FROM {table} GROUP BY state"""
+REPORT_COLUMNS = [c for c in WATCHLIST_COLUMNS if c != "fraud_risk_band"]
+WATCHLIST_VIEW = f"SELECT {', '.join(REPORT_COLUMNS)} FROM {{table}} ORDER BY claim_amount DESC, claim_id ASC NULLS LAST"
+
+
 def executive_by_state(kpi: DataFrame) -> DataFrame:
     """``vw_executive_claims_by_state``: KPI rolled up to state.  The score
     is the unweighted mean of the per-policy means (the view's definition)."""
-    return kpi.groupBy("state").agg(
-        F.sum("claim_count").alias("total_claims"),
-        money_sum("total_claim_amount").alias("total_claim_amount"),
-        F.round(F.avg(F.col("avg_fraud_risk_score").cast("decimal(18,4)")), 4)
-        .cast("double")
-        .alias("avg_fraud_risk_score"),
-        F.sum("high_risk_customer_claims").alias("high_risk_claims"),
-        F.sum("denied_claims").alias("denied_claims"),
-    )
+    return kpi.sparkSession.sql(EXECUTIVE_VIEW, table=kpi)
 
 
 def watchlist_report(watchlist: DataFrame) -> DataFrame:
     """``vw_high_risk_claims_report``: analyst columns, largest claim first
     (claim_id breaks ties so the order is total)."""
-    return watchlist.select(
-        "claim_id", "customer_id", "state", "policy_type", "claim_type",
-        "claim_amount", "claim_status", "fraud_risk_score", "claim_date",
-    ).orderBy(F.col("claim_amount").desc(), F.col("claim_id").asc_nulls_last())
+    return watchlist.sparkSession.sql(WATCHLIST_VIEW, table=watchlist)

@@ -35,10 +35,11 @@ def zscore_stats(df: DataFrame, col: str) -> tuple[float | None, float | None]:
     return row["m"], row["s"]
 
 
-def default_buckets(df: DataFrame) -> int:
-    """One bucket per shuffle partition, capped so the quantile sketch and the
-    split array stay small on a cluster with huge partition counts."""
-    return max(1, min(MAX_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))))
+def default_buckets(df: DataFrame, most: int = MAX_BUCKETS) -> int:
+    """One bucket per shuffle partition, at most ``most``, so the quantile sketch and
+    the split array stay small on a cluster with huge partition counts; any
+    number gives the same ranks, a larger one more tasks."""
+    return max(1, min(most, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))))
 
 
 def score_stats(df: DataFrame, col: str, buckets: int | None = None) -> tuple:

@@ -140,34 +140,22 @@ def forecast(store: Store, **params) -> dict:
         models.release()
 
 
+#: view -> (its definition, the table it reads)
+VIEWS = {
+    "vw_executive_claims_by_state": (gold.EXECUTIVE_VIEW, "gold_claims_kpi_by_state"),
+    "vw_high_risk_claims_report": (gold.WATCHLIST_VIEW, "gold_high_risk_watchlist"),
+}
+
+
 def views(store: Store) -> None:
-    """The two reporting views.  In a catalog database they are persistent
-    views (other sessions and tools can query them); over path tables they
-    are session views.  Both state the same definitions as
-    ``gold.executive_by_state`` and ``gold.watchlist_report``."""
-    if store.database:
-        db = store.database
-        store.spark.sql(f"""
-            CREATE OR REPLACE VIEW `{db}`.vw_executive_claims_by_state AS
-            SELECT state,
-                   SUM(claim_count) AS total_claims,
-                   CAST(ROUND(SUM(CAST(total_claim_amount AS DECIMAL(18,2))), 2) AS DOUBLE) AS total_claim_amount,
-                   CAST(ROUND(AVG(CAST(avg_fraud_risk_score AS DECIMAL(18,4))), 4) AS DOUBLE) AS avg_fraud_risk_score,
-                   SUM(high_risk_customer_claims) AS high_risk_claims,
-                   SUM(denied_claims) AS denied_claims
-            FROM `{db}`.gold_claims_kpi_by_state
-            GROUP BY state""")
-        store.spark.sql(f"""
-            CREATE OR REPLACE VIEW `{db}`.vw_high_risk_claims_report AS
-            SELECT claim_id, customer_id, state, policy_type, claim_type, claim_amount, claim_status,
-                   fraud_risk_score, claim_date
-            FROM `{db}`.gold_high_risk_watchlist
-            ORDER BY claim_amount DESC, claim_id""")
-        return
-    gold.executive_by_state(store.read("gold_claims_kpi_by_state")).createOrReplaceTempView(
-        "vw_executive_claims_by_state")
-    gold.watchlist_report(store.read("gold_high_risk_watchlist")).createOrReplaceTempView(
-        "vw_high_risk_claims_report")
+    """The two reporting views, from their one definition.  In a catalog database
+    they are persistent views (other sessions and tools can query them); over
+    path tables they are session views."""
+    for name, (definition, table) in VIEWS.items():
+        if store.database:
+            store.spark.sql(f"CREATE OR REPLACE VIEW `{store.database}`.{name} AS {definition.format(table=f'`{store.database}`.{table}')}")
+        else:
+            store.spark.sql(definition, table=store.read(table)).createOrReplaceTempView(name)
 
 
 JOBS = {
@@ -196,7 +184,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--format", default="parquet")
     args = parser.parse_args(argv)
 
-    from riskweave.session import build_session
+    from riskweave.session import build_session, release_scratch
 
     spark: SparkSession = build_session(app_name=f"riskweave-{args.job}")
     store = Store(spark, database=args.database, base_path=args.base_path, fmt=args.format)
@@ -205,6 +193,8 @@ def main(argv: list[str] | None = None) -> int:
     except quality.DataQualityError as e:
         print(f"DATA QUALITY FAILED: {e}", file=sys.stderr)
         return 1
+    finally:
+        release_scratch(spark)
     return 0
 
 

@@ -583,4 +583,6 @@ ORACLE.update({
     ),
     "distinct_from_states": _q(" UNION ALL ".join(_distinct_row(c) for c in ("customer_id", "state", "fraud_risk_score"))),
     "percentile_from_states": ORACLE["risk_percentile"],
+    "catalog_executive_view": ORACLE["executive_by_state"],
+    "catalog_watchlist_view": ORACLE["watchlist_report"],
 })

@@ -703,6 +703,31 @@ def _stored_watchlist_view(spark, sf_dir):
     return spark.table("vw_high_risk_claims_report")
 
 
+def _catalog_views(spark, sf_dir):
+    """A catalog database (its files in the shared scratch folder) with the gold tables and the two persistent views."""
+
+    def build():
+        lay, database = Layers(spark, sf_dir), f"rw_views_{uuid.uuid4().hex[:8]}"
+        files.create_database(spark, database, scratch_dir(spark, database))
+        store = medallion.Store(spark, database=database)
+        store.write(lay.kpi, "gold_claims_kpi_by_state")
+        store.write(lay.watchlist, "gold_high_risk_watchlist")
+        jobs.views(store)
+        return database
+
+    return _cached("views", spark, sf_dir, build)
+
+
+@query("catalog_executive_view")
+def _catalog_executive_view(spark, sf_dir):
+    return files.read_table(spark, f"{_catalog_views(spark, sf_dir)}.vw_executive_claims_by_state")
+
+
+@query("catalog_watchlist_view")
+def _catalog_watchlist_view(spark, sf_dir):
+    return files.read_table(spark, f"{_catalog_views(spark, sf_dir)}.vw_high_risk_claims_report")
+
+
 @query("dq_execution_results")
 def _dq_execution_results(spark, sf_dir):
     """All stored rows of one execution."""

@@ -109,7 +109,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_scratch: dict[str, list[str]] = {}
+
+
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A new sub-folder of the shared checkpoint folder for staged tables/files."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name or 'stage'}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name or 'stage'}-{uuid.uuid4().hex[:12]}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Remove the scratch folders that this application was given, and return how many there were.
+
+    Call it when no result that reads them is needed any more (the batch jobs
+    do at their end); folders of other applications are not touched.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    for path in _scratch.pop(spark.sparkContext.applicationId, []):
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(place.getFileSystem(conf).delete(place, True))
+    return gone

@@ -187,12 +187,7 @@ def append_table(
                     df.writeTo(name).append()
                 return
             if partition_by:
-                if len(partition_by) != 1:
-                    raise ValueError("catalog appends replace one partition column")
-                col = partition_by[0]
-                # the partitions this write touches (one per gate run: a bounded handful)
-                for row in df.select(col).distinct().collect():
-                    overwrite_partition(df.where(F.col(col) == row[0]), name, col, row[0])
+                overwrite_partitions(df, name, partition_by)
             else:
                 df.write.mode("append").format(fmt).saveAsTable(name)
             return
@@ -210,6 +205,27 @@ def append_table(
         df.write.mode("append").format(fmt).save(path)
 
 
+def overwrite_partitions(df: DataFrame, name: str, partition_by: list[str]) -> None:
+    """Replace those partitions of a catalog table that ``df`` has rows of, in one statement.
+
+    Dynamic partition overwrite is a setting, not an option of the write; it is
+    set in a session of its own that shares the catalog, so the caller's mode
+    stays as it is, also for writes that run meanwhile.
+    """
+    spark = df.sparkSession
+    table = name if "." in name else f"{spark.catalog.currentDatabase()}.{name}"
+    cols = [c for c in spark.table(table).columns if c not in partition_by]
+    view = f"rw_part_{uuid.uuid4().hex}"
+    df.select(*cols, *partition_by).createGlobalTempView(view)
+    try:
+        own = spark.newSession()
+        own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        listed = ", ".join(f"`{c}`" for c in [*cols, *partition_by])
+        own.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({', '.join(f'`{c}`' for c in partition_by)}) SELECT {listed} FROM global_temp.{view}")
+    finally:
+        spark.catalog.dropGlobalTempView(view)
+
+
 def _sql_literal(value) -> str:
     if isinstance(value, str):
         return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

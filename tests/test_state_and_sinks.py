@@ -256,3 +256,29 @@ def test_catalog_scan_and_listings(spark):
     assert files.read_table(spark, "rw_listed.t").count() == 9
     assert "rw_listed" in files.list_databases(spark) and "t" in files.list_tables(spark, "rw_listed")
     assert files.read_table(spark, "rw_listed.t").limit(5).count() == 5  # an unordered peek
+
+
+def test_several_partitions_are_replaced_in_one_statement(spark):
+    files.create_database(spark, "rw_parts")
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        rows = [(1, "a", 1), (2, "a", 2), (3, "b", 1)]
+        files.append_table(spark.createDataFrame(rows, "x int, p string, q int"), name="rw_parts.t", partition_by=["p", "q"])
+        files.append_table(spark.createDataFrame([(9, "a", 2), (8, "c", 1)], "x int, p string, q int"), name="rw_parts.t", partition_by=["p", "q"])
+        assert sorted(map(tuple, spark.table("rw_parts.t").collect())) == [(1, "a", 1), (3, "b", 1), (8, "c", 1), (9, "a", 2)]
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "static"
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+
+
+def test_scratch_folders_are_released(spark, monkeypatch):
+    import os
+
+    from riskweave import session
+
+    monkeypatch.setattr(session, "_scratch", {})
+    paths = [scratch_dir(spark, "released") for _ in range(2)]
+    spark.range(3).write.parquet(paths[0])
+    assert session.release_scratch(spark) == 1 and not os.path.exists(paths[0].replace("file:", ""))
+    assert session.release_scratch(spark) == 0
