@@ -265,12 +265,11 @@ def split_holdout(frame: DataFrame, series: Series, holdout: int) -> tuple[DataF
 
 def forward_frame(frame: DataFrame, series: Series) -> DataFrame:
     """One row a group at the step after the last, with the series' columns: time and values are NULL."""
-    last = frame.agg((F.max("step") + 1.0).alias("step"))  # one row
-    groups = frame.select(series.group).distinct().withColumn("_every", F.lit(1))
-    told = groups.join(F.broadcast(last.withColumn("_every", F.lit(1))), "_every")
+    last = frame.agg(F.max("step")).first()[0]  # one number
     kinds = dict(frame.dtypes)
     empty = [F.lit(None).cast(kinds[c]).alias(c) for c in (series.time, *series.values)]
-    return told.select(series.group, "step", *empty).select(*frame.columns)
+    ahead = F.lit(None if last is None else last + 1.0).cast("double").alias("step")
+    return frame.select(series.group).distinct().select(series.group, ahead, *empty).select(*frame.columns)
 
 
 def unpivoted(rows: DataFrame, values: Sequence[str], predicted: dict[str, str] | None = None) -> DataFrame:

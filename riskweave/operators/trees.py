@@ -73,8 +73,9 @@ def tree_values(rows: DataFrame, key: str, features: str, nodes: DataFrame, dept
     step = F.broadcast(nodes.select(
         F.col("tree").alias("_t"), F.col("node").alias("_n"), "feature", "threshold", "categories", "go_left", "go_right",
     ))
-    roots = F.broadcast(nodes.where("node = 0").select("tree", "weight").withColumn("_every", F.lit(1)))
-    now = rows.select(key, features, F.lit(1).alias("_every")).join(roots, "_every").select(key, features, "tree", "weight", F.lit(0).alias("at"))
+    # a row a tree of the model
+    trees = [F.struct(F.lit(r["tree"]).alias("tree"), F.lit(r["weight"]).alias("weight")) for r in nodes.where("node = 0").select("tree", "weight").collect()]
+    now = rows.select(key, features, F.explode(F.array(*trees)).alias("_r")).select(key, features, "_r.tree", "_r.weight", F.lit(0).alias("at"))
     for _ in range(depth):
         x = F.get(F.col(features), F.col("feature"))
         left = F.when(F.col("categories").isNull(), x <= F.col("threshold")).otherwise(F.array_contains(F.col("categories"), x))
