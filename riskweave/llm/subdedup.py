@@ -17,11 +17,14 @@ ends are exact to the word.  A shorter run is found if it has a picked window
 or is of whole units.  In one text, equal windows that overlap (one word over and
 over) are left to the units.
 
-Every document sends each distinct digest once.  The earliest document of a
-digest is a partial minimum, so a passage that a third of all documents share
-is pre-aggregated; the join back to the digests is skew-split by AQE.
-
-Edge cases: a null text stays null and an empty one empty, without spans;
+Of equal texts the one with the smallest id stands for all, and the others are
+told before from end to end.  Every other text is hashed once and has each
+distinct digest once.  The earliest
+document of a digest is a partial minimum, so a passage that a third of all
+documents share is pre-aggregated; the join back to the digests, which only
+rows of shared digests reach, is skew-split by AQE.
+
+Edge cases: a text of any length is hashed and cut whole; a null text stays null and an empty one empty, without spans;
 rows with the same id count as one document, and a null id ranks last;
 repeated rows give repeated results; an empty table gives no rows.
 """
@@ -37,7 +40,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import SLICE_BYTES, plain, slices, staged, text_bytes, text_sizes, windows, words
+from riskweave.llm.bloom import digest_filter
+from riskweave.llm.common import SLICE_BYTES, join_small, plain, slices, staged, text_bytes, text_sizes, windows, words
+from riskweave.llm.spelling import probe
 
 #: Where a unit ends.
 UNIT_ENDS = {
@@ -155,9 +160,39 @@ def firsts(found: DataFrame) -> DataFrame:
     )
 
 
-def earlier_units(docs: DataFrame, unit: str, key: str, text: str, min_words: int, sure_words: int | None) -> DataFrame:
-    """``id, tie, digests``: of each text, the digests that a smaller id has as well.
-    With ``sure_words`` also ``windows``, the windows that a smaller id has."""
+def filtered(found: DataFrame, shared: DataFrame) -> DataFrame:
+    """The rows whose ``digest`` may be one of ``shared``, by a broadcast Bloom
+    filter, so that the others are not shuffled to the join."""
+    told = found.sparkSession.sparkContext.broadcast(digest_filter(shared, "digest"))
+    at = found.columns.index("digest")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.take(pa.array(probe(told.value, batch.column(at).to_numpy().view(np.uint64))))
+
+    return found.mapInArrow(run, found.schema)
+
+
+def copies(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``id, tie`` of the texts that a smaller id tells in the same words: all of such a text is told before."""
+    told = docs.where(plain(text) != "").select(plain(key).alias("id"), F.xxhash64(plain(text)).alias("tie"), F.xxhash64(plain(text), F.lit(7)).alias("proof")).distinct()
+    order = F.struct(F.col("id").isNull().alias("none"), "id")
+    first = told.groupBy("tie", "proof").agg(F.min(order).alias("f"), F.count("*").alias("n")).where("n > 1")
+    first = first.select(F.col("tie").alias("_t"), F.col("proof").alias("_p"), F.col("f.id").alias("first"))
+    again = told.join(first, (F.col("tie") == F.col("_t")) & (F.col("proof") == F.col("_p")))
+    return staged(again.where(~F.col("id").eqNullSafe(F.col("first"))).select("id", "tie"), "copies")
+
+
+def marked_documents(docs: DataFrame, unit: str, key: str, text: str, min_words: int, sure_words: int | None) -> DataFrame:
+    """``_id, _tie, digests, windows, copy`` of the texts that may have repeats:
+    the digests, and with ``sure_words`` the windows, that a smaller id has as
+    well.  A text is also named, with none, if it repeats itself.  Copies of a
+    text take no part but are named as such: the first of them stands for all.
+
+    Every other text is hashed once, into a staged table; the digests that several
+    ids have are found from it, and only rows with such a digest (and the few
+    that a Bloom filter lets through) are shuffled to the join with them.
+    """
     rows = docs.select(plain(key).alias("id"), F.xxhash64(plain(text)).alias("tie"), plain(text).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     w = sure_words - min_words + 1 if sure_words else 0
@@ -170,11 +205,15 @@ def earlier_units(docs: DataFrame, unit: str, key: str, text: str, min_words: in
                 texts = part.column(2).to_pylist()
                 own_windows = text_windows(texts, min_words) if w else None
                 for k, x in enumerate(texts):
-                    own = {u[3] for u in units(x, unit)} if x else set()
-                    some = set(own_windows[k][picked(own_windows[k], w)].tolist()) if w else set()
-                    digests += [*own, *some]
-                    picks += [False] * len(own) + [True] * len(some)
-                    owner += [k] * (len(own) + len(some))
+                    if not x:
+                        continue
+                    every = [u[3] for u in units(x, unit)]
+                    own = set(every)
+                    some = np.unique(own_windows[k][picked(own_windows[k], w)]).tolist() if w else []
+                    again = len(own) < len(every) or (w and len(np.unique(own_windows[k])) < len(own_windows[k]))
+                    digests += [*own, *some, *([None] if again else [])]
+                    picks += [False] * len(own) + [True] * len(some) + [False] * bool(again)
+                    owner += [k] * (len(own) + len(some) + bool(again))
                 at = pa.array(np.array(owner, np.int64))
                 yield pa.record_batch(
                     [part.column(0).take(at), part.column(1).take(at), pa.array(digests, pa.int64()), pa.array(picks, pa.bool_())],
@@ -192,23 +231,33 @@ def earlier_units(docs: DataFrame, unit: str, key: str, text: str, min_words: in
                     [part.column(0), part.column(1), pa.array(near, pa.list_(pa.int64()))], names=["id", "tie", "near"]
                 )
 
-    found = rows.mapInArrow(run, f"id {kind}, tie bigint, digest bigint, pick boolean")
-    if not w:
-        repeats = found.join(firsts(found), "digest").where(~F.col("id").eqNullSafe(F.col("first")))
-        return repeats.groupBy("id", "tie").agg(F.collect_set("digest").alias("digests"))
+    again = copies(docs, key, text)
+    rows = join_small(rows, again, ["id", "tie"], "left_anti")
+    hashed = staged(rows.mapInArrow(run, f"id {kind}, tie bigint, digest bigint, pick boolean"), "digests")
+    alone = hashed.where("digest IS NULL").select("id", "tie").distinct()  # texts that repeat themselves
+    found = hashed.where("digest IS NOT NULL")
+    known = staged(firsts(found), "firsts")
+    met = filtered(found, known).join(known, "digest")
     later = F.when(~F.col("pick") & ~F.col("id").eqNullSafe(F.col("first")), F.col("digest"))
-    marked = found.join(firsts(found), "digest").groupBy("id", "tie")
-    marked = staged(marked.agg(F.collect_set(later).alias("digests"), F.collect_set(F.when(F.col("pick"), F.col("digest"))).alias("shared")), "shared")
+    marked = met.groupBy("id", "tie").agg(F.collect_set(later).alias("digests"), F.collect_set(F.when(F.col("pick"), F.col("digest"))).alias("shared"))
+    none = F.array().cast("array<bigint>")
+    marked = marked.unionByName(alone.select("id", "tie", none.alias("digests"), none.alias("shared")))
+    marked = marked.groupBy("id", "tie").agg(F.flatten(F.collect_list("digests")).alias("digests"), F.flatten(F.collect_list("shared")).alias("shared"))
+    marked = staged(marked, "shared")
+    named = marked.withColumnsRenamed({"id": "_id", "tie": "_tie"})
+    nothing = F.lit(None).cast("array<bigint>")
+    told_before = again.select(F.col("id").alias("_id"), F.col("tie").alias("_tie"), nothing.alias("digests"), nothing.alias("windows"), F.lit(True).alias("copy"))
+    if not w:
+        return named.select("_id", "_tie", "digests", nothing.alias("windows"), F.lit(False).alias("copy")).unionByName(told_before)
     # rows told twice are marked once, and their windows are the same
-    told = marked.where(F.size("shared") > 0).select(F.col("id").alias("_id"), F.col("tie").alias("_tie"), "shared")
+    told = named.where(F.size("shared") > 0).select("_id", "_tie", "shared")
     texts = rows.join(told, F.col("id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))).select("id", "tie", "text", "shared")
     near = staged(texts.mapInArrow(run_windows, f"id {kind}, tie bigint, near array<bigint>"), "windows")
     each = near.select("id", "tie", F.explode("near").alias("digest"))
     earlier = each.join(firsts(each), "digest").where(~F.col("id").eqNullSafe(F.col("first")))
     earlier = earlier.groupBy("id", "tie").agg(F.collect_set("digest").alias("windows"))
-    earlier = earlier.withColumnsRenamed({"id": "_id", "tie": "_tie"})
-    both = marked.join(earlier, F.col("id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")), "left")
-    return both.select("id", "tie", "digests", "windows")
+    both = named.join(earlier, F.col("id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")), "left")
+    return both.select("_id", "_tie", "digests", "windows", F.lit(False).alias("copy")).unionByName(told_before)
 
 
 def remove_repeats(
@@ -223,33 +272,36 @@ def remove_repeats(
     """``key``, other columns named in ``keep``, ``text`` without repeats, and
     ``spans``: start and length of what went, in code points of the original."""
     columns = [c for c in (keep or []) if c not in (key, text)]
-    found = earlier_units(docs, unit, key, text, min_words, sure_words)
-    if not sure_words:
-        found = found.withColumn("windows", F.lit(None).cast("array<bigint>"))
+    found = marked_documents(docs, unit, key, text, min_words, sure_words)
+    w = sure_words - min_words + 1 if sure_words else 0
+    # by position: no column of the caller's meets one of ours, and a mapped table's names must not hold dots
     rows = docs.select(
-        plain(key).alias("_id"), F.xxhash64(plain(text)).alias("_tie"), plain(text).alias("_text"), *[plain(c) for c in columns]
+        plain(key).alias("c0"), *[plain(c).alias(f"c{i + 1}") for i, c in enumerate(columns)], plain(text).alias("text"),
+        F.xxhash64(plain(text)).alias("tie"),
     )
-    joined = rows.join(found, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_tie") == F.col("tie")), "left").select(
-        F.col("_id").alias("c0"), *[plain(c).alias(f"c{i + 1}") for i, c in enumerate(columns)], F.col("_text").alias("text"), "digests", "windows"
-    )  # names without dots, which a mapped table must not hold
+    joined = rows.join(found, F.col("c0").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")), "left")
     at = len(columns) + 1
+    joined = joined.select(*[f"c{i}" for i in range(at)], "text", "digests", "windows", "copy")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
         for batch in batches:
             for i, j in slices(text_sizes(batch.column(at)), SLICE_BYTES):
                 part = batch.slice(i, j - i)
-                texts, spans = [], []
-                whole = part.column(at).to_pylist()
-                own = text_windows(whole, min_words) if sure_words else None
-                for k, (x, digests) in enumerate(zip(whole, part.column(at + 1).to_pylist())):
-                    more = None
-                    if sure_words and x:
-                        earlier = np.array(part.column(at + 2)[k].as_py() or (), np.int64)
-                        more = window_spans(x, own[k], earlier, min_words)
-                    new, gone = cut(x, units(x, unit), set(digests or ()), min_words, more) if x else (x, [])
-                    texts.append(new)
-                    spans.append([{"start": a, "length": n} for a, n in gone])
+                texts, spans = part.column(at).to_pylist(), [[] for _ in range(j - i)]
+                touched = np.flatnonzero(part.column(at + 3).is_valid().to_numpy(zero_copy_only=False)).tolist()  # the others have no repeat
+                own = text_windows([texts[k] for k in touched], min_words) if sure_words else None
+                for n, k in enumerate(touched):
+                    x, more = texts[k], None
+                    if not x:
+                        continue
+                    mine, copy = units(x, unit), part.column(at + 3)[k].as_py()
+                    if sure_words:
+                        earlier = (own[n] if len(own[n]) >= w else own[n][:0]) if copy else np.array(part.column(at + 2)[k].as_py() or (), np.int64)
+                        more = window_spans(x, own[n], earlier, min_words)
+                    digests = {u[3] for u in mine} if copy else set(part.column(at + 1)[k].as_py() or ())
+                    texts[k], gone = cut(x, mine, digests, min_words, more)
+                    spans[k] = [{"start": a, "length": m} for a, m in gone]
                 yield pa.record_batch(
                     [*part.columns[:at], pa.array(texts, pa.string()), pa.array(spans, span)],
                     names=[*part.schema.names[:at], "text", "spans"],

@@ -194,7 +194,11 @@ def window_hashes(text, n):
 def repeated_words(docs, n, sure_words):
     """docs: (key, text) -> {key: [(first, last) word of every run inside windows told before]}."""
     w = sure_words - n + 1
-    own = {k: window_hashes(t, n) for k, t in docs if t}
+    every = {k: window_hashes(t, n) for k, t in docs if t}
+    stands = {}  # of equal texts, the one with the smallest key
+    for k, t in sorted((d for d in docs if d[1]), key=lambda d: d[0]):
+        stands.setdefault(t, k)
+    own = {k: every[k] for k in stands.values()}
     picks = {}
     for k, h in own.items():
         picks[k] = set()
@@ -213,14 +217,15 @@ def repeated_words(docs, n, sure_words):
         for x in near[k]:
             first.setdefault(x, k)
     out = {}
-    for k, h in own.items():
+    for k, h in every.items():
+        told = {x for x in near[k] if first[x] != k} if k in near else set(h) if len(h) >= w else set()
         places = defaultdict(list)
         for i, x in enumerate(h):
             places[x].append(i)
         looped = {x for x, p in places.items() if any(b - a < n for a, b in zip(p, p[1:]))}
         gone = set()
         for i, x in enumerate(h):
-            if (x in near[k] and first[x] != k) or (x not in looped and places[x][0] != i):
+            if x in told or (x not in looped and places[x][0] != i):
                 gone.update(range(i, i + n))
         runs = []
         for i in sorted(gone):
