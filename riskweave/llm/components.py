@@ -33,3 +33,20 @@ def connected_components(links: DataFrame) -> DataFrame:
         if after.where(F.col("old") != F.col("label")).isEmpty():
             return after.select("id", "label")
         labels = after.select("id", "label")
+
+
+def extended(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The components ``id, label`` after more ``links``.
+
+    Earlier links are not gone through again: the new ones are links between
+    labels, and only those of different labels are followed.
+    """
+    of_a = labels.select(F.col("id").alias("_a"), F.col("label").alias("_x"))
+    of_b = labels.select(F.col("id").alias("_b"), F.col("label").alias("_y"))
+    ends = links.join(of_a, F.col("a") == F.col("_a"), "left").join(of_b, F.col("b") == F.col("_b"), "left")
+    ends = ends.select(F.coalesce("_x", "a").alias("a"), F.coalesce("_y", "b").alias("b")).where(F.col("a") != F.col("b")).distinct()
+    joined = connected_components(ends).select(F.col("id").alias("_old"), F.col("label").alias("_new"))
+    fresh = links.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(labels, "id", "left_anti")
+    every = labels.select("id", "label").unionByName(fresh.select("id", F.col("id").alias("label")))
+    every = every.join(joined, F.col("label") == F.col("_old"), "left")
+    return staged(every.select("id", F.coalesce("_new", "label").alias("label")), "labels")

@@ -24,15 +24,13 @@ common ones is drawn from a bounded hash sample (``sample_docs``); the same
 rule makes the result independent of what is on it.
 
 Signatures are brought together in hash buckets as numpy blocks.  Classes
-that share one form a group.  Groups are not expanded into pairs: first each
-member is compared with the group's smallest class, and the links are
-contracted to components.  While large groups leave much to compare, their
-members outside the group's largest component are compared with a few of its
-members in turn.  Then all members that are still in different components are
-compared: pair by pair in small groups, and in large ones by products of 0/1
-matrices over blocks of a whole family of groups.  A comparison first bounds the
-intersection by the cell counts of both sets, which rules out most pairs, and
-then takes the whole sets; both are exact.
+that share one form a group.  Groups are not expanded into pairs: rounds of
+pivots (``pivots.py``) compare one pair a class and round and contract the
+links to components.  Then all members that are still in different components
+are compared: pair by pair in small groups, and in large ones by products of
+0/1 matrices over blocks of a whole family of groups.  A comparison first
+bounds the intersection by the cell counts of both sets, which rules out most
+pairs, and then takes the whole sets; both are exact.
 
 Edge cases: a null or empty text has an empty set and is linked with nothing;
 with fewer than n words the whole sequence is the only feature; repeated rows
@@ -44,20 +42,21 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm.common import (
     SLICE_BYTES, join_small, mix64, plain, shingle_sets, slices, staged, text_bytes, text_sizes, words,
 )
-from riskweave.llm.components import connected_components
+from riskweave.llm import pivots
+from riskweave.llm.components import connected_components, extended
 
 #: Bands up to this size use one cell a feature; from LARGE on, subsets are enumerated.
 SMALL, LARGE = 64, 1024
@@ -381,8 +380,8 @@ def family_links(large: DataFrame, sets_of: Callable[[DataFrame], DataFrame], bl
     component, in blocks of about ``block`` by ``block`` sets, so a task's
     size does not depend on the family's.
     """
-    pivots = large.groupBy("g").agg(F.min("id").alias("a"))
-    family = connected_components(large.join(pivots, "g").where("id <> a").select("a", F.col("id").alias("b")).distinct())
+    least = large.groupBy("g").agg(F.min("id").alias("a"))
+    family = connected_components(large.join(least, "g").where("id <> a").select("a", F.col("id").alias("b")).distinct())
     own = staged(large.select("id", "label").distinct().join(family.withColumnRenamed("label", "family"), "id"), "family")
     of_label = own.groupBy("family", "label").agg(F.count("*").alias("m"))
     shape = of_label.groupBy("family").agg(F.max(F.struct("m", "label")).alias("top"), F.sum("m").alias("m"))
@@ -416,35 +415,71 @@ def family_links(large: DataFrame, sets_of: Callable[[DataFrame], DataFrame], bl
     return blocks.applyInPandas(compare, "a bigint, b bigint").distinct()
 
 
-def linked(pairs: DataFrame, shape: DataFrame, members: DataFrame, docs: DataFrame, n: int, key: str, text: str) -> DataFrame:
-    """The pairs ``a, b`` of classes whose sets are similar enough."""
+def similar_enough(shared: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return 100 * shared >= 75 * (x + y - shared)
 
-    @F.pandas_udf("boolean")
-    def possible(x: pd.Series, y: pd.Series, n_x: pd.Series, n_y: pd.Series) -> pd.Series:
-        return pd.Series([may_link(*row) for row in zip(x, y, n_x, n_y)], dtype=bool)
 
-    @F.pandas_udf("boolean")
-    def similar(x: pd.Series, y: pd.Series) -> pd.Series:
-        out = []
-        for a, b in zip(x, y):
-            both = np.concatenate([np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")])
-            both.sort()
-            shared = int((both[1:] == both[:-1]).sum())
-            out.append(100 * shared >= 75 * (len(both) - shared))
-        return pd.Series(out, dtype=bool)
-
-    def beside(rows: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
-        for side in ("a", "b"):
-            rows = rows.join(table.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
-        return rows
-
-    maybe = beside(pairs, shape, ["cells", "size"]).where(
-        (75 * F.greatest("size_a", "size_b") <= 100 * F.least("size_a", "size_b"))
-        & possible("cells_a", "cells_b", "size_a", "size_b")
-    )
-    maybe = staged(maybe.select("a", "b"), "pairs")
-    sets = class_sets(maybe.select(F.explode(F.array("a", "b")).alias("id")).distinct(), members, docs, n, key, text)
-    return beside(maybe, sets, ["features"]).where(similar("features_a", "features_b")).select("a", "b")
+class ClassSets:
+    """The whole sets of classes, each fetched from the documents once, when it is first needed."""
+
+    def __init__(self, members: DataFrame, docs: DataFrame, n: int, key: str, text: str) -> None:
+        self.source, self.tables = (members, docs, n, key, text), []
+
+    def of(self, ids: DataFrame) -> DataFrame:
+        """``id, features`` of (at least) the classes in ``ids``."""
+        new = ids.distinct()
+        for known in self.tables:
+            new = new.join(known.select("id"), "id", "left_anti")
+        new = staged(new, "wanted")
+        if not self.tables or not new.isEmpty():
+            self.tables.append(class_sets(new, *self.source))
+        return reduce(DataFrame.unionByName, self.tables)
+
+
+def linked(pairs: DataFrame, shape: DataFrame, sets: ClassSets) -> DataFrame:
+    """The pairs ``a, b`` (b: the pivot) of classes whose sets are similar enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            sizes = zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())
+            keep = [may_link(cells, others, n, m) for cells, others, (n, m) in zip(x, y, sizes)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    beside = pairs
+    for side in ("a", "b"):
+        told = shape.select(F.col("id").alias(side), F.col("size").alias(f"size_{side}"), F.col("cells").alias(f"cells_{side}"))
+        beside = beside.join(told, side)
+    beside = beside.where(75 * F.greatest("size_a", "size_b") <= 100 * F.least("size_a", "size_b"))
+    beside = beside.select("a", "b", "cells_a", "cells_b", "size_a", "size_b")
+    return confirmed(staged(beside.mapInArrow(run, "a bigint, b bigint"), "pairs"), shape, sets)
+
+
+def confirmed(maybe: DataFrame, shape: DataFrame, sets: ClassSets) -> DataFrame:
+    own = sets.of(maybe.select(F.explode(F.array("a", "b")).alias("id")))
+    return pivots.confirmed(maybe, shape, own, similar_enough)
+
+
+def open_pairs(rows: DataFrame, bucket_rows: int = 20_000) -> DataFrame:
+    """``a, b``: the pairs of different components inside the small groups ``g, id,
+    label, size, cells`` that the sizes and cell counts do not rule out."""
+    buckets = max(1, -(-rows.count() // bucket_rows))
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by("g")
+        g, ids, label, size = (pivots.numbers(table, c) for c in ("g", "id", "label", "size"))
+        cells, found = table["cells"].to_pylist(), set()
+        for low, high in pivots.stretches(g):
+            fit = np.triu(np.not_equal.outer(label[low:high], label[low:high]), 1)
+            least, most = np.minimum.outer(size[low:high], size[low:high]), np.maximum.outer(size[low:high], size[low:high])
+            for i, j in (np.argwhere(fit & (75 * most <= 100 * least)) + low).tolist():
+                pair = (int(min(ids[i], ids[j])), int(max(ids[i], ids[j])))
+                if pair not in found and may_link(cells[i], cells[j], int(size[i]), int(size[j])):
+                    found.add(pair)
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("g"), F.lit(buckets)))
+    return dealt.groupBy("bucket").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(
@@ -456,11 +491,17 @@ def near_duplicates(
     sample_docs: int = 20_000,
     common_least: int = 64,
     common_most: int = 200_000,
-    pivots_a_round: int = 2,
+    rounds: int = 4,
+    fruitful: float = 1 / 16,
     bucket_signatures: int = 2_000_000,
 ) -> DataFrame:
     """``key, tie, size, label, component`` of every row: set size, the component's
-    name and its smallest key (``tie`` is a hash of the text)."""
+    name and its smallest key (``tie`` is a hash of the text).
+
+    ``frequent`` parts groups whose open pairs are listed from those compared in
+    blocks.  ``rounds`` of pivots at most, as long as ``fruitful`` of the pairs
+    are links.  Neither changes the result.
+    """
     members = staged(document_sets(docs, n, key, text), "sets")
     shape = members.groupBy("id").agg(
         F.min("key").alias("key"),
@@ -475,53 +516,40 @@ def near_duplicates(
     buckets = max(1, -(-int(1.5 * (totals["n"] or 0)) // bucket_signatures))
     common = common_signatures(docs, n, text, sample_docs, common_least, common_most)
     met = staged(groups(docs, n, text, common, buckets, frequent), "groups")
-    met = staged(memberships(met), "groups")
-    verified = (shape, members, docs, n, key, text)
-    pivots = met.groupBy("g").agg(F.min("id").alias("a"))
-    first = met.join(pivots, "g").where(F.col("id") != F.col("a")).select("a", F.col("id").alias("b")).distinct()
-    first = staged(first, "pairs")
-    links = staged(linked(first, *verified), "links")
-    labels = connected_components(links)
-    rounds = 0
-    while True:
-        now = met.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        of_label = now.groupBy("g", "label").agg(F.count("*").alias("m"))
-        most = of_label.groupBy("g").agg(F.max(F.struct("m", "label")).alias("top"), F.sum("m").alias("m"), F.count("*").alias("labels"))
-        most = most.where("labels > 1").select("g", "m", F.col("top.label").alias("top"), (F.col("m") - F.col("top.m")).alias("out"))
-        left = staged(now.join(most, "g"), "unresolved")
-        large = left.where(F.col("m") > frequent)
-        work = large.agg(F.count_if(F.col("label") != F.col("top")).alias("out"), F.sum("out").alias("pairs")).first()
-        if (work["pairs"] or 0) <= 64 * met.count():
+    met = pivots.merged_groups(staged(memberships(met), "groups"))
+    sets = ClassSets(members, docs, n, key, text)
+    tested = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
+    labels = docs.sparkSession.createDataFrame([], "id bigint, label bigint")
+    named = None
+    for _ in range(rounds):
+        pairs, now_named = pivots.pivot_pairs(met, labels, named)
+        tried = pairs.count()
+        if not tried:
             break
-        # large groups: those outside the largest component, with a few others of its members each round
-        order = Window.partitionBy("g").orderBy(F.xxhash64("id", F.lit(rounds)), "id")
-        some = large.where("label = top").withColumn("r", F.row_number().over(order)).where(F.col("r") <= pivots_a_round)
-        pairs = large.where("label <> top").select("g", "id").join(some.select("g", F.col("id").alias("other")), "g")
-        pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-        more = staged(linked(pairs, *verified), "links")
-        links = staged(links.unionByName(more).distinct(), "links")
-        found = more.count()
-        if found:
-            labels = connected_components(links)
-        rounds += 1
-        if 16 * found < large.where("label <> top").select("id").distinct().count():
+        found = linked(pairs, shape, sets)
+        tested = tested.unionByName(pairs)
+        many = found.count()
+        if many:
+            labels = extended(labels, found)
+        named = now_named if named is None else named.unionByName(now_named)
+        if many < fruitful * tried:
             break
+    now = pivots.labelled(met.select("g", "id", "n"), labels)
+    left = staged(now.join(pivots.open_groups(now), "g", "left_semi"), "unresolved")
     # small groups: their members in different components, not yet compared
-    small = left.where((F.col("m") > 2) & (F.col("m") <= frequent)).select("g", "id", "label")
-    other = small.select("g", F.col("id").alias("b"), F.col("label").alias("its"))
-    rest = small.join(other, "g").where((F.col("id") < F.col("b")) & (F.col("label") != F.col("its")))
-    rest = rest.select(F.col("id").alias("a"), "b").distinct().join(first, ["a", "b"], "left_anti")
-    more = linked(rest, *verified)
+    small = left.where(F.col("n") <= frequent).select("g", "id", "label").join(shape.select("id", "size", "cells"), "id")
+    done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = staged(open_pairs(small).join(done, ["a", "b"], "left_anti"), "pairs")
+    more = confirmed(rest, shape, sets)
     # large ones: whole families, in blocks
-    now = left.where(F.col("m") > frequent).select("g", "id").join(labels, "id", "left")
-    now = staged(now.withColumn("label", F.coalesce("label", "id")), "unresolved")
-    if not now.isEmpty():
-        more = more.unionByName(family_links(now, lambda ids: class_sets(ids, members, docs, n, key, text)))
+    large = left.where(F.col("n") > frequent).select("g", "id", "label")
+    if not large.isEmpty():
+        more = more.unionByName(family_links(large, lambda ids: sets.of(ids).join(ids.distinct(), "id", "left_semi")))
     more = staged(more, "links")
-    labels = connected_components(links.unionByName(more)) if not more.isEmpty() else labels
+    labels = extended(labels, more) if not more.isEmpty() else labels
     classes = shape.select("id", "key").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    named = classes.groupBy("label").agg(F.min("key").alias("component"))
-    of_class = classes.select("id", "label").join(named, "label").select("id", "label", "component")
+    of_label = classes.groupBy("label").agg(F.min("key").alias("component"))
+    of_class = classes.select("id", "label").join(of_label, "label").select("id", "label", "component")
     return members.join(of_class, "id").select(
         F.col("key").alias(key),
         "tie",
@@ -540,7 +568,8 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **setting
     order = F.struct(F.col("_key").isNull().alias("null"), F.col("_key").alias("key"), F.col("tie").alias("tie"))
     first = found.where("size > 0").groupBy("label").agg(F.min(order).alias("k")).select("k.key", "k.tie")
     first = first.unionByName(found.where("size = 0").select(F.col("_key").alias("key"), "tie"))
-    first = first.select(F.col("key").alias("_key"), F.col("tie").alias("_tie"))
-    rows = docs.withColumn("_text", F.xxhash64(plain(text)))
-    kept = rows.join(first, plain(key).eqNullSafe(F.col("_key")) & (F.col("_text") == F.col("_tie")), "left_semi")
-    return kept.select(*[plain(c) for c in columns])
+    # by position, so that no column of the caller's meets one of ours
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(columns))])
+    own_key, own_text = (F.col(f"c{columns.index(c)}") for c in (key, text))
+    kept = numbered.join(first, own_key.eqNullSafe(F.col("key")) & (F.xxhash64(own_text) == F.col("tie")), "left_semi")
+    return kept.toDF(*columns)

@@ -43,14 +43,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm.common import SLICE_BYTES, join_small, mix64, plain, shingle_sets, slices, staged, text_bytes, text_sizes, words
-from riskweave.llm.components import connected_components
+from riskweave.llm import pivots
+from riskweave.llm.components import extended
+from riskweave.llm.pivots import merged_groups, numbers, stretches
 
 #: Members that are compared with each other at once.
 BLOCK = 512
-#: Rows of small groups, and bytes of sets, in one task's bucket.
-BUCKET_ROWS, BUCKET_BYTES = 20_000, 32 << 20
-#: Partners of a pivot in one bucket.
-PARTNERS = 256
+#: Rows of small groups in one task's bucket.
+BUCKET_ROWS = 20_000
 #: Surviving pairs a member at which a block is compared as a whole.
 DENSE = 8
 #: Rounds of pivots, and the share of links among the compared pairs below which they end.
@@ -168,18 +168,8 @@ def document_signatures(docs: DataFrame, scheme: Scheme, key: str, text: str) ->
 
 
 def band_groups(classes: DataFrame) -> DataFrame:
-    """``g, id, n, alike, degree``: the classes that share a band; groups with
-    equal members are one, ``alike`` says of how many bands.  ``degree`` counts
-    the bands that a class shares with others, once for each of them."""
-    each = classes.select(F.explode("bands").alias("g"), "id")
-    named = each.groupBy("g").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")
-    )
-    named = named.where("n > 1").groupBy("n", "x", "y").agg(F.min("g").alias("g"), F.count("*").alias("alike"))
-    met = each.join(named.select("g", "n", "alike"), "g")
-    met = staged(met, "minhash-groups")
-    degree = met.groupBy("id").agg(F.sum((F.col("n") - 1) * F.col("alike")).alias("degree"))
-    return staged(met.join(degree, "id").select("g", "id", "n", "alike", "degree"), "minhash-groups")
+    """The groups of classes that share a band (see ``merged_groups``)."""
+    return merged_groups(classes.select(F.explode("bands").alias("g"), "id"))
 
 
 def whole_sets(met: DataFrame, members: DataFrame, docs: DataFrame, scheme: Scheme, key: str, text: str) -> DataFrame:
@@ -197,22 +187,6 @@ def whole_sets(met: DataFrame, members: DataFrame, docs: DataFrame, scheme: Sche
     return staged(chosen.mapInArrow(whole, "id bigint, features binary").dropDuplicates(["id"]), "minhash-sets")
 
 
-def _stretches(*columns: np.ndarray) -> list[tuple[int, int]]:
-    """Ranges of rows equal in all columns, of rows ordered by them."""
-    if not len(columns[0]):
-        return []
-    new = np.zeros(len(columns[0]), bool)
-    new[0] = True
-    for c in columns:
-        new[1:] |= c[1:] != c[:-1]
-    edges = [*np.flatnonzero(new).tolist(), len(new)]
-    return list(zip(edges[:-1], edges[1:]))
-
-
-def _numbers(table: pa.Table, name: str) -> np.ndarray:
-    return table[name].to_numpy()
-
-
 def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
     """The links among the pairs ``a, b`` (b: the pivot), by their full sets."""
     cut, least = scheme.sizes_allow, scheme.least_agreement
@@ -231,45 +205,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, scheme: Sch
         beside = beside.join(classes.select(F.col("id").alias(side), F.col("size").alias(f"size_{side}"), F.col("sketch").alias(f"sketch_{side}")), side)
     beside = beside.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b")
     maybe = staged(beside.mapInArrow(run, "a bigint, b bigint"), "minhash-pairs")
-    shares = maybe.groupBy("b").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("shares"))
-    dealt = maybe.join(shares, "b").select("a", "b", "shares", F.pmod(F.xxhash64("a"), "shares").cast("int").alias("share"))
-    dealt = staged(dealt, "minhash-pairs")
-    pivot = dealt.select("b", "share").distinct().select(F.col("b").alias("id"), "b", "share", F.lit(True).alias("pivot"))
-    wanted = dealt.select(F.col("a").alias("id"), "b", "share", F.lit(False).alias("pivot")).unionByName(pivot)
-    load = wanted.join(classes.select("id", "size"), "id").agg(F.sum("size")).first()[0] or 0
-    buckets = max(1, -(-8 * load // BUCKET_BYTES))
-    rows = wanted.join(sets, "id").withColumn("bucket", F.pmod(F.xxhash64("b", "share"), F.lit(buckets)))
-
-    def compare(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("b", "ascending"), ("share", "ascending"), ("pivot", "descending")])
-        ids, b, share = (_numbers(table, c) for c in ("id", "b", "share"))
-        own = table["features"].to_pylist()
-        out = []
-        for low, high in _stretches(b, share):
-            centre = np.frombuffer(own[low], "<u8")
-            size = np.array([len(x) // 8 for x in own[low + 1 : high]], np.int64)
-            flat = np.frombuffer(b"".join(own[low + 1 : high]), "<u8")
-            hit = centre[np.minimum(np.searchsorted(centre, flat), len(centre) - 1)] == flat
-            shared = np.add.reduceat(hit, np.cumsum(size) - size, dtype=np.int64)
-            good = scheme.linked(shared, size, np.int64(len(centre)))
-            out.append(np.stack([ids[low + 1 : high][good], np.full(good.sum(), b[low])]))
-        a, b = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
-        return pa.table({"a": pa.array(a.astype(np.int64)), "b": pa.array(b.astype(np.int64))})
-
-    return staged(rows.groupBy("bucket").applyInArrow(compare, "a bigint, b bigint"), "minhash-links")
-
-
-def pivot_pairs(met: DataFrame, labels: DataFrame, named: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """(one pair ``a, b`` a class of an open group, the groups' pivots ``g, id``)."""
-    now = met.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    fresh = now if named is None else now.join(named, ["g", "id"], "left_anti")
-    is_open = now.groupBy("g").agg((F.min("label") != F.max("label")).alias("open")).where("open").select("g")
-    rank = F.struct("degree", F.xxhash64("id"), "id", "label")
-    pivots = fresh.join(is_open, "g", "left_semi").groupBy("g").agg(F.max(rank).alias("p"))
-    pivots = staged(pivots.select("g", F.col("p.id").alias("pivot"), F.col("p.label").alias("its")), "minhash-pivots")
-    near = now.join(pivots, "g").where("label <> its").groupBy("id", "pivot").agg(F.sum("alike").alias("bands"))
-    best = near.groupBy("id").agg(F.max(F.struct("bands", "pivot")).alias("p"))
-    return staged(best.select(F.col("id").alias("a"), F.col("p.pivot").alias("b")), "minhash-pairs"), pivots.select("g", F.col("pivot").alias("id"))
+    return pivots.confirmed(maybe, classes, sets, scheme.linked)
 
 
 def block_rows(open_rows: DataFrame) -> DataFrame:
@@ -294,11 +230,11 @@ def open_pairs(open_rows: DataFrame, scheme: Scheme) -> DataFrame:
 
     def survive(table: pa.Table) -> pa.Table:
         table = table.sort_by([("g", "ascending"), ("x", "ascending"), ("y", "ascending"), ("side", "ascending")])
-        g, x, y, ids, label, size = (_numbers(table, c) for c in ("g", "x", "y", "id", "label", "size"))
+        g, x, y, ids, label, size = (numbers(table, c) for c in ("g", "x", "y", "id", "label", "size"))
         side = table["side"].to_numpy().astype(bool)
         sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(len(g), -1)
         pairs, dense = [], []
-        for low, high in _stretches(g, x, y):
+        for low, high in stretches(g, x, y):
             one = x[low] == y[low]
             cut = high if one else low + int((~side[low:high]).sum())
             left, right = slice(low, cut), slice(low, high) if one else slice(cut, high)
@@ -359,7 +295,7 @@ def dense_links(blocks: DataFrame, rows: DataFrame, sets: DataFrame, scheme: Sch
     mine = rows.drop("sketch", "bucket").join(blocks, ["g", "x", "y"], "left_semi").join(sets, "id")
 
     def compare(table: pa.Table) -> pa.Table:
-        ids, label, size = (_numbers(table, c) for c in ("id", "label", "size"))
+        ids, label, size = (numbers(table, c) for c in ("id", "label", "size"))
         side = table["side"].to_numpy().astype(bool)
         own = [np.frombuffer(f, "<u8") for f in table["features"].to_pylist()]
         one = table["x"][0].as_py() == table["y"][0].as_py()
@@ -403,26 +339,24 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = Scheme(), key: str = "doc_
     members, told = members.select("key", "tie", "id", "size"), classes.select("id", "size", "sketch")
     met = band_groups(classes)
     sets = whole_sets(met, members, docs, scheme, key, text)
-    links = tested = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
+    tested = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
     labels = docs.sparkSession.createDataFrame([], "id bigint, label bigint")
     named = None
     for _ in range(ROUNDS):
-        pairs, pivots = pivot_pairs(met, labels, named)
+        pairs, now_named = pivots.pivot_pairs(met, labels, named)
         tried = pairs.count()
         if not tried:
             break
         found = confirmed(pairs, told, sets, scheme)
-        links = links.unionByName(found)
         n = found.count()
         if n:
-            labels = connected_components(links)
-        named = pivots if named is None else named.unionByName(pivots)
+            labels = extended(labels, found)
+        named = now_named if named is None else named.unionByName(now_named)
         tested = tested.unionByName(pairs)
         if n < FRUITFUL * tried:
             break
-    now = met.select("g", "id", "n").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    is_open = now.groupBy("g").agg((F.min("label") != F.max("label")).alias("open")).where("open").select("g")
-    left = staged(now.join(is_open, "g", "left_semi").join(told, "id"), "minhash-open")
+    now = pivots.labelled(met.select("g", "id", "n"), labels)
+    left = staged(now.join(pivots.open_groups(now), "g", "left_semi").join(told, "id"), "minhash-open")
     if not left.isEmpty():
         rest = open_pairs(left, scheme)
         pairs = rest.where("a IS NOT NULL").select("a", "b").distinct()
@@ -432,7 +366,7 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = Scheme(), key: str = "doc_
         if not dense.isEmpty():
             more = more.unionByName(dense_links(dense, block_rows(left), sets, scheme))
         if not more.isEmpty():
-            labels = connected_components(links.unionByName(more))
+            labels = extended(labels, more)
     own = classes.select("id", "key").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     of_label = own.groupBy("label").agg(F.min("key").alias("component"))
     of_class = own.select("id", "label").join(of_label, "label")

@@ -256,7 +256,7 @@ def test_jaccard_join(hard, empty, spark):
     want = brute.jaccard_components([(k, t) for k, t, *_ in rows])
     want = [(k, *want[i]) for i, (k, *_) in enumerate(rows)]
     # few members make a group large or a signature common here, so every path runs
-    for settings in ({}, {"frequent": 2, "bucket_signatures": 300}, {"common_least": 2}, {"frequent": 2, "common_least": 3, "pivots_a_round": 1}):
+    for settings in ({}, {"frequent": 2, "bucket_signatures": 300}, {"common_least": 2}, {"frequent": 2, "common_least": 3, "rounds": 1}, {"rounds": 0}):
         found = jaccard.near_duplicates(hard, **settings).select("doc_id", "size", "component")
         same(result(found), want)
     assert len({w[2] for w in want}) < len(want) - 20
@@ -307,6 +307,10 @@ def test_connected_components(spark):
             parent[a] = parent[b] = low
     found = components.connected_components(spark.createDataFrame(links, "a bigint, b bigint"))
     assert {r["id"]: r["label"] for r in found.collect()} == parent
+    labels = spark.createDataFrame([], "id bigint, label bigint")
+    for part in (links[::3], links[1::3], [], links[2::3]):
+        labels = components.extended(labels, spark.createDataFrame(part, "a bigint, b bigint"))
+    assert {r["id"]: r["label"] for r in labels.collect()} == parent
 
 
 def test_substring_dedup(spark, hard, empty):

@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskweave.llm import common, merkle, minhash, spelling
+from riskweave.llm import common, merkle, minhash, pivots, spelling
 from riskweave.llm.ship import ship
 
 from test_corpus_operators import hard_rows, result, same
@@ -116,8 +116,10 @@ def test_min_hash_components(spark, hard, monkeypatch):
     assert len({w[2] for w in want}) < 10
     same(result(minhash.near_duplicates(docs).select("doc_id", "size", "component")), want)
     # small blocks, no pivot rounds, dense blocks and several partners' shares: the rows are the same
-    for name, value in (("ROUNDS", 0), ("BLOCK", 16), ("PARTNERS", 3), ("DENSE", 0), ("BUCKET_ROWS", 40), ("BUCKET_BYTES", 1 << 14)):
+    for name, value in (("ROUNDS", 0), ("BLOCK", 16), ("DENSE", 0), ("BUCKET_ROWS", 40)):
         monkeypatch.setattr(minhash, name, value)
+    for name, value in (("PARTNERS", 3), ("BUCKET_BYTES", 1 << 14)):
+        monkeypatch.setattr(pivots, name, value)
     same(result(minhash.near_duplicates(docs).select("doc_id", "size", "component")), want)
     monkeypatch.setattr(minhash, "ROUNDS", 1)
     monkeypatch.setattr(minhash, "DENSE", 10**6)
@@ -130,7 +132,7 @@ def test_one_pair_a_class_and_round(spark):
     scheme = minhash.Scheme()
     classes = minhash.document_signatures(docs, scheme, "doc_id", "text").dropDuplicates(["id"])
     met = minhash.band_groups(classes)
-    pairs, pivots = minhash.pivot_pairs(met, spark.createDataFrame([], "id bigint, label bigint"), None)
+    pairs, _ = pivots.pivot_pairs(met, spark.createDataFrame([], "id bigint, label bigint"), None)
     assert pairs.count() == pairs.select("a").distinct().count() <= classes.count()
     # the original shares most bands with the copies, so they choose it
     original = minhash.set_id(common.shingle_sets(*words_of(star(spark)[0][1]), 4)[0])
