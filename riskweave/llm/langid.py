@@ -13,9 +13,12 @@ classifier's training rows, bounded).  The n-grams are counted in the tasks
 and summed by Spark; only the profiles (languages x ``profile_size`` rows)
 come to the driver.  Prediction reads every whole text in one narrow pass.
 
-Edge cases: a null text or one without letters is ``und`` with score 0; with
-no labelled documents every text is ``und``; rows without a label are not
-trained on; repeated rows are predicted alike; other columns are ignored.
+Edge cases: a null text or one without letters is ``und`` with score 0; a very
+long text is predicted from all of its n-grams, some tens of bytes of memory a
+character; languages that tie go to the first in name order; with no labelled
+documents every text is ``und``; rows without a label are not trained on;
+repeated rows are predicted alike; other columns are ignored (or kept as they
+are, whatever their names); an empty table gives no rows.
 """
 
 from __future__ import annotations

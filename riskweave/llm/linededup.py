@@ -13,9 +13,12 @@ hot host is cheap.  A host has at most (mean distinct lines a page / ratio)
 such lines; the per-host lists are counted before they are broadcast, and
 beyond the limit the pages are shuffled by host with AQE's skew split.
 
-Edge cases: a null text stays null with 0 lines; a null host is a host of its
-own; lines without a word are never dropped; a page whose every line goes has
-an empty text; repeated rows are pages each; an empty table gives no rows.
+Edge cases: a null text stays null with 0 lines; a very long text is split
+whole, its lines as an array of one row; a line on exactly the allowed share
+of pages stays; a null host is a host of its own; lines without a word are
+never dropped; a page whose every line goes has an empty text; repeated rows
+are pages each; kept columns keep their values, whatever their names; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -73,7 +76,10 @@ def drop_boilerplate(
     columns = [c for c in (keep or []) if c not in (key, text)]
     found = staged(boilerplate(pages, ratio, min_pages, host, text, distinct, min_line_pages), "boilerplate").withColumnRenamed("host", "_host")
     size = found.agg(F.coalesce(F.sum(F.size("lines")), F.lit(0)).alias("n")).first()["n"]
-    rows = pages.select(plain(key).alias("_key"), plain(host).alias("_own"), plain(text).alias("_text"), *[plain(c) for c in columns])
+    # by position, so that no column of the caller's meets one of ours
+    rows = pages.select(
+        plain(key).alias("_key"), plain(host).alias("_own"), plain(text).alias("_text"), *[plain(c).alias(f"_c{i}") for i, c in enumerate(columns)]
+    )
     joined = rows.join(
         F.broadcast(found) if size <= max_broadcast_lines else found, F.col("_own").eqNullSafe(F.col("_host")), "left"
     )
@@ -82,9 +88,9 @@ def drop_boilerplate(
     joined = joined.withColumn("_kept", F.when(F.col("lines").isNotNull(), kept).otherwise(lines))
     n_lines = F.coalesce(F.size(lines), F.lit(0))
     return joined.select(
-        F.col("_key").alias(key),
-        *[plain(c) for c in columns],
-        F.array_join("_kept", "\n").alias(text),
+        F.col("_key"),
+        *[F.col(f"_c{i}") for i in range(len(columns))],
+        F.array_join("_kept", "\n").alias("_left"),
         F.when(F.col("_text").isNull(), F.lit(0)).otherwise(n_lines).cast("long").alias("n_lines"),
         F.when(F.col("_text").isNull(), F.lit(0)).otherwise(n_lines - F.size("_kept")).cast("long").alias("n_dropped"),
-    )
+    ).toDF(key, *columns, text, "n_lines", "n_dropped")

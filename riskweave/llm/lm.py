@@ -16,7 +16,8 @@ every document has crosses the shuffle once a block, and what is gathered
 grows with the corpus.  The words of a bucket or block are bounded by
 ``bucket_grams`` and ``block_words`` (a longer single text is a block).
 
-Edge cases: a null or empty text has 0 words, score 0 and a null perplexity;
+Edge cases: a null or empty text has 0 words, score 0 and a null perplexity; a
+very long text is scored whole, alone in its block if need be;
 repeated rows are documents each, so a copy vouches for the other; other
 columns are ignored; an empty table gives no rows.
 """

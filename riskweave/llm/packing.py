@@ -14,8 +14,8 @@ groups of about ``group_pieces`` and each group is packed by one task from
 about one sequence.  Ids and lengths are staged once, so a task that is run
 again packs the same pieces.
 
-Edge cases: a null or empty text is a document of the end id alone; repeated
-rows are packed each; other columns are ignored; an empty table gives no rows.
+Edge cases: a null or empty text is a document of the end id alone; a very
+long text is tokenised whole and cut into pieces; repeated rows are packed each; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -16,9 +16,11 @@ partial sums before the shuffle; the lines above the limits are few (a host
 has at most mean lines a document / ``max_share``) and are counted before
 they are broadcast.
 
-Edge cases: a null text has no words and fails the base rules; a null host is
-a host of its own; repeated rows are documents each; other columns are
-ignored; an empty table gives no rows.
+Edge cases: a null text has no words and fails the base rules; a very long
+text is counted whole, its words and lines as arrays of one row; a line on
+exactly the allowed share of documents stays; a null host is a host of its
+own; repeated rows are documents each; other columns are ignored; an empty
+table gives no rows.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ Edge cases: vectors that are null, or hold null or non-finite components,
 take no part; a query meets vectors of its own length only; rows with the
 same vec_id are rows each, and only the query's own row is left out; a query
 or candidate without an id is a candidate only, last in ties; scores beyond
-64 bits raise.
+64 bits raise; a vector of any length is one row of a shard; other columns are
+ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -8,7 +8,9 @@ keys and lengths, and the ids as a wavelet matrix, one bit-plane per id bit
 with a running count of ones every ``BLOCK`` bits (the rank directory).
 Spark writes the files, so any store and lost executors are its concern.
 
-Edge cases: a null or empty text is the end id alone; null keys come first;
+Edge cases: a null or empty text is the end id alone; a very long text is
+tokenised whole and makes its shard larger (a document is never split); null
+keys come first;
 rows with the same key are ordered by a hash of their text; other columns are
 ignored; an empty table gives a folder without shards and no documents.
 """
@@ -153,7 +155,8 @@ class WaveletMatrix:
             one = np.unpackbits(self.planes[k], count=self.n, bitorder="little").view(bool)
             row[self.zeros[k] :] |= row.dtype.type(1 << (self.bits - 1 - k))
             above = np.empty_like(row)
-            above[np.concatenate([np.flatnonzero(~one), np.flatnonzero(one)])] = row
+            above[one] = row[self.zeros[k] :]
+            above[~one] = row[: self.zeros[k]]
             row = above
         return row
 
