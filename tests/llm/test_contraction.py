@@ -10,8 +10,11 @@ from riskweave.llm import components
 
 
 def test_links_inside_a_part_are_joined_once(spark, monkeypatch):
-    ids = [7 * i + 3 for i in range(60)]
-    links = spark.createDataFrame(list(combinations(ids, 2)), "a bigint, b bigint")
+    # dense parts in a row, which take several rounds to become one
+    parts = [list(range(100 * k + 3, 100 * k + 33)) for k in range(6)]
+    pairs = [p for part in parts for p in combinations(part, 2)] + [(x[-1], y[-1]) for x, y in zip(parts, parts[1:])]
+    ids = sum(parts, [])
+    links = spark.createDataFrame(pairs, "a bigint, b bigint")
     made, join = [], type(links).join
 
     def counted(self: DataFrame, *rest, **named) -> DataFrame:
