@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm import jaccard, langid, linededup, packing, subdedup
-from riskweave.llm.common import staged
+from riskweave.llm.common import WIDE, in_few_files, staged
 from riskweave.llm.ship import ship
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -47,12 +47,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return jaccard.keep_one(docs).select(*COLUMNS)
+    return in_few_files(jaccard.keep_one(docs).select(*COLUMNS), WIDE)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return _with_words(subdedup.remove_repeats(docs, keep=COLUMNS, sure_words=40))
+    return in_few_files(_with_words(subdedup.remove_repeats(docs, keep=COLUMNS, sure_words=40)), WIDE)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

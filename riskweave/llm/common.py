@@ -15,19 +15,36 @@ from riskweave.session import scratch_dir
 SLICE_BYTES = 2 << 20
 #: Bytes hashed at once; a longer text is cut between words.
 HASH_BYTES = 1 << 20
+#: Shuffle partitions that one file of a staged table takes: of rows of a few numbers, of wider rows.
+NARROW, WIDE = 32, 8
 
 # fixed values: the separators of a word, [\x20\x09-\x0D]
 SEPARATORS = b"\x20\x09\x0a\x0b\x0c\x0d"
 SEPARATOR_CLASS = r"[\x20\x09-\x0D]"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def in_few_files(df: DataFrame, per_file: int) -> DataFrame:
+    """``df`` with its partitions put together, ``per_file`` shuffle partitions in one,
+    so that a small table is not written as thousands of tiny files.
+
+    Nothing is shuffled.  The number of files grows with the shuffle partitions,
+    and every core keeps a task (of wide rows four).
+    """
+    spark = df.sparkSession
+    cores, partitions = spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.coalesce(max(NARROW * cores, partitions) // per_file)
+
+
+def staged(df: DataFrame, name: str, per_file: int | None = None) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
     Cuts the lineage and freezes values that a second evaluation could give
-    differently (generated ids); the files outlive any executor.
+    differently (generated ids); the files outlive any executor.  With
+    ``per_file`` the files are few (``in_few_files``): on a local file system Hadoop
+    starts processes for every file it makes, out of the executor's JVM.
     """
     path = scratch_dir(df.sparkSession, name)
+    df = df if per_file is None else in_few_files(df, per_file)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -211,7 +228,7 @@ def join_small(rows: DataFrame, small: DataFrame, on: list[str], how: str = "inn
     each it is broadcast, beyond that the join is a shuffle join whose skewed
     partitions AQE splits.  The rows are the same either way.
     """
-    small = staged(small.select(*[plain(c).alias(f"_{c}") if c in on else plain(c) for c in small.columns]), "small")
+    small = staged(small.select(*[plain(c).alias(f"_{c}") if c in on else plain(c) for c in small.columns]), "small", NARROW)
     if small.count() <= max_rows:
         small = F.broadcast(small)
     match = [plain(c).eqNullSafe(plain(f"_{c}")) for c in on]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import staged
+from riskweave.llm.common import NARROW, staged
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -17,16 +17,16 @@ def connected_components(links: DataFrame) -> DataFrame:
     is not gone through again.  Every round is a written table; no links or
     labels come to the driver.
     """
-    links, labels = staged(links.select("a", "b"), "links"), None
+    links, labels = staged(links.select("a", "b"), "links", NARROW), None
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
-        ends = chain_ends(staged(least, "labels"))
-        labels = ends if labels is None else staged(_through(labels, ends), "labels")
+        ends = chain_ends(staged(least, "labels", NARROW))
+        labels = ends if labels is None else staged(_through(labels, ends), "labels", NARROW)
         for side in ("a", "b"):
             links = links.join(ends.select(F.col("id").alias(side), F.col("label").alias(f"_{side}")), side)
         links = links.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).where("a <> b").distinct()
-        links = staged(links, "links")
+        links = staged(links, "links", NARROW)
         if links.isEmpty():
             return labels
 
@@ -35,7 +35,7 @@ def chain_ends(steps: DataFrame) -> DataFrame:
     """``id, label`` with the last id that ``steps`` (``id, label``; label <= id) lead to; chains halve each time."""
     while True:
         target = steps.select(F.col("id").alias("label"), F.col("label").alias("next"))
-        after = staged(steps.join(target, "label").select("id", F.col("label").alias("old"), F.col("next").alias("label")), "labels")
+        after = staged(steps.join(target, "label").select("id", F.col("label").alias("old"), F.col("next").alias("label")), "labels", NARROW)
         steps = after.select("id", "label")
         if after.where("old <> label").isEmpty():
             return steps
@@ -60,4 +60,4 @@ def extended(labels: DataFrame, links: DataFrame) -> DataFrame:
     joined = connected_components(ends)
     fresh = links.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(labels, "id", "left_anti")
     every = labels.select("id", "label").unionByName(fresh.select("id", F.col("id").alias("label")))
-    return staged(_through(every, joined), "labels")
+    return staged(_through(every, joined), "labels", NARROW)

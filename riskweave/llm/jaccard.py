@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm.common import (
-    SLICE_BYTES, join_small, mix64, plain, shingle_sets, slices, staged, text_bytes, text_sizes, words,
+    NARROW, SLICE_BYTES, WIDE, join_small, mix64, plain, shingle_sets, slices, staged, text_bytes, text_sizes, words,
 )
 from riskweave.llm import pivots
 from riskweave.llm.components import connected_components, extended
@@ -347,7 +347,7 @@ def class_sets(ids: DataFrame, members: DataFrame, docs: DataFrame, n: int, key:
             )
 
     chosen = join_small(rows, one.select("k.key", "k.tie"), ["key", "tie"]).select("text")
-    return staged(chosen.mapInArrow(whole, "id bigint, features binary").dropDuplicates(["id"]), "features")
+    return staged(chosen.mapInArrow(whole, "id bigint, features binary").dropDuplicates(["id"]), "features", WIDE)
 
 
 def similar_rows(x: list[np.ndarray], y: list[np.ndarray], columns: int = 1 << 14) -> np.ndarray:
@@ -382,7 +382,7 @@ def family_links(large: DataFrame, sets_of: Callable[[DataFrame], DataFrame], bl
     """
     least = large.groupBy("g").agg(F.min("id").alias("a"))
     family = connected_components(large.join(least, "g").where("id <> a").select("a", F.col("id").alias("b")).distinct())
-    own = staged(large.select("id", "label").distinct().join(family.withColumnRenamed("label", "family"), "id"), "family")
+    own = staged(large.select("id", "label").distinct().join(family.withColumnRenamed("label", "family"), "id"), "family", NARROW)
     of_label = own.groupBy("family", "label").agg(F.count("*").alias("m"))
     shape = of_label.groupBy("family").agg(F.max(F.struct("m", "label")).alias("top"), F.sum("m").alias("m"))
     shape = shape.select(
@@ -430,7 +430,7 @@ class ClassSets:
         new = ids.distinct()
         for known in self.tables:
             new = new.join(known.select("id"), "id", "left_anti")
-        new = staged(new, "wanted")
+        new = staged(new, "wanted", NARROW)
         if not self.tables or not new.isEmpty():
             self.tables.append(class_sets(new, *self.source))
         return reduce(DataFrame.unionByName, self.tables)
@@ -452,7 +452,7 @@ def linked(pairs: DataFrame, shape: DataFrame, sets: ClassSets) -> DataFrame:
         beside = beside.join(told, side)
     beside = beside.where(75 * F.greatest("size_a", "size_b") <= 100 * F.least("size_a", "size_b"))
     beside = beside.select("a", "b", "cells_a", "cells_b", "size_a", "size_b")
-    return confirmed(staged(beside.mapInArrow(run, "a bigint, b bigint"), "pairs"), shape, sets)
+    return confirmed(staged(beside.mapInArrow(run, "a bigint, b bigint"), "pairs", WIDE), shape, sets)
 
 
 def confirmed(maybe: DataFrame, shape: DataFrame, sets: ClassSets) -> DataFrame:
@@ -509,14 +509,14 @@ def near_duplicates(
         F.min("cells").alias("cells"),
         (F.min("proof") != F.max("proof")).alias("clash"),
     )
-    shape = staged(shape, "classes")
+    shape = staged(shape, "classes", WIDE)
     totals = shape.agg(F.sum("size").alias("n"), F.coalesce(F.max("clash"), F.lit(False)).alias("clash")).first()
     if totals["clash"]:
         raise ValueError("two different sets have the same 64-bit class id")
     buckets = max(1, -(-int(1.5 * (totals["n"] or 0)) // bucket_signatures))
     common = common_signatures(docs, n, text, sample_docs, common_least, common_most)
     met = staged(groups(docs, n, text, common, buckets, frequent), "groups")
-    met = pivots.merged_groups(staged(memberships(met), "groups"))
+    met = pivots.merged_groups(staged(memberships(met), "groups", WIDE))
     sets = ClassSets(members, docs, n, key, text)
     tested = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
     labels = docs.sparkSession.createDataFrame([], "id bigint, label bigint")
@@ -535,17 +535,17 @@ def near_duplicates(
         if many < fruitful * tried:
             break
     now = pivots.labelled(met.select("g", "id", "n"), labels)
-    left = staged(now.join(pivots.open_groups(now), "g", "left_semi"), "unresolved")
+    left = staged(now.join(pivots.open_groups(now), "g", "left_semi"), "unresolved", WIDE)
     # small groups: their members in different components, not yet compared
     small = left.where(F.col("n") <= frequent).select("g", "id", "label").join(shape.select("id", "size", "cells"), "id")
     done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = staged(open_pairs(small).join(done, ["a", "b"], "left_anti"), "pairs")
+    rest = staged(open_pairs(small).join(done, ["a", "b"], "left_anti"), "pairs", WIDE)
     more = confirmed(rest, shape, sets)
     # large ones: whole families, in blocks
     large = left.where(F.col("n") > frequent).select("g", "id", "label")
     if not large.isEmpty():
         more = more.unionByName(family_links(large, lambda ids: sets.of(ids).join(ids.distinct(), "id", "left_semi")))
-    more = staged(more, "links")
+    more = staged(more, "links", NARROW)
     labels = extended(labels, more) if not more.isEmpty() else labels
     classes = shape.select("id", "key").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     of_label = classes.groupBy("label").agg(F.min("key").alias("component"))

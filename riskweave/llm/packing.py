@@ -31,6 +31,9 @@ from pyspark.sql import functions as F
 from riskweave.llm.common import plain, staged
 from riskweave.llm.tokens import encoded_slices
 
+#: Bytes of text that a worker encodes at once, beside its ids as bytes.
+ENCODE_BYTES = 512 << 10
+
 
 def tokenised_pieces(docs: DataFrame, vocabulary_path: str, end_id: int, capacity: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, piece, start, length, ids`` of every document (ids: little-endian uint32)."""
@@ -39,7 +42,7 @@ def tokenised_pieces(docs: DataFrame, vocabulary_path: str, end_id: int, capacit
         vocabulary = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, ids, counts in encoded_slices(batches, vocabulary.value, 1):
+        for part, ids, counts in encoded_slices(batches, vocabulary.value, 1, ENCODE_BYTES):
             # every text's ids with the end id behind them, as bytes
             ends = np.cumsum(counts + 1)
             every = np.full(int(ends[-1]), end_id, "<u4")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import staged
+from riskweave.llm.common import NARROW, WIDE, staged
 
 #: Bytes of sets in one task's bucket, and partners of a pivot in it.
 BUCKET_BYTES, PARTNERS = 32 << 20, 256
@@ -48,9 +48,9 @@ def merged_groups(each: DataFrame) -> DataFrame:
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")
     )
     named = named.where("n > 1").groupBy("n", "x", "y").agg(F.min("g").alias("g"), F.count("*").alias("alike"))
-    met = staged(each.join(named.select("g", "n", "alike"), "g"), "pivot-groups")
+    met = staged(each.join(named.select("g", "n", "alike"), "g"), "pivot-groups", WIDE)
     degree = met.groupBy("id").agg(F.sum((F.col("n") - 1) * F.col("alike")).alias("degree"))
-    return staged(met.join(degree, "id").select("g", "id", "n", "alike", "degree"), "pivot-groups")
+    return staged(met.join(degree, "id").select("g", "id", "n", "alike", "degree"), "pivot-groups", WIDE)
 
 
 def labelled(met: DataFrame, labels: DataFrame) -> DataFrame:
@@ -69,10 +69,10 @@ def pivot_pairs(met: DataFrame, labels: DataFrame, named: DataFrame | None) -> t
     fresh = now if named is None else now.join(named, ["g", "id"], "left_anti")
     rank = F.struct("degree", F.xxhash64("id"), "id", "label")
     pivots = fresh.join(open_groups(now), "g", "left_semi").groupBy("g").agg(F.max(rank).alias("p"))
-    pivots = staged(pivots.select("g", F.col("p.id").alias("pivot"), F.col("p.label").alias("its")), "pivots")
+    pivots = staged(pivots.select("g", F.col("p.id").alias("pivot"), F.col("p.label").alias("its")), "pivots", NARROW)
     near = now.join(pivots, "g").where("label <> its").groupBy("id", "pivot").agg(F.sum("alike").alias("shared"))
     best = near.groupBy("id").agg(F.max(F.struct("shared", "pivot")).alias("p"))
-    return staged(best.select(F.col("id").alias("a"), F.col("p.pivot").alias("b")), "pivot-pairs"), pivots.select("g", F.col("pivot").alias("id"))
+    return staged(best.select(F.col("id").alias("a"), F.col("p.pivot").alias("b")), "pivot-pairs", NARROW), pivots.select("g", F.col("pivot").alias("id"))
 
 
 def confirmed(maybe: DataFrame, sizes: DataFrame, sets: DataFrame, linked: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
@@ -83,7 +83,7 @@ def confirmed(maybe: DataFrame, sizes: DataFrame, sets: DataFrame, linked: Calla
     """
     shares = maybe.groupBy("b").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("shares"))
     dealt = maybe.join(shares, "b").select("a", "b", "shares", F.pmod(F.xxhash64("a"), "shares").cast("int").alias("share"))
-    dealt = staged(dealt, "pivot-pairs")
+    dealt = staged(dealt, "pivot-pairs", NARROW)
     pivot = dealt.select("b", "share").distinct().select(F.col("b").alias("id"), "b", "share", F.lit(True).alias("pivot"))
     wanted = dealt.select(F.col("a").alias("id"), "b", "share", F.lit(False).alias("pivot")).unionByName(pivot)
     load = wanted.join(sizes.select("id", "size"), "id").agg(F.sum("size")).first()[0] or 0

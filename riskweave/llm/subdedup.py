@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm.bloom import digest_filter
-from riskweave.llm.common import SLICE_BYTES, join_small, plain, slices, staged, text_bytes, text_sizes, windows, words
+from riskweave.llm.common import NARROW, SLICE_BYTES, WIDE, join_small, plain, slices, staged, text_bytes, text_sizes, windows, words
 from riskweave.llm.spelling import probe
 
 #: Where a unit ends.
@@ -236,14 +236,14 @@ def marked_documents(docs: DataFrame, unit: str, key: str, text: str, min_words:
     hashed = staged(rows.mapInArrow(run, f"id {kind}, tie bigint, digest bigint, pick boolean"), "digests")
     alone = hashed.where("digest IS NULL").select("id", "tie").distinct()  # texts that repeat themselves
     found = hashed.where("digest IS NOT NULL")
-    known = staged(firsts(found), "firsts")
+    known = staged(firsts(found), "firsts", NARROW)
     met = filtered(found, known).join(known, "digest")
     later = F.when(~F.col("pick") & ~F.col("id").eqNullSafe(F.col("first")), F.col("digest"))
     marked = met.groupBy("id", "tie").agg(F.collect_set(later).alias("digests"), F.collect_set(F.when(F.col("pick"), F.col("digest"))).alias("shared"))
     none = F.array().cast("array<bigint>")
     marked = marked.unionByName(alone.select("id", "tie", none.alias("digests"), none.alias("shared")))
     marked = marked.groupBy("id", "tie").agg(F.flatten(F.collect_list("digests")).alias("digests"), F.flatten(F.collect_list("shared")).alias("shared"))
-    marked = staged(marked, "shared")
+    marked = staged(marked, "shared", WIDE)
     named = marked.withColumnsRenamed({"id": "_id", "tie": "_tie"})
     nothing = F.lit(None).cast("array<bigint>")
     told_before = again.select(F.col("id").alias("_id"), F.col("tie").alias("_tie"), nothing.alias("digests"), nothing.alias("windows"), F.lit(True).alias("copy"))
@@ -252,7 +252,7 @@ def marked_documents(docs: DataFrame, unit: str, key: str, text: str, min_words:
     # rows told twice are marked once, and their windows are the same
     told = named.where(F.size("shared") > 0).select("_id", "_tie", "shared")
     texts = rows.join(told, F.col("id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))).select("id", "tie", "text", "shared")
-    near = staged(texts.mapInArrow(run_windows, f"id {kind}, tie bigint, near array<bigint>"), "windows")
+    near = staged(texts.mapInArrow(run_windows, f"id {kind}, tie bigint, near array<bigint>"), "windows", WIDE)
     each = near.select("id", "tie", F.explode("near").alias("digest"))
     earlier = each.join(firsts(each), "digest").where(~F.col("id").eqNullSafe(F.col("first")))
     earlier = earlier.groupBy("id", "tie").agg(F.collect_set("digest").alias("windows"))

@@ -261,11 +261,13 @@ def encoder(vocabulary: str) -> WordEncoder:
     return _loaded[key]
 
 
-def encoded_slices(batches: Iterator[pa.RecordBatch], vocabulary: str, text: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def encoded_slices(
+    batches: Iterator[pa.RecordBatch], vocabulary: str, text: int, slice_bytes: int = SLICE_BYTES
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Bounded slices of the batches with the ids of the texts in column
     ``text``, one after the other, and how many each text has."""
     own = encoder(vocabulary)
     for batch in batches:
-        for i, j in slices(text_sizes(batch.column(text)), SLICE_BYTES):
+        for i, j in slices(text_sizes(batch.column(text)), slice_bytes):
             part = batch.slice(i, j - i)
             yield part, *own.encode(part.column(text))
